@@ -7,24 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Order values per bucket. A bucket is what one window group sorts; the number
-# of buckets per key is what the prefix sum sees. Both stay near a million at
-# 10**12 records per key.
-BUCKET = 1 << 20
+# A bucket is 2**17 order values: what one window group sorts at most. A key
+# with 10**12 records has some eight million buckets, which is what the prefix
+# sum over counts sees.
+BUCKET_BITS = 17
 
 
-def with_position(df: DataFrame, keys: Sequence[str], order: str, name: str, bucket: int = BUCKET) -> DataFrame:
+def with_position(
+    df: DataFrame, keys: Sequence[str], order: str, name: str, bucket_bits: int = BUCKET_BITS
+) -> DataFrame:
     """Add the 0-based position of each row within its keys, by an integer column.
 
     `order` must be unique within the keys and reasonably dense, as record
     offsets and sequence numbers are. A key may hold any share of the rows: its
     rows are spread over buckets of the order column, each bucket is numbered by
-    itself, and the rows before it are added from a small table of counts.
+    itself, and the rows before it are added from a small table of counts. The
+    rows are shuffled once; the counts need only the keys and the order column.
     """
-    span = F.floor(F.col(order) / bucket) if bucket & (bucket - 1) else F.shiftright(order, bucket.bit_length() - 1)
     # One struct column as the key: it is never null itself, so rows with null
     # keys join too, and join and window share one partitioning.
-    spread = df.withColumn("_slot", F.struct(*keys, span.alias("_bucket")))
+    slot = F.struct(*keys, F.shiftright(order, bucket_bits).alias("_bucket"))
+    spread = df.withColumn("_slot", slot)
     counts = spread.groupBy("_slot").agg(F.count(F.lit(1)).alias("_rows"))
     earlier = (
         Window.partitionBy(*[f"_slot.{key}" for key in keys])
@@ -42,13 +45,17 @@ def assign_batches(
     size: int,
     keys: Sequence[str] = ("topic", "partition"),
     offset: str = "offset",
-    bucket: int = BUCKET,
+    bucket_bits: int = BUCKET_BITS,
 ) -> DataFrame:
-    """Add `batch_no`: every `size` rows of a topic partition, in offset order."""
+    """Add `batch_no`: every `size` rows of a topic partition, in offset order.
+
+    Works on records as they come, before decoding, so that numbering reads no
+    more than the three position columns.
+    """
     if size < 1:
         raise ValueError("batch size must be at least 1")
-    placed = with_position(df, keys, offset, "_position", bucket)
-    return placed.withColumn("batch_no", F.floor(F.col("_position") / size)).drop("_position")
+    placed = with_position(df, keys, offset, "_position", bucket_bits)
+    return placed.withColumn("batch_no", F.call_function("div", "_position", F.lit(size))).drop("_position")
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

@@ -65,7 +65,8 @@ def decode_values(
 
     No shuffle and no join: schemas travel with the task. `fields` limits the
     output to what is used, which a Python step would otherwise hide from the
-    optimizer. `native` decodes with Spark's own Avro package instead.
+    optimizer. `native` decodes in the JVM instead, where Spark's Avro package is
+    on the class path.
     """
     wanted = _wanted(schemas, fields)
     known = F.col("schema_id").isin(sorted(schemas)) if schemas else F.lit(False)
@@ -93,6 +94,8 @@ def _native(body: Column, schemas: Schemas, wanted: Mapping[str, str]) -> Column
 
     branches = None
     for schema_id, fields in sorted(schemas.items()):
+        if all(f.null_branch is not None for f in fields):
+            raise ValueError(f"schema {schema_id} has only nullable fields: damage would look like nulls")
         listed = [{"name": f.name, "type": _declared(f)} for f in fields]
         text = json.dumps({"type": "record", "name": "record", "fields": listed})
         read = from_avro(body, text, {"mode": "PERMISSIVE"})

@@ -2,18 +2,24 @@
 
 A transport is a function `(batch, attempt) -> errors`: it gets an Arrow record
 batch of `class, id, vector, properties` and the attempt number, and returns one
-error text, or null, per object. It raises when the whole request fails. It must
+error text, or null, per object. Properties are JSON text; an object without a
+vector has an empty one. It raises when the whole request fails. It must
 store objects by id, because a task that Spark runs again sends its objects again.
+
+A transport that needs a client has `open(options)`, called once per task; what
+it returns is used as the transport and is closed at the end if it has `close`.
 """
 
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +51,19 @@ def accept_all(batch: pa.RecordBatch, attempt: int) -> pa.Array:
     return pa.nulls(batch.num_rows, pa.string())
 
 
+@contextmanager
+def opened(transport: Transport, options: Mapping[str, str]) -> Iterator[Transport]:
+    """The transport ready for one task."""
+    opener = getattr(transport, "open", None)
+    ready = opener(dict(options)) if opener is not None else transport
+    try:
+        yield ready
+    finally:
+        closer = getattr(ready, "close", None)
+        if opener is not None and closer is not None:
+            closer()
+
+
 def slice_batches(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Regroup a task's rows into batches of `size`, the last one shorter."""
     held: list[pa.RecordBatch] = []
@@ -81,42 +100,43 @@ def send_with_retry(
     The pause comes before resending a failed request; objects that failed one
     by one are resent at once.
     """
-    count = batch.num_rows
-    attempts = np.ones(count, dtype=np.int32)
-    errors: list[str | None] = [None] * count
-    pending = list(range(count))
+    ids = batch.column("id").cast(pa.string())
+    attempts = np.ones(batch.num_rows, dtype=np.int32)
+    errors = np.full(batch.num_rows, None, dtype=object)
+    pending = np.arange(batch.num_rows)
     for attempt in range(1, how.retries + 2):
         attempts[pending] = attempt
-        part = batch if len(pending) == count else batch.take(pa.array(pending))
-        request_failed = False
-        try:
-            answer = transport(part, attempt)
-            answer = answer.to_pylist() if isinstance(answer, (pa.Array, pa.ChunkedArray)) else list(answer)
-        except Exception as failure:  # any failure of the request counts as one attempt
-            request_failed = True
-            answer = [str(failure) or type(failure).__name__] * len(pending)
-        if len(answer) != len(pending):
-            raise ValueError(f"transport answered for {len(answer)} of {len(pending)} objects")
-        for row, error in zip(pending, answer):
-            errors[row] = error
-        pending = [row for row in pending if errors[row] is not None]
-        if not pending:
+        part = batch if len(pending) == batch.num_rows else batch.take(pa.array(pending))
+        answer, request_failed = _ask(transport, part, attempt)
+        errors[pending] = answer.to_numpy(zero_copy_only=False)
+        if answer.null_count == len(answer):
             break
+        pending = pending[answer.is_valid().to_numpy(zero_copy_only=False)]
         if request_failed and attempt <= how.retries:
             sleep(how.backoff)
-    status = [SENT if error is None else FAILED for error in errors]
-    return pa.RecordBatch.from_arrays(
-        [
-            batch.column("id").cast(pa.string()),
-            pa.array(attempts),
-            pa.array(status, pa.string()),
-            pa.array(errors, pa.string()),
-        ],
-        schema=_OUTCOME_ARROW,
-    )
-
-
-def deliver(objects: DataFrame, transport: Transport, how: Delivery = Delivery()) -> DataFrame:
+    error = pa.array(errors, pa.string(), from_pandas=False)
+    status = pc.if_else(error.is_null(), SENT, FAILED)
+    return pa.RecordBatch.from_arrays([ids, pa.array(attempts), status, error], schema=_OUTCOME_ARROW)
+
+
+def _ask(transport: Transport, batch: pa.RecordBatch, attempt: int) -> tuple[pa.Array, bool]:
+    """Errors per object, and whether the request as a whole failed."""
+    try:
+        answer = transport(batch, attempt)
+    except Exception as failure:  # any failure of the request counts as one attempt
+        text = str(failure) or type(failure).__name__
+        return pa.array([text] * batch.num_rows, pa.string()), True
+    if isinstance(answer, pa.ChunkedArray):
+        answer = answer.combine_chunks()
+    answer = answer.cast(pa.string()) if isinstance(answer, pa.Array) else pa.array(answer, pa.string())
+    if len(answer) != batch.num_rows:
+        raise ValueError(f"transport answered for {len(answer)} of {batch.num_rows} objects")
+    return answer, False
+
+
+def deliver(
+    objects: DataFrame, transport: Transport, how: Delivery = Delivery(), options: Mapping[str, str] | None = None
+) -> DataFrame:
     """Send objects from the tasks that hold them; return the outcome table.
 
     Lazy like any frame: each action on the result sends again, so write the
@@ -124,8 +144,9 @@ def deliver(objects: DataFrame, transport: Transport, how: Delivery = Delivery()
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slice_batches(batches, how.batch_size):
-            yield send_with_retry(last_per_id(batch), transport, how)
+        with opened(transport, options or {}) as ready:
+            for batch in slice_batches(batches, how.batch_size):
+                yield send_with_retry(last_per_id(batch), ready, how)
 
     return to_wire(objects).mapInArrow(run, OUTCOME_SCHEMA)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,10 +21,11 @@ METADATA = {
 }
 
 
-def enrich(decoded: DataFrame) -> DataFrame:
-    """`record.*` and the seven metadata columns."""
-    reserved = {name.lower() for name in METADATA}
+def enrich(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """`record.*`, the seven metadata columns and the columns named by `keep`."""
+    reserved = {name.lower() for name in (*METADATA, *keep)}
     taken = [f.name for f in decoded.schema["record"].dataType.fields if f.name.lower() in reserved]
     if taken:
-        raise SchemaConflictError(f"fields {taken} have the names of metadata columns")
-    return decoded.select("record.*", *[F.col(source).alias(name) for name, source in METADATA.items()])
+        raise SchemaConflictError(f"fields {taken} have the names of added columns")
+    metadata = [F.col(source).alias(name) for name, source in METADATA.items()]
+    return decoded.select("record.*", *metadata, *keep)

@@ -25,13 +25,15 @@ def parse_envelope(kafka: DataFrame) -> DataFrame:
     """Add `key_text`, `schema_id`, `payload`, `event_time` and `reject_reason`.
 
     One projection: no shuffle, no Python. Unused columns are pruned by the
-    optimizer, so a scan for schema ids alone reads only `value`.
+    optimizer, so a scan for schema ids alone reads only `value`. Columns beyond
+    the Kafka ones, such as a batch number, are kept.
     """
+    check_kafka_schema(kafka)
     value = F.col("value")
     reason = (
         F.when(value.isNull(), NULL_VALUE).when(~wire.has_header(value), SHORT_VALUE).when(~wire.has_magic(value), BAD_MAGIC)
     )
-    return check_kafka_schema(kafka).select(
+    return kafka.select(
         "*",
         wire.text(F.col("key")).alias("key_text"),
         wire.schema_id(value).alias("schema_id"),

@@ -76,7 +76,12 @@ def to_objects(
 
 
 def to_wire(objects: DataFrame) -> DataFrame:
-    """Properties as JSON text; absent fields are left out of the text."""
+    """Properties as JSON text, without the absent fields, and no null vectors.
+
+    A missing vector travels as an empty one: Spark's writer of Arrow batches
+    goes over all earlier rows again for each null array.
+    """
+    wired = objects.withColumn("vector", F.coalesce("vector", F.array().cast("array<float>")))
     if objects.schema["properties"].dataType.typeName() == "string":
-        return objects
-    return objects.withColumn("properties", F.to_json("properties"))
+        return wired
+    return wired.withColumn("properties", F.to_json("properties"))

@@ -25,10 +25,10 @@ class ObjectPlan:
     schemas: decode.Schemas
     options: SinkOptions
 
-    def rows(self, strict: bool = False) -> DataFrame:
-        """Accepted rows with metadata columns."""
-        kept = decode.strict(self.decoded) if strict else decode.accepted(self.decoded)
-        return enrich.enrich(kept)
+    def rows(self, strict: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+        """Accepted rows with metadata columns and further columns of the records."""
+        settled = decode.strict(self.decoded) if strict else decode.accepted(self.decoded)
+        return enrich.enrich(settled, keep)
 
     def objects(self, strict: bool = False) -> DataFrame:
         return objects.to_objects(

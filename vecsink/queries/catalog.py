@@ -456,11 +456,10 @@ SELECT part AS "partition", batch_no, CAST(user_id AS VARCHAR) AS id, CAST(off A
 FROM r WHERE rn = 1"""
 )
 def keep_last(spark, sf_dir):
-    rows = _plan(fixtures.kafka_events(spark, sf_dir)).rows()
-    place = ("_kafka_topic", "_kafka_partition")
-    batches = batching.assign_batches(rows, BATCH_SIZE, place, "_kafka_offset")
-    named = batches.withColumn("id", F.col("user_id").cast("string"))
-    last = batching.keep_last(named, [*place, "batch_no", "id"], [F.col("_kafka_offset")])
+    batches = batching.assign_batches(fixtures.kafka_events(spark, sf_dir), BATCH_SIZE)
+    named = _plan(batches).rows(keep=["batch_no"]).withColumn("id", F.col("user_id").cast("string"))
+    keys = ["_kafka_topic", "_kafka_partition", "batch_no", "id"]
+    last = batching.keep_last(named, keys, [F.col("_kafka_offset")])
     return last.select(
         F.col("_kafka_partition").alias("partition"),
         "batch_no",

@@ -26,7 +26,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from vecsink.operators.delivery import SENT, Transport, accept_all, last_per_id, send_with_retry, slice_batches
+from vecsink.operators.delivery import SENT, Transport, accept_all, last_per_id, opened, send_with_retry, slice_batches
 from vecsink.plans.options import SinkOptions
 from vecsink.sources.collection import batch_folder
 
@@ -108,10 +108,14 @@ class _Sender:
     def send(self, batches: Iterator[pa.RecordBatch], batch_id: int) -> Committed:
         name = f"part-{TaskContext.get().partitionId():08d}.parquet"
         stored, unsent = (_TaskFile(folder, name) if folder else None for folder in self.folders(batch_id))
+        with opened(self.transport, self.options.transport_options) as ready:
+            return self._send_all(batches, ready, stored, unsent)
+
+    def _send_all(self, batches, transport: Transport, stored: _TaskFile | None, unsent: _TaskFile | None) -> Committed:
         sent = failed = 0
         for batch in slice_batches(batches, self.options.batch_size):
             batch = last_per_id(batch)
-            outcome = send_with_retry(batch, self.transport, self.options.delivery)
+            outcome = send_with_retry(batch, transport, self.options.delivery)
             good = pc.equal(outcome.column("status"), SENT)
             kept, lost = batch.filter(good), batch.filter(pc.invert(good))
             sent, failed = sent + kept.num_rows, failed + lost.num_rows
@@ -179,6 +183,8 @@ class ObjectSink(DataSource):
             raise ValueError("this sink only appends; use mode('append')")
         check_objects(schema)
         options = SinkOptions.parse(self.options)
+        if type(self).transport is accept_all and options.path is None:
+            raise ValueError("register the sink with a transport or give option path")
         run = options.run or run
         if run is None:
             raise ValueError("a stream needs option run, which names its folder across restarts")

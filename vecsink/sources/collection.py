@@ -10,6 +10,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vecsink.operators.batching import keep_last
 
@@ -29,21 +30,32 @@ def write_collection(objects: DataFrame, path: str, class_name: str, run: str, b
     stamped.write.mode("overwrite").parquet(batch_folder(path, class_name, run, batch_id))
 
 
-def scan_collection(spark: SparkSession, path: str, class_name: str | None = None) -> DataFrame:
-    """Every stored row; a class filter prunes folders."""
-    stored = spark.read.option("basePath", path).option("mergeSchema", "true").parquet(path)
-    stored = stored.withColumns(
-        {"class": F.col("class").cast("string"), "run": F.col("run").cast("string"), "batch_id": F.col("batch_id").cast("bigint")}
-    )
+def scan_collection(
+    spark: SparkSession, path: str, class_name: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
+    """Every stored row; a class filter prunes folders.
+
+    Without a schema the footers of all files are merged, since later batches
+    may have more properties. With one, no footer is read ahead.
+    """
+    reader = spark.read.option("basePath", path)
+    reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
+    stored = reader.parquet(path)
+    names = {"class": "string", "run": "string", "batch_id": "bigint"}
+    stored = stored.withColumns({name: F.col(name).cast(kind) for name, kind in names.items()})
+    # Objects stored on their way through a transport have an empty vector for none.
+    stored = stored.withColumn("vector", F.when(F.size("vector") > 0, F.col("vector")))
     return stored if class_name is None else stored.where(F.col("class") == class_name)
 
 
-def read_collection(spark: SparkSession, path: str, class_name: str | None = None) -> DataFrame:
+def read_collection(
+    spark: SparkSession, path: str, class_name: str | None = None, schema: T.StructType | None = None
+) -> DataFrame:
     """One object per class and id: the last one written.
 
     Within one write the later record position wins, where objects carry one.
     """
-    stored = scan_collection(spark, path, class_name)
+    stored = scan_collection(spark, path, class_name, schema)
     order = [F.col("written_at"), F.col("batch_id")]
     properties = stored.schema["properties"].dataType
     held = getattr(properties, "names", [])

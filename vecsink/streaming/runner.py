@@ -108,11 +108,13 @@ def run_stream(
     schemas: Schemas | None = None,
     transport: Transport | None = None,
     trigger_seconds: float | None = None,
+    reload_schemas: bool = False,
 ) -> StreamRun:
     """Start a query that writes each micro-batch; without a trigger it ends by itself.
 
     Option `run` names the query and its folders, so that a restart from the
-    checkpoint replays the last micro-batch onto itself.
+    checkpoint replays the last micro-batch onto itself. `reload_schemas` reads
+    the registry again for each micro-batch, so new schema ids need no restart.
     """
     parsed = _named(options)
     if transport is None and parsed.path is None:
@@ -121,7 +123,8 @@ def run_stream(
     totals = StreamTotals()
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        load_micro_batch(batch, batch_id, known, options, transport, totals)
+        current = load_schemas(batch, parsed) if reload_schemas else known
+        load_micro_batch(batch, batch_id, current, options, transport, totals)
 
     writer = kafka.writeStream.queryName(parsed.run).foreachBatch(load).option("checkpointLocation", checkpoint)
     return StreamRun(writer.trigger(**_trigger(trigger_seconds)).start(), totals)
@@ -137,6 +140,8 @@ def run_native_stream(
 ) -> StreamingQuery:
     """The same plan with the data source as the stream's sink."""
     parsed = _named(options)
+    if parsed.rejects_path is not None:
+        raise ValueError("the native sink is strict; use run_stream to keep rejects")
     known = load_schemas(kafka, parsed) if schemas is None else schemas
     objects = plan_objects(kafka, known, parsed).objects(strict=True)
     stamped = to_wire(objects).withColumn("written_at", F.current_timestamp())
