@@ -291,7 +291,7 @@ def test_scratch_folder_follows_the_session(spark, monkeypatch):
 
 
 def test_no_machine_local_folder_on_a_cluster(spark, monkeypatch):
-    monkeypatch.setattr(type(spark.sparkContext), "master", "yarn")
+    monkeypatch.setattr(spark.sparkContext, "master", "yarn")
     monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: default)
     with pytest.raises(ValueError, match=CHECKPOINT_DIR):
         scratch_folder(spark, "a")
