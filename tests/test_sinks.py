@@ -124,7 +124,7 @@ def test_later_write_wins_per_id(spark, tmp_path):
     write_kafka(kafka(spark, [record(framed(1, 9, "b"), 0)]), options, SCHEMAS)
     found = {r["id"]: r["properties"]["n"] for r in collection.read_collection(spark, str(tmp_path), "C").collect()}
     assert found == {"a": 3, "b": 9}
-    counts = collection.object_counts(collection.read_collection(spark, str(tmp_path))).collect()
+    counts = collection.object_counts(spark, str(tmp_path)).collect()
     assert [tuple(r) for r in counts] == [("C", 2)]
 
 

@@ -5,7 +5,13 @@ from pyspark.sql import functions as F
 
 from vecsink.functions import wire
 from vecsink.operators import envelope
-from vecsink.sources.kafka import KAFKA_SCHEMA, KafkaShapeError, check_kafka_schema, kafka_options
+from vecsink.sources.kafka import (
+    KAFKA_SCHEMA,
+    KafkaShapeError,
+    check_kafka_schema,
+    kafka_options,
+    read_kafka_stream,
+)
 
 
 def one(spark, value, column):
@@ -83,7 +89,14 @@ def test_kafka_options():
     plain = kafka_options("host:9092", "clicks")
     assert plain["startingOffsets"] == "latest" and plain["failOnDataLoss"] == "false"
     assert not any("sasl" in key for key in plain)
+    split = kafka_options("host:9092", "clicks", min_partitions=64, max_offsets=1000)
+    assert (split["minPartitions"], split["maxOffsetsPerTrigger"]) == ("64", "1000")
     secured = kafka_options("host:9092", "clicks", "user", "secret", starting="earliest", fail_on_data_loss=True)
     assert secured["kafka.sasl.mechanism"] == "PLAIN" and secured["kafka.security.protocol"] == "SASL_SSL"
     assert "username='user' password='secret'" in secured["kafka.sasl.jaas.config"]
     assert secured["startingOffsets"] == "earliest" and secured["failOnDataLoss"] == "true"
+
+
+def test_kafka_package_is_named_when_missing(spark):
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_kafka_stream(spark, kafka_options("host:9092", "clicks"))

@@ -7,10 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A bucket is 2**17 order values: what one window group sorts at most. A key
-# with 10**12 records has some eight million buckets, which is what the prefix
+# A bucket is 2**16 order values: what one window group sorts at most. A key
+# with 10**11 records has some 1.5 million buckets, which is what the prefix
 # sum over counts sees.
-BUCKET_BITS = 17
+BUCKET_BITS = 16
 
 
 def with_position(

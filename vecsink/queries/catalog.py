@@ -552,7 +552,7 @@ def collection_upsert(spark, sf_dir):
 def object_counts(spark, sf_dir):
     path = scratch_folder(spark, "counts")
     write_kafka(fixtures.kafka_events(spark, sf_dir), {"className": CLASS, "path": path}, fixtures.SCHEMAS)
-    return collection.object_counts(collection.read_collection(spark, path))
+    return collection.object_counts(spark, path)
 
 
 @query(
@@ -562,7 +562,7 @@ def reconcile(spark, sf_dir):
     path = scratch_folder(spark, "reconcile")
     records = fixtures.kafka_events(spark, sf_dir)
     write_kafka(records, {"className": CLASS, "path": path}, fixtures.SCHEMAS)
-    return checks.reconcile(records, collection.read_collection(spark, path, CLASS))
+    return checks.reconcile(records, collection.stored_ids(spark, path, CLASS))
 
 
 @query(

@@ -31,15 +31,22 @@ def write_collection(objects: DataFrame, path: str, class_name: str, run: str, b
 
 
 def scan_collection(
-    spark: SparkSession, path: str, class_name: str | None = None, schema: T.StructType | None = None
+    spark: SparkSession,
+    path: str,
+    class_name: str | None = None,
+    schema: T.StructType | None = None,
+    all_properties: bool = True,
 ) -> DataFrame:
     """Every stored row; a class filter prunes folders.
 
-    Without a schema the footers of all files are merged, since later batches
-    may have more properties. With one, no footer is read ahead.
+    Later batches may have more properties, so the footers of all files are
+    merged, by a Spark job. A given schema, or no need of all properties, saves that.
     """
     reader = spark.read.option("basePath", path)
-    reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
+    if schema is not None:
+        reader = reader.schema(schema)
+    elif all_properties:
+        reader = reader.option("mergeSchema", "true")
     stored = reader.parquet(path)
     names = {"class": "string", "run": "string", "batch_id": "bigint"}
     stored = stored.withColumns({name: F.col(name).cast(kind) for name, kind in names.items()})
@@ -63,8 +70,14 @@ def read_collection(
     return keep_last(stored, ["class", "id"], order)
 
 
-def object_counts(objects: DataFrame) -> DataFrame:
-    return objects.groupBy("class").agg(F.count(F.lit(1)).alias("objects"))
+def stored_ids(spark: SparkSession, path: str, class_name: str | None = None) -> DataFrame:
+    """Class and id of every object, once; reads no other column and sorts nothing."""
+    return scan_collection(spark, path, class_name, all_properties=False).select("class", "id").distinct()
+
+
+def object_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Objects per class."""
+    return stored_ids(spark, path).groupBy("class").agg(F.count(F.lit(1)).alias("objects"))
 
 
 def batch_totals(spark: SparkSession, path: str, class_name: str, run: str) -> DataFrame:
@@ -73,5 +86,5 @@ def batch_totals(spark: SparkSession, path: str, class_name: str, run: str) -> D
     A replayed batch replaced its folder, so it is counted once, also after a
     restart of the driver.
     """
-    stored = scan_collection(spark, path, class_name).where(F.col("run") == run)
+    stored = scan_collection(spark, path, class_name, all_properties=False).where(F.col("run") == run)
     return stored.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows"))

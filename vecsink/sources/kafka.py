@@ -47,14 +47,25 @@ def kafka_options(
     password: str | None = None,
     starting: str = "latest",
     fail_on_data_loss: bool = False,
+    min_partitions: int | None = None,
+    max_offsets: int | None = None,
 ) -> dict[str, str]:
-    """Options for Spark's own Kafka source, with SASL_SSL when a user is given."""
+    """Options for Spark's own Kafka source, with SASL_SSL when a user is given.
+
+    `min_partitions` cuts large topic partitions into several tasks, so that one
+    partition with much of the data is no single task. `max_offsets` bounds a
+    micro-batch.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
         "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
+    if max_offsets is not None:
+        options["maxOffsetsPerTrigger"] = str(max_offsets)
     if username is not None:
         login = "org.apache.kafka.common.security.plain.PlainLoginModule"
         options |= {
