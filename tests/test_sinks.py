@@ -3,6 +3,7 @@ import sys
 from pathlib import Path
 
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from builders import SCHEMAS, framed, kafka, record
 from pyspark import cloudpickle
@@ -58,6 +59,13 @@ def test_batch_sink_stores_what_was_sent(spark, tmp_path):
     assert all(r["vector"] is None for r in collection.read_collection(spark, str(tmp_path)).collect())
 
 
+def test_stored_files_do_not_have_a_row_group_per_batch(spark, tmp_path):
+    frame = kafka(spark, rows(50)).coalesce(1)
+    write_kafka(frame, {"className": "C", "path": str(tmp_path), "batchSize": 4}, SCHEMAS, transport=accept_all)
+    (file,) = tmp_path.rglob("part-*")
+    assert pq.ParquetFile(file).metadata.num_row_groups == 1 and pq.ParquetFile(file).metadata.num_rows == 50
+
+
 def test_append_only(spark, tmp_path):
     with pytest.raises(ValueError, match="append"):
         write_kafka(kafka(spark, []), {"className": "C", "path": str(tmp_path)}, SCHEMAS, mode="overwrite")

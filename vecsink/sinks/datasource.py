@@ -31,6 +31,8 @@ from vecsink.plans.options import SinkOptions
 from vecsink.sources.collection import batch_folder
 
 FORMAT = "vecsink"
+# Batches are small; a row group of a stored file takes many of them.
+ROW_GROUP_BYTES = 64 << 20
 OBJECT_COLUMNS = ("class", "id", "vector", "properties")
 
 # Local properties that Spark sets on the tasks of a streaming query.
@@ -68,15 +70,28 @@ class _TaskFile:
     def __init__(self, folder: str, name: str):
         self.fs, self.folder = _file_system(folder)
         self.name, self.writer = name, None
+        self.held: list[pa.RecordBatch] = []
+        self.bytes = 0
 
     def add(self, batch: pa.RecordBatch) -> None:
+        self.held.append(batch)
+        self.bytes += batch.nbytes
+        if self.bytes >= ROW_GROUP_BYTES:
+            self._flush()
+
+    def _flush(self) -> None:
+        if not self.held:
+            return
+        group = pa.Table.from_batches(self.held)
+        self.held, self.bytes = [], 0
         if self.writer is None:
             self.fs.create_dir(self.folder, recursive=True)
             self.hidden = f"{self.folder}/_{uuid.uuid4().hex}"
-            self.writer = pq.ParquetWriter(self.hidden, batch.schema, filesystem=self.fs)
-        self.writer.write_batch(batch)
+            self.writer = pq.ParquetWriter(self.hidden, group.schema, filesystem=self.fs)
+        self.writer.write_table(group)
 
     def close(self) -> str | None:
+        self._flush()
         if self.writer is None:
             return None
         self.writer.close()
