@@ -66,6 +66,16 @@ def test_stored_files_do_not_have_a_row_group_per_batch(spark, tmp_path):
     assert pq.ParquetFile(file).metadata.num_row_groups == 1 and pq.ParquetFile(file).metadata.num_rows == 50
 
 
+def test_nothing_is_sent_for_nothing(spark, tmp_path):
+    def never(batch, attempt):
+        raise AssertionError("called")
+
+    options = {"className": "C", "path": str(tmp_path), "retries": 0}
+    write_kafka(kafka(spark, []), options, SCHEMAS, transport=never)
+    send_objects(built(spark, 3).where("id = 'none'").repartition(4), options, never)
+    assert not list(tmp_path.rglob("part-*"))
+
+
 def test_append_only(spark, tmp_path):
     with pytest.raises(ValueError, match="append"):
         write_kafka(kafka(spark, []), {"className": "C", "path": str(tmp_path)}, SCHEMAS, mode="overwrite")

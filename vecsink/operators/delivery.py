@@ -88,8 +88,11 @@ def _join(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
 
 def last_per_id(batch: pa.RecordBatch) -> pa.RecordBatch:
     """Within one batch a later object replaces an earlier one of the same id."""
-    last = {object_id: row for row, object_id in enumerate(batch.column("id").to_pylist())}
-    return batch if len(last) == batch.num_rows else batch.take(pa.array(sorted(last.values())))
+    ids = batch.column("id")
+    if pc.count_distinct(ids, mode="all").as_py() == batch.num_rows:
+        return batch
+    last = {object_id: row for row, object_id in enumerate(ids.to_pylist())}
+    return batch.take(pa.array(sorted(last.values())))
 
 
 def send_with_retry(
@@ -108,13 +111,14 @@ def send_with_retry(
         attempts[pending] = attempt
         part = batch if len(pending) == batch.num_rows else batch.take(pa.array(pending))
         answer, request_failed = _ask(transport, part, attempt)
-        errors[pending] = answer.to_numpy(zero_copy_only=False)
         if answer.null_count == len(answer):
+            errors[pending] = None
             break
+        errors[pending] = answer.to_numpy(zero_copy_only=False)
         pending = pending[answer.is_valid().to_numpy(zero_copy_only=False)]
         if request_failed and attempt <= how.retries:
             sleep(how.backoff)
-    error = pa.array(errors, pa.string(), from_pandas=False)
+    error = pa.array(errors, pa.string())
     status = pc.if_else(error.is_null(), SENT, FAILED)
     return pa.RecordBatch.from_arrays([ids, pa.array(attempts), status, error], schema=_OUTCOME_ARROW)
 

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecsink import fixtures
-from vecsink.functions.convert import convert_column, rfc3339_date, rfc3339_timestamp
+from vecsink.functions import convert
+from vecsink.functions.convert import convert_column
 from vecsink.operators import batching, checks, decode, delivery, envelope, objects
 from vecsink.plans.object_plan import ObjectPlan, plan_objects
 from vecsink.plans.options import SinkOptions
@@ -362,15 +363,15 @@ def array_defaults(spark, sf_dir):
 
 
 @query(f"SELECT event_id, {_sql_rfc3339('ts')} AS written FROM events")
-def rfc3339_timestamps(spark, sf_dir):
+def rfc3339_timestamp(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events.select("event_id", rfc3339_timestamp(fixtures.instant(F.col("ts"))).alias("written"))
+    return events.select("event_id", convert.rfc3339_timestamp(fixtures.instant(F.col("ts"))).alias("written"))
 
 
 @query("SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y-%m-%dT00:00:00Z') AS written FROM lineitem")
-def rfc3339_dates(spark, sf_dir):
+def rfc3339_date(spark, sf_dir):
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return lines.select("l_orderkey", "l_linenumber", rfc3339_date(F.col("l_shipdate").cast("date")).alias("written"))
+    return lines.select("l_orderkey", "l_linenumber", convert.rfc3339_date(F.col("l_shipdate").cast("date")).alias("written"))
 
 
 # --------------------------------------------------------------------------
