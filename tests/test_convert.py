@@ -126,6 +126,12 @@ def test_id_and_column_faults(spark):
         to_objects(frame, "C", id_column="k", vector_column="K")
 
 
+def test_row_without_id_fails_the_job(spark):
+    frame = spark.createDataFrame([(None, "x")], "k int, s string")
+    with pytest.raises(Exception, match="has no id"):
+        to_objects(frame, "C", id_column="k").collect()
+
+
 def test_wire_form(spark):
     frame = spark.createDataFrame([("1", None, 5)], "k string, s string, l bigint")
     row = to_wire(to_objects(frame, "C", id_column="k")).first()

@@ -67,6 +67,22 @@ def test_null_id_is_a_reject(spark):
     assert [r["id"] for r in keyed.objects().collect()] == ["k"]
 
 
+def test_record_without_a_position_has_no_id(spark):
+    rows = [record(framed(1, 5, "x"), 0), record(framed(1, 6, "x"), None), record(framed(1, 7, "x"), 2, topic=None)]
+    made = plan(kafka(spark, rows))
+    assert made.objects().count() == 1
+    assert {r["reject_reason"] for r in made.rejects().collect()} == {"null_id"} and made.rejects().count() == 2
+    assert plan(kafka(spark, rows), idMode="random").objects().select("id").distinct().count() == 3
+
+
+def test_unsupported_schema_concerns_only_its_own_records(spark):
+    schemas = {**SCHEMAS, 3: None}
+    rows = [record(framed(1, 5, "x"), 0), record(b"\x00\x00\x00\x00\x03body", 1)]
+    made = plan(kafka(spark, rows), schemas)
+    assert [r["reject_reason"] for r in made.rejects().collect()] == ["unsupported_schema"]
+    assert made.rows().count() == 1 and "flag" in made.rows().columns
+
+
 def test_field_names_like_record_columns_do_not_collide(spark):
     schemas = {1: (Field("offset", "string"), Field("topic", "long"), Field("value", "string"))}
     rows = [record(framed(1, "o", 4, "v", schemas=schemas), 12)]
@@ -171,6 +187,15 @@ def test_registry_conflicts_size_and_pruning(spark, monkeypatch):
         (2, texts[fixtures.V2])]
 
 
+def test_registry_with_schemas_of_other_topics(spark):
+    other = json.dumps({"type": "record", "name": "o", "fields": [{"name": "m", "type": {"type": "map", "values": "int"}}]})
+    rows = [(1, fixtures.SCHEMA_TEXTS[fixtures.V1]), (2, other)]
+    known = spark.createDataFrame(rows, "schema_id int, schema_json string")
+    with pytest.raises(UnsupportedTypeError):
+        registry.registry_schemas(known)
+    assert registry.registry_schemas(known, set_aside=True) == {1: fixtures.SCHEMAS[fixtures.V1], 2: None}
+
+
 def test_statistics_and_one_schema(spark):
     rows = [record(framed(1, 5, "x"), 3), record(framed(1, 5, "x"), 8), record(framed(2, 6, "y", True), 4), record(None, 1)]
     parsed = envelope.parse_envelope(kafka(spark, rows))

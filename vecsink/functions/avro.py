@@ -44,6 +44,14 @@ class Field(NamedTuple):
     null_branch: int | None = None
 
 
+# Parsed fields per schema id; None for a schema with types that are not read.
+Schemas = Mapping[int, "tuple[Field, ...] | None"]
+
+
+def readable(schemas: Schemas) -> dict[int, tuple[Field, ...]]:
+    return {schema_id: fields for schema_id, fields in schemas.items() if fields is not None}
+
+
 def avro_to_spark(avro: str) -> T.DataType:
     if avro not in AVRO_TO_SPARK:
         raise UnsupportedTypeError(f"Avro type {avro!r} cannot be decoded")
@@ -85,13 +93,13 @@ def _merge(name: str, left: str, right: str) -> str:
     return wider
 
 
-def superset(schemas: Mapping[int, tuple[Field, ...]]) -> dict[str, str]:
+def superset(schemas: Schemas) -> dict[str, str]:
     """Field name to Avro type over all schemas, in first-seen order by id."""
     merged: dict[str, str] = {}
     spelling: dict[str, str] = {}
-    for schema_id in sorted(schemas):
+    for _, fields in sorted(readable(schemas).items()):
         seen = set()
-        for field in schemas[schema_id]:
+        for field in fields:
             folded = field.name.lower()
             if folded in seen or spelling.setdefault(folded, field.name) != field.name:
                 raise SchemaConflictError(f"fields that differ only by case: {field.name!r}")
@@ -101,15 +109,15 @@ def superset(schemas: Mapping[int, tuple[Field, ...]]) -> dict[str, str]:
     return merged
 
 
-def superset_type(schemas: Mapping[int, tuple[Field, ...]]) -> T.StructType:
+def superset_type(schemas: Schemas) -> T.StructType:
     merged = superset(schemas)
     return T.StructType([T.StructField(n, AVRO_TO_SPARK[a], True) for n, a in merged.items()])
 
 
-def presence(schemas: Mapping[int, tuple[Field, ...]]) -> dict[str, set[int]]:
+def presence(schemas: Schemas) -> dict[str, set[int]]:
     """Field name to the schema ids that have it."""
     held: dict[str, set[int]] = {}
-    for schema_id, fields in schemas.items():
+    for schema_id, fields in readable(schemas).items():
         for field in fields:
             held.setdefault(field.name, set()).add(schema_id)
     return held

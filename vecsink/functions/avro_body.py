@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from vecsink.functions.avro import Field
+from vecsink.functions.avro import Field, Schemas
 
 # Fixed values of the Avro binary encoding.
 VARINT_BYTES = {"int": 5, "long": 10}
@@ -123,7 +123,7 @@ def _read_field(cursors: Cursors, rows: np.ndarray, field: Field, slot: _Slot |
 
 
 def decode_bodies(
-    ids: pa.Array, bodies: pa.Array, schemas: Mapping[int, tuple[Field, ...]], wanted: Mapping[str, str]
+    ids: pa.Array, bodies: pa.Array, schemas: Schemas, wanted: Mapping[str, str]
 ) -> pa.StructArray:
     """Bodies of several schemas to one struct of `wanted` fields plus `_ok`.
 

@@ -10,9 +10,11 @@ def position_id(topic: Column, partition: Column, offset: Column) -> Column:
     """UUID text made from a record's position, the same on every run.
 
     SHA-1 of `topic:partition:offset` with the version and variant digits of a
-    name-based UUID, so a task that runs twice sends the same ids.
+    name-based UUID, so a task that runs twice sends the same ids. A null part
+    gives a null id.
     """
-    digest = F.sha1(F.concat_ws(":", topic, partition.cast("string"), offset.cast("string")).cast("binary"))
+    name = F.concat(topic, F.lit(":"), partition.cast("string"), F.lit(":"), offset.cast("string"))
+    digest = F.sha1(name.cast("binary"))
     return F.concat(
         F.substring(digest, 1, 8),
         F.lit("-"),

@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecsink.functions import wire
-from vecsink.functions.avro import Field, avro_to_spark, superset
+from vecsink.functions.avro import Field, Schemas, avro_to_spark, readable, superset
 from vecsink.functions.avro_body import decode_bodies
-from vecsink.operators.envelope import BAD_PAYLOAD, UNKNOWN_SCHEMA
-
-Schemas = Mapping[int, tuple[Field, ...]]
+from vecsink.operators.envelope import BAD_PAYLOAD, UNKNOWN_SCHEMA, UNSUPPORTED_SCHEMA
 
 
 def _wanted(schemas: Schemas, fields: Sequence[str] | None) -> dict[str, str]:
@@ -58,6 +56,13 @@ def _record(decoded: Column, wanted: Mapping[str, str]) -> Column:
     return F.struct(*columns)
 
 
+def _schema_fault(schemas: Schemas) -> Column:
+    """Why records of a schema id cannot be decoded, if so."""
+    unsupported = sorted(schema_id for schema_id, fields in schemas.items() if fields is None)
+    fault = F.when(~F.col("schema_id").isin(sorted(schemas)), UNKNOWN_SCHEMA) if schemas else F.lit(UNKNOWN_SCHEMA)
+    return fault.when(F.col("schema_id").isin(unsupported), UNSUPPORTED_SCHEMA) if unsupported else fault
+
+
 def decode_values(
     parsed: DataFrame, schemas: Schemas, fields: Sequence[str] | None = None, native: bool = False
 ) -> DataFrame:
@@ -69,8 +74,7 @@ def decode_values(
     on the class path.
     """
     wanted = _wanted(schemas, fields)
-    known = F.col("schema_id").isin(sorted(schemas)) if schemas else F.lit(False)
-    reason = F.coalesce(F.col("reject_reason"), F.when(~known, UNKNOWN_SCHEMA))
+    reason = F.coalesce(F.col("reject_reason"), _schema_fault(schemas))
     ready = parsed.withColumn("reject_reason", reason)
     body = F.when(F.col("reject_reason").isNull(), F.col("payload"))
     if native:
@@ -93,7 +97,7 @@ def _native(body: Column, schemas: Schemas, wanted: Mapping[str, str]) -> Column
     from pyspark.sql.avro.functions import from_avro
 
     branches = None
-    for schema_id, fields in sorted(schemas.items()):
+    for schema_id, fields in sorted(readable(schemas).items()):
         if all(f.null_branch is not None for f in fields):
             raise ValueError(f"schema {schema_id} has only nullable fields: damage would look like nulls")
         listed = [{"name": f.name, "type": _declared(f)} for f in fields]

@@ -13,6 +13,7 @@ NULL_VALUE = "null_value"
 SHORT_VALUE = "short_value"
 BAD_MAGIC = "bad_magic"
 UNKNOWN_SCHEMA = "unknown_schema"
+UNSUPPORTED_SCHEMA = "unsupported_schema"
 BAD_PAYLOAD = "bad_payload"
 NULL_ID = "null_id"
 

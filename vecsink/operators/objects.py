@@ -67,9 +67,11 @@ def to_objects(
         present = F.col("_kafka_schemaId").isin(sorted(held)) if partial else None
         properties.append(convert_column(field, present).alias(field.name))
     vector = as_vector(F.col(f"`{vector_name}`")) if vector_name else F.lit(None).cast("array<float>")
+    # A row without an id would be lost among others without one.
+    no_id = F.raise_error(F.lit(f"a row for class {class_name} has no id")).cast("string")
     return df.select(
         F.lit(class_name).alias("class"),
-        object_id(df, id_column, id_mode).alias("id"),
+        F.coalesce(object_id(df, id_column, id_mode), no_id).alias("id"),
         vector.alias("vector"),
         F.struct(*properties).alias("properties"),
     )

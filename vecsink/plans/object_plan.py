@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecsink.functions.avro import presence
+from vecsink.functions.avro import Schemas, presence
 from vecsink.operators import decode, enrich, envelope, objects
 from vecsink.plans.options import SinkOptions
 
@@ -22,7 +22,7 @@ class ObjectPlan:
     """Decoded records and what follows from them, all lazy."""
 
     decoded: DataFrame
-    schemas: decode.Schemas
+    schemas: Schemas
     options: SinkOptions
 
     def rows(self, strict: bool = False, keep: Sequence[str] = ()) -> DataFrame:
@@ -46,7 +46,7 @@ class ObjectPlan:
 
 def plan_objects(
     kafka: DataFrame,
-    schemas: decode.Schemas,
+    schemas: Schemas,
     options: SinkOptions,
     fields: Sequence[str] | None = None,
     native: bool = False,
@@ -57,6 +57,10 @@ def plan_objects(
         column = objects.find_column(enrich.enrich(decoded), options.id, "id")
         source = enrich.METADATA.get(column)
         value = F.col("record").getField(column) if source is None else F.col(source)
-        missing = F.when(value.isNull(), envelope.NULL_ID)
-        decoded = decoded.withColumn("reject_reason", F.coalesce("reject_reason", missing))
+        missing = value.isNull()
+    else:
+        missing = F.col("topic").isNull() | F.col("partition").isNull() | F.col("offset").isNull()
+    if options.id is not None or options.id_mode == "position":
+        reason = F.coalesce(F.col("reject_reason"), F.when(missing, envelope.NULL_ID))
+        decoded = decoded.withColumn("reject_reason", reason)
     return ObjectPlan(decoded, schemas, options)

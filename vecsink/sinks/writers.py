@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecsink.operators.decode import Schemas
+from vecsink.functions.avro import Schemas
 from vecsink.operators.delivery import Transport
 from vecsink.operators.objects import to_wire
 from vecsink.plans.options import FAILURES_PATH, PATH, SinkOptions
@@ -22,7 +22,7 @@ from vecsink.sources.scratch import qualified
 def load_schemas(df: DataFrame, options: SinkOptions) -> Schemas:
     if options.registry is None:
         raise ValueError("option registry is required when no schemas are given")
-    return registry_schemas(load_registry(df.sparkSession, options.registry))
+    return registry_schemas(load_registry(df.sparkSession, options.registry), set_aside=True)
 
 
 def sink_options(spark: SparkSession, options: Mapping[str, object]) -> dict[str, str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecsink.functions.avro import Field, SchemaConflictError, record_fields
+from vecsink.functions.avro import Field, SchemaConflictError, UnsupportedTypeError, record_fields
 
 # The registry is read onto the driver to fix the output columns, and small
 # registries are broadcast. Both happen only within these bounds.
@@ -71,15 +71,28 @@ def registry_fits(registry: DataFrame) -> bool:
     return size["schemas"] <= MAX_SCHEMAS and size["chars"] <= MAX_SCHEMA_CHARS
 
 
-def registry_schemas(registry: DataFrame) -> dict[int, tuple[Field, ...]]:
-    """Parsed fields per schema id, on the driver."""
+def registry_schemas(registry: DataFrame, set_aside: bool = False) -> dict[int, tuple[Field, ...] | None]:
+    """Parsed fields per schema id, on the driver.
+
+    A schema with types that are not read raises, or with `set_aside` is kept as
+    None: a registry may serve other topics too, and only records that use such
+    a schema are then rejects.
+    """
     if not registry_fits(registry):
         raise RegistryTooLargeError("prune the registry to the ids in use with prune_registry")
     texts: dict[int, str] = {}
     for row in registry.select("schema_id", "schema_json").collect():
         if texts.setdefault(row["schema_id"], row["schema_json"]) != row["schema_json"]:
             raise SchemaConflictError(f"schema id {row['schema_id']} has two different schemas")
-    return {schema_id: record_fields(text) for schema_id, text in texts.items()}
+    schemas: dict[int, tuple[Field, ...] | None] = {}
+    for schema_id, text in texts.items():
+        try:
+            schemas[schema_id] = record_fields(text)
+        except UnsupportedTypeError:
+            if not set_aside:
+                raise
+            schemas[schema_id] = None
+    return schemas
 
 
 def schema_by_id(registry: DataFrame, schema_id: int) -> str:

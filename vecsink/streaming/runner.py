@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from vecsink.operators.decode import Schemas
+from vecsink.functions.avro import Schemas
 from vecsink.operators.delivery import Transport, accept_all
 from vecsink.operators.objects import to_wire
 from vecsink.plans.options import SinkOptions
