@@ -231,6 +231,18 @@ def test_native_stream_sink_and_its_replay(spark, tmp_path):
     assert {Path(p).parent.name for p in map(str, (tmp_path / "out").rglob("part-*"))} == {"batch_id=0", "batch_id=1"}
 
 
+def test_stream_through_a_transport_keeps_the_same_folders(spark, tmp_path):
+    land(spark, tmp_path / "in", [rows(5), rows(5, 5)])
+    stream = stream_kafka_files(spark, str(tmp_path / "in"), max_files=1)
+    options = {"className": "C", "path": str(tmp_path / "out"), "run": "s", "retries": 0, "onError": "collect",
+               "failuresPath": str(tmp_path / "bad")}
+    totals = run_stream(stream, options, str(tmp_path / "cp"), SCHEMAS, transport=refuse_odd).finish()
+    assert totals.rows == 10
+    per_batch = collection.batch_totals(spark, str(tmp_path / "out"), "C", "s")
+    assert sorted(tuple(r) for r in per_batch.collect()) == [(0, 3), (1, 2)]
+    assert spark.read.parquet(str(tmp_path / "bad")).count() == 5
+
+
 def test_stream_faults(spark, tmp_path):
     land(spark, tmp_path / "in", [rows(2)])
     stream = stream_kafka_files(spark, str(tmp_path / "in"))

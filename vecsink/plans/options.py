@@ -34,13 +34,14 @@ ID_MODE = "idMode"
 ON_ERROR = "onError"
 PATH = "path"
 RUN = "run"
+BATCH_ID = "batchId"
 REJECTS_PATH = "rejectsPath"
 FAILURES_PATH = "failuresPath"
 
 _OWN = (
     BATCH_SIZE, CLASS_NAME, VECTOR, ID, RETRIES, RETRIES_BACKOFF, SCHEMA_REGISTRY_URL, SCHEMA_REGISTRY_API_KEY,
     SCHEMA_REGISTRY_API_SECRET, REGISTRY, ID_MODE, ON_ERROR, PATH, RUN, REJECTS_PATH,
-    FAILURES_PATH,
+    FAILURES_PATH, BATCH_ID,
 )
 
 
@@ -60,6 +61,7 @@ class SinkOptions:
     on_error: str = "fail"
     path: str | None = None
     run: str | None = None
+    batch_id: int = 0
     rejects_path: str | None = None
     failures_path: str | None = None
     transport_options: Mapping[str, str] = field(default_factory=dict)
@@ -104,6 +106,7 @@ class SinkOptions:
             on_error=on_error,
             path=take(PATH),
             run=take(RUN),
+            batch_id=int(take(BATCH_ID, 0)),
             rejects_path=take(REJECTS_PATH),
             failures_path=take(FAILURES_PATH),
             transport_options={k: str(v) for k, v in folded.items() if k not in own},

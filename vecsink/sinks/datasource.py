@@ -161,13 +161,13 @@ class BatchWriter(DataSourceArrowWriter):
         self.sender = sender
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        return self.sender.send(iterator, 0)
+        return self.sender.send(iterator, self.sender.options.batch_id)
 
     def commit(self, messages: list) -> None:
-        self.sender.settle(messages, 0)
+        self.sender.settle(messages, self.sender.options.batch_id)
 
     def abort(self, messages: list) -> None:
-        self.sender.discard(0)
+        self.sender.discard(self.sender.options.batch_id)
 
 
 class StreamWriter(DataSourceStreamArrowWriter):

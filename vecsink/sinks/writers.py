@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vecsink.functions.avro import Schemas
 from vecsink.operators.delivery import Transport
 from vecsink.operators.objects import to_wire
-from vecsink.plans.options import FAILURES_PATH, PATH, SinkOptions
+from vecsink.plans.options import BATCH_ID, FAILURES_PATH, PATH, RUN, SinkOptions
 from vecsink.plans.object_plan import plan_objects
 from vecsink.sinks.datasource import register_sink
 from vecsink.sources.collection import write_collection
@@ -65,7 +65,7 @@ def write_kafka(
     number = time.time_ns() if batch_id is None else batch_id
     run = parsed.run or "load"
     if transport is not None:
-        send_objects(objects, {**options, "run": f"{run}-{number}"}, transport)
+        send_objects(objects, {**options, RUN: run, BATCH_ID: number}, transport)
     else:
         write_collection(objects, parsed.path, parsed.class_name, run, number)
     if parsed.rejects_path is not None:

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vecsink.functions.avro import Schemas
 from vecsink.operators.delivery import Transport, accept_all
 from vecsink.operators.objects import to_wire
-from vecsink.plans.options import SinkOptions
+from vecsink.plans.options import BATCH_ID, SinkOptions
 from vecsink.plans.object_plan import plan_objects
 from vecsink.sinks.datasource import register_sink
 from vecsink.sinks.writers import load_schemas, send_objects, sink_options
@@ -88,7 +88,7 @@ def load_micro_batch(
         plan = type(plan)(decoded, plan.schemas, plan.options)
         objects = plan.objects(strict=not keep_rejects)
         if transport is not None:
-            send_objects(objects, {**options, "run": f"{parsed.run}-{batch_id}"}, transport)
+            send_objects(objects, {**options, BATCH_ID: batch_id}, transport)
         else:
             write_collection(objects, parsed.path, parsed.class_name, parsed.run, batch_id)
         if keep_rejects:
