@@ -19,7 +19,7 @@ from vecsink.functions.avro import (
     superset,
     superset_type,
 )
-from vecsink.functions.avro_body import decode_bodies, encode_bodies
+from vecsink.functions.avro_body import OK, decode_bodies, encode_bodies
 
 
 def text(*fields):
@@ -135,8 +135,8 @@ def test_any_cut_is_a_bad_payload(row, data):
     body = encode([row])[0].as_py()
     cut = data.draw(st.integers(0, len(body) - 1))
     decoded = decode_bodies(pa.array([7], pa.int32()), pa.array([body[:cut]], pa.binary()), {7: FIELDS}, WANTED)
-    assert decoded.to_pylist()[0]["_ok"] is False
-    assert all(v is None for k, v in decoded.to_pylist()[0].items() if k != "_ok")
+    assert decoded.to_pylist()[0][OK] is False
+    assert all(v is None for k, v in decoded.to_pylist()[0].items() if k != OK)
 
 
 @settings(max_examples=100, deadline=None)
@@ -168,7 +168,7 @@ def test_wanted_fields_only_and_widening():
     b1 = encode_bodies(one, [pa.array([-3], pa.int32()), pa.array(["x"])])[0].as_py()
     b2 = struct.pack("<d", 0.5)
     decoded = decode_bodies(pa.array([1, 2], pa.int32()), pa.array([b1, b2]), {1: one, 2: two}, {"n": "double"})
-    assert decoded.to_pylist() == [{"n": -3.0, "_ok": True}, {"n": 0.5, "_ok": True}]
+    assert decoded.to_pylist() == [{"n": -3.0, OK: True}, {"n": 0.5, OK: True}]
 
 
 def test_special_doubles():
@@ -184,7 +184,7 @@ def test_overlong_varint_and_bad_branch_and_negative_length():
     damaged = [b"\xff" * 11, b"\x04\x02", b"\x01"]
     for fields, body in zip(field_sets, damaged):
         decoded = decode_bodies(pa.array([1], pa.int32()), pa.array([body]), {1: fields}, {fields[0].name: fields[0].avro})
-        assert decoded.to_pylist()[0]["_ok"] is False
+        assert decoded.to_pylist()[0][OK] is False
 
 
 def test_empty_batch():

@@ -33,6 +33,13 @@ def test_positions_equal_a_plain_count(spark, bits):
     assert {tuple(r)[:3]: r["p"] for r in placed.collect()} == expected
 
 
+def test_copies_of_an_offset_are_all_kept(spark):
+    frame = spark.createDataFrame([("t", 0, 5)] * 40 + [("t", 0, 1), ("t", 0, 9)], SHAPE)
+    placed = with_position(frame, ["topic", "partition"], "offset", "p", 2)
+    assert sorted(r["p"] for r in placed.collect()) == list(range(42))
+    assert {r["p"] for r in placed.where("offset <> 5").collect()} == {0, 41}
+
+
 def test_batches_have_the_size_and_the_rest(spark):
     batches = assign_batches(spark.createDataFrame(hot_rows(), SHAPE), 200, bucket_bits=4)
     sizes = {

@@ -19,6 +19,9 @@ from vecsink.functions.avro import Field, Schemas
 VARINT_BYTES = {"int": 5, "long": 10}
 FIXED = {"float": np.dtype("<f4"), "double": np.dtype("<f8"), "boolean": np.dtype("u1")}
 
+# Result field that says whether a body was read; no Avro name can look like it.
+OK = "ok?"
+
 _NUMPY = {"int": np.int32, "long": np.int64, "float": np.float32, "double": np.float64, "boolean": np.bool_}
 
 
@@ -125,11 +128,11 @@ def _read_field(cursors: Cursors, rows: np.ndarray, field: Field, slot: _Slot |
 def decode_bodies(
     ids: pa.Array, bodies: pa.Array, schemas: Schemas, wanted: Mapping[str, str]
 ) -> pa.StructArray:
-    """Bodies of several schemas to one struct of `wanted` fields plus `_ok`.
+    """Bodies of several schemas to one struct of `wanted` fields plus `OK`.
 
     String fields come out as bytes. Bytes after the last field are ignored. A
     row whose schema id is not in `schemas`, or whose body is null or ends too
-    early, gets nulls and `_ok` false.
+    early, gets nulls and a false `OK`.
     """
     bodies = bodies.cast(pa.binary())
     count = len(bodies)
@@ -161,7 +164,7 @@ def decode_bodies(
     for slot in slots.values():
         slot.valid &= ok
     arrays = [slot.arrow(data) for slot in slots.values()] + [pa.array(ok)]
-    return pa.StructArray.from_arrays(arrays, names=[*slots, "_ok"])
+    return pa.StructArray.from_arrays(arrays, names=[*slots, OK])
 
 
 def _packed(matrix: np.ndarray, lengths: np.ndarray) -> pa.Array:

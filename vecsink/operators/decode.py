@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vecsink.functions import wire
 from vecsink.functions.avro import Field, Schemas, avro_to_spark, readable, superset
-from vecsink.functions.avro_body import decode_bodies
+from vecsink.functions.avro_body import OK, decode_bodies
 from vecsink.operators.envelope import BAD_PAYLOAD, UNKNOWN_SCHEMA, UNSUPPORTED_SCHEMA
 
 
@@ -30,14 +30,14 @@ def _raw_type(avro: str) -> str:
 
 
 def body_decoder(schemas: Schemas, fields: Sequence[str] | None = None):
-    """Arrow UDF `(schema_id, payload) -> struct<fields..., _ok>`.
+    """Arrow UDF `(schema_id, payload) -> struct<fields..., OK>`.
 
     Only these two columns travel to the Python worker; the rest of the row
     waits in the JVM.
     """
     wanted = _wanted(schemas, fields)
     plain = dict(schemas)
-    result = ", ".join([f"`{name}`: {_raw_type(avro)}" for name, avro in wanted.items()] + ["_ok: boolean"])
+    result = ", ".join([f"`{name}`: {_raw_type(avro)}" for name, avro in wanted.items()] + [f"`{OK}`: boolean"])
 
     @F.arrow_udf(f"struct<{result}>")
     def decode(ids: pa.Array, bodies: pa.Array) -> pa.Array:
@@ -82,7 +82,7 @@ def decode_values(
     else:
         decode = body_decoder(schemas, fields)
         decoded = ready.withColumn("_decoded", decode(F.col("schema_id"), body))
-    failed = F.col("reject_reason").isNull() & ~F.coalesce(F.col("_decoded._ok"), F.lit(False))
+    failed = F.col("reject_reason").isNull() & ~F.coalesce(F.col("_decoded").getField(OK), F.lit(False))
     return decoded.select(
         *[name for name in parsed.columns if name not in ("reject_reason", "payload")],
         F.when(failed, BAD_PAYLOAD).otherwise(F.col("reject_reason")).alias("reject_reason"),
@@ -114,7 +114,7 @@ def _native(body: Column, schemas: Schemas, wanted: Mapping[str, str]) -> Column
         whole = read.isNotNull()
         for test in required:
             whole = whole & test
-        struct = F.struct(*values, whole.alias("_ok"))
+        struct = F.struct(*values, whole.alias(OK))
         here = F.col("schema_id") == schema_id
         branches = F.when(here, struct) if branches is None else branches.when(here, struct)
     return branches

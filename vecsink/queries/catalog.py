@@ -338,7 +338,8 @@ def null_defaults(spark, sf_dir):
     CASE WHEN p_size % 5 <> 0 THEN list_transform(string_split(p_name, ' '), lambda x: nullif(x, 'red')) END AS words,
     CASE WHEN p_size % 5 <> 1 THEN [p_retailprice, CAST(p_size AS DOUBLE)] END AS numbers,
     CASE WHEN p_size % 5 <> 2 THEN [p_size, p_size * 2] END AS counts FROM part)
-SELECT p_partkey, array_to_string(list_transform(coalesce(words, CAST([] AS VARCHAR[])), lambda x: coalesce(x, '')), '|') AS words,
+SELECT p_partkey,
+  array_to_string(list_transform(coalesce(words, CAST([] AS VARCHAR[])), lambda x: coalesce(x, '')), '|') AS words,
   CAST(coalesce(len(numbers), 0) AS INTEGER) AS numbers_size, list_extract(numbers, 1) AS first_number,
   CAST(coalesce(len(counts), 0) AS INTEGER) AS counts_size, list_extract(counts, 2) AS last_count FROM a"""
 )
