@@ -120,13 +120,12 @@ def _read_sent(spark: SparkSession, path: str, shape: DataFrame) -> DataFrame:
     return _flat(stored.withColumn("properties", typed))
 
 
-def _landed(spark: SparkSession, sf_dir: str, folder: str, damaged: bool = False) -> tuple[DataFrame, int]:
+def _landed(spark: SparkSession, sf_dir: str, folder: str, damaged: bool = False) -> DataFrame:
     """Records landed as files, as a stream of a few micro-batches at any size."""
     source = fixtures.damaged_events if damaged else fixtures.kafka_events
     source(spark, sf_dir).write.partitionBy("partition").parquet(folder)
     files = len(spark.read.parquet(folder).inputFiles())
-    per_batch = math.ceil(files / STREAM_BATCHES)
-    return kafka.stream_kafka_files(spark, folder, per_batch), files
+    return kafka.stream_kafka_files(spark, folder, math.ceil(files / STREAM_BATCHES))
 
 
 # --------------------------------------------------------------------------
@@ -596,7 +595,7 @@ def sample(spark, sf_dir):
 @query(f"{K} SELECT {SQL_OBJECT} FROM k")
 def stream_foreach_batch(spark, sf_dir):
     folder = scratch_folder(spark, "stream")
-    stream, _ = _landed(spark, sf_dir, f"{folder}/landed")
+    stream = _landed(spark, sf_dir, f"{folder}/landed")
     options = {"className": CLASS, "path": f"{folder}/collection", "run": "events-load"}
     run_stream(stream, options, f"{folder}/checkpoint", fixtures.SCHEMAS).finish()
     return _flat(collection.read_collection(spark, f"{folder}/collection", CLASS))
@@ -605,7 +604,7 @@ def stream_foreach_batch(spark, sf_dir):
 @query(f"{K} SELECT {SQL_OBJECT} FROM k")
 def stream_native_sink(spark, sf_dir):
     folder = scratch_folder(spark, "native")
-    stream, _ = _landed(spark, sf_dir, f"{folder}/landed")
+    stream = _landed(spark, sf_dir, f"{folder}/landed")
     options = {"className": CLASS, "path": f"{folder}/collection", "run": "events-native", "batchSize": BATCH_SIZE}
     run_native_stream(stream, options, f"{folder}/checkpoint", fixtures.SCHEMAS).awaitTermination()
     shape = _plan(fixtures.kafka_events(spark, sf_dir)).objects()
@@ -618,7 +617,7 @@ def stream_native_sink(spark, sf_dir):
 )
 def stream_totals(spark, sf_dir):
     folder = scratch_folder(spark, "totals")
-    stream, _ = _landed(spark, sf_dir, f"{folder}/landed", damaged=True)
+    stream = _landed(spark, sf_dir, f"{folder}/landed", damaged=True)
     options = {
         "className": CLASS,
         "path": f"{folder}/collection",
