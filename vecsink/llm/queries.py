@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecsink.llm.minhash_dedup import near_copies
+from vecsink.llm.packing import pack
 from vecsink.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +29,13 @@ def query(sql: str | None = None):
     return add
 
 
+def tokenizer_file(name: str) -> str:
+    """Place of a public tokenizer's file, the same on each machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -73,3 +81,10 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that share 80 percent of their 2-word shingles."""
     found = near_copies(table(spark, sf_dir, "documents"), size=2, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+@query()
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 4096 tokens."""
+    pieces = pack(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
