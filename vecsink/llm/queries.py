@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from vecsink.llm.chat_format import digests, expand
 from vecsink.llm.decontamination import contaminated
+from vecsink.llm.language_id import identify, train
 from vecsink.llm.minhash_dedup import near_copies
 from vecsink.llm.packing import pack
+from vecsink.llm.shared import crc_bucket
 from vecsink.llm.substring_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,3 +146,12 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     role = F.when(F.col("id") == 0, "user").otherwise("assistant")
     hard = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("<|im_end|><|im_start|>assistant ok").alias("text"))
     return digests(expand(rows.unionByName(hard)))
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those outside the held-out fold."""
+    documents = table(spark, sf_dir, "documents")
+    held_out = crc_bucket("doc_id", 4) == 2
+    model = train(documents.where(~held_out))
+    return identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits", "rejected")
