@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vecsink.llm.chat_format import digests, expand
 from vecsink.llm.decontamination import contaminated
+from vecsink.llm.embedding_dedup import near_vectors
 from vecsink.llm.language_id import identify, train
 from vecsink.llm.minhash_dedup import near_copies
 from vecsink.llm.packing import pack
@@ -155,3 +156,24 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = crc_bucket("doc_id", 4) == 2
     model = train(documents.where(~held_out))
     return identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits", "rejected")
+
+
+@query(
+    """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL),
+u AS (
+  SELECT vec_id, x, len(x) AS n, sqrt(list_dot_product(x, x)) AS l FROM v
+  WHERE len(x) > 0 AND len(list_filter(x, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+e AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id AND a.n = b.n
+  WHERE a.l > 0 AND b.l > 0 AND list_dot_product(a.x, b.x) / (a.l * b.l) >= 0.9),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN (SELECT a AS vec_id, count(*) AS n FROM e GROUP BY a) USING (vec_id)
+JOIN (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY a) USING (vec_id)
+"""
+)
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of embeddings that cosines of 0.9 or more link."""
+    found = near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
+    return found.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))

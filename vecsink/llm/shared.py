@@ -64,3 +64,49 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
 def crc_bucket(column: str, buckets: int):
     """crc32 of an id written as text, modulo buckets."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % buckets
+
+
+#: Bits of an id filter: at most 131,072 rows of 64 bits, whatever the data.
+FILTER_BITS = 1 << 23
+
+
+def id_filter(frame: DataFrame, column: str) -> DataFrame:
+    """A Bloom filter of one hash over the ids, as rows of 64 bits; its size has a fixed bound."""
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    return frame.select(place.alias("place")).groupBy((F.col("place") / 64).cast("int").alias("slot")).agg(F.bit_or(bit).alias("bits"))
+
+
+def with_maybe(frame: DataFrame, column: str, kept: DataFrame) -> DataFrame:
+    """The frame with the column maybe: false for rows whose id is surely not in the filter."""
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
+    placed = frame.withColumn("place", place).withColumn("slot", (F.col("place") / 64).cast("int"))
+    joined = placed.join(F.broadcast(kept), "slot", "left")
+    maybe = F.expr("coalesce(shiftright(bits, cast(place % 64 as int)) & 1L, 0L) = 1L")
+    return joined.withColumn("maybe", maybe).drop("place", "slot", "bits")
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Consecutive rows of equal keys as one table, across batches; what is held is one run."""
+    import numpy as np
+
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for values in columns:
+            new[1:] |= values[1:] != values[:-1]
+        new[0] = last is not None and any(v[0] != x for v, x in zip(columns, last, strict=True))
+        cuts = [*np.flatnonzero(new).tolist(), batch.num_rows]
+        if cuts[0] > 0:
+            held.append(batch.slice(0, cuts[0]))
+        for begin, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            if held:
+                yield pa.Table.from_batches(held)
+            held = [batch.slice(begin, stop - begin)]
+        last = [v[-1] for v in columns]
+    if held:
+        yield pa.Table.from_batches(held)
