@@ -194,7 +194,6 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
     vec_id. Vectors that are null, empty, zero or hold null or non-finite numbers, and rows without
     vec_id, are linked with nothing. Other columns are not read.
     """
-    spark = embeddings.sparkSession
     rows = embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_units, "vec_id long, size int, digest binary, body binary")
     rows = stored(rows, "vectors")
     classes = rows.where("digest is not null").groupBy("size", "digest").agg(F.min("vec_id").alias("id"), F.count("*").alias("weight"), F.first("body").alias("body"))
@@ -206,8 +205,8 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
     sizes = drawn.column("size").to_numpy()
     common = int(np.bincount(sizes).argmax())
     bodies = [b for b, size in zip(drawn.column("body").to_pylist(), sizes.tolist(), strict=True) if size == common]
-    index = spark.sparkContext.broadcast(fit(unit(bodies, common), total, threshold))
-    dealt = classes.mapInArrow(lambda it: _dealt(it, index.value), "id long, size int, weight long, body binary, cell int, query boolean, own_cell int, reach double")
+    index = fit(unit(bodies, common), total, threshold)
+    dealt = classes.mapInArrow(lambda it: _dealt(it, index), "id long, size int, weight long, body binary, cell int, query boolean, own_cell int, reach double")
     dealt = stored(dealt, "cells")
     # Blocks of each cell; the grid has at most MOST_WORDS ** 2 cells of each vector length.
     blocks = dealt.groupBy("cell", "size").agg(
@@ -223,7 +222,7 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
     )
     keys = ["cell", "size", "query_block", "stored_block"]
     spread = spread.withColumn("query_block", F.explode("qs")).withColumn("stored_block", F.explode("ss")).drop("qs", "ss")
-    links = spread.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda it: _linked(it, index.value, threshold), "id long, links long, root long")
+    links = spread.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda it: _linked(it, index, threshold), "id long, links long, root long")
     links = stored(links, "links")
     part = components(links.select(F.col("id").alias("a"), F.col("root").alias("b")), "parts").withColumnRenamed("node", "id")
     counted = links.groupBy("id").agg(F.sum("links").alias("links"))

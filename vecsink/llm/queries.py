@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecsink.llm import toxicity
 from vecsink.llm.chat_format import digests, expand
 from vecsink.llm.decontamination import contaminated
 from vecsink.llm.embedding_dedup import near_vectors
@@ -177,3 +178,17 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of embeddings that cosines of 0.9 or more link."""
     found = near_vectors(table(spark, sf_dir, "embeddings"), 0.9)
     return found.select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+
+
+#: A document with at least this score is taken for toxic.
+TOXIC_SCORE = 0.7
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels outside the held-out fold."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_bucket("doc_id", 3) == 1
+    model = toxicity.train(documents, table(spark, sf_dir, "labels").where(~held_out))
+    found = toxicity.score(documents, model)
+    return found.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= TOXIC_SCORE, 1).otherwise(0).alias("predicted"))
