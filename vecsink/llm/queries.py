@@ -11,6 +11,7 @@ from vecsink.llm import toxicity
 from vecsink.llm.chat_format import digests, expand
 from vecsink.llm.decontamination import contaminated
 from vecsink.llm.embedding_dedup import near_vectors
+from vecsink.llm.html_extract import extract
 from vecsink.llm.language_id import identify, train
 from vecsink.llm.minhash_dedup import near_copies
 from vecsink.llm.packing import pack
@@ -192,3 +193,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(documents, table(spark, sf_dir, "labels").where(~held_out))
     found = toxicity.score(documents, model)
     return found.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= TOXIC_SCORE, 1).otherwise(0).alias("predicted"))
+
+
+@query()
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main texts of all pages."""
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
