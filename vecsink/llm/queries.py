@@ -13,6 +13,7 @@ from vecsink.llm.decontamination import contaminated
 from vecsink.llm.embedding_dedup import near_vectors
 from vecsink.llm.html_extract import extract
 from vecsink.llm.language_id import identify, train
+from vecsink.llm.license_scan import scan
 from vecsink.llm.minhash_dedup import near_copies
 from vecsink.llm.packing import pack
 from vecsink.llm.shared import crc_bucket
@@ -199,3 +200,11 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main texts of all pages."""
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in all documents."""
+    found = scan(table(spark, sf_dir, "documents"))
+    joined = {name: F.array_join(name, ",") for name in ("base_labels", "labels")}
+    return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", joined["base_labels"].alias("base_labels"), joined["labels"].alias("labels"), "score")
