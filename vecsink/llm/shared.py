@@ -110,3 +110,10 @@ def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         last = [v[-1] for v in columns]
     if held:
         yield pa.Table.from_batches(held)
+
+
+def without(frame: DataFrame, column: str, gone: DataFrame) -> DataFrame:
+    """Rows of which the id is not in gone (distinct ids); only rows that may be are shuffled. Null ids stay."""
+    told = with_maybe(frame, column, id_filter(gone, column))
+    rest = told.where("maybe").drop("maybe").join(gone, column, "left_anti")
+    return told.where("not maybe").drop("maybe").unionByName(rest)
