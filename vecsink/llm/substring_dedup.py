@@ -7,15 +7,16 @@ exchanging a dictionary, and equal substrings get equal symbols but near their e
 symbol the words that its being there depends on are tracked (its reach). A window of 13 words
 thus always holds a symbol of the second round whose reach lies inside it, or it touches a run.
 
-1. Reveal: each window picks, of the symbols whose reach it holds, the one with the least name;
-   so equal windows pick equal symbols. A window without one picks itself. Picked symbols are
+1. Reveal: a symbol goes by a hash of all words in its reach, at most ten if there is no run. Each
+   window picks, of the symbols whose reach it holds, the least; so equal windows pick equal symbols. A window without one picks itself. Picked symbols are
    dealt out by name; those of two documents are shared.
 2. Verify: windows that picked a shared symbol are compared by two independent 64-bit hashes of
    all their words; the smallest doc_id with a window is its owner.
 3. Remove: words in a window that a smaller doc_id owns.
 
 A symbol that several documents of one slice share is sent once for all of them, so very
-frequent passages do not meet in one task. Texts that are copies of a smaller doc_id's text
+frequent passages do not meet in one task. Only texts that a Bloom filter of fixed size finds
+among those with shared symbols are shuffled. Texts that are copies of a smaller doc_id's text
 lose all words that windows cover and are not compared again.
 """
 
@@ -28,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecsink.llm.shared import slices, stored, text_column
-from vecsink.llm.words import SPACED, U64, constants, find_words, mix, text_of_each
+from vecsink.llm.shared import id_filter, slices, stored, text_column, with_maybe
+from vecsink.llm.words import SPACED, U64, constants, find_words, mix, power_tables, text_of_each
 
 ROUNDS = 2
 _FAR = np.iinfo(np.int64).max
@@ -95,6 +96,18 @@ def window_hashes(hashes: np.ndarray, size: int, seed: int) -> np.ndarray:
         return mix(out)
 
 
+def _reach_names(hashes, first, low, high, owner):
+    """A hash of the words in each reach; none where it leaves its text."""
+    n = len(hashes)
+    with np.errstate(over="ignore"):
+        power, inverse = power_tables(n + 1, 1)
+        sums = np.zeros(n + 1, dtype=U64)
+        np.cumsum(hashes * power[:n], out=sums[1:])
+        lo, hi = np.clip(low, 0, n - 1), np.clip(high, 0, n - 1)
+        name = mix((sums[hi + 1] - sums[lo]) * inverse[lo] + (hi - lo).astype(U64))
+    return np.where((low >= first[owner]) & (high < first[owner + 1]), name, U64(0))
+
+
 def picks(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows inside one text: first word, text, and the name of the symbol that each picks."""
     text = text_of_each(first)
@@ -103,7 +116,8 @@ def picks(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray,
     start = start[text[start] == text[start + size - 1]] if len(start) else start
     if not len(start):
         return start, start, np.zeros(0, dtype=U64)
-    name, low, high, _ = symbols(hashes, text)
+    _, low, high, owner = symbols(hashes, text)
+    name = _reach_names(hashes, first, low, high, owner)
     # Both ends of the reach grow from symbol to symbol, so a window holds a range of symbols.
     begin = np.searchsorted(low, start, side="left")
     stop = np.searchsorted(high, start + size - 1, side="right")
@@ -181,99 +195,105 @@ def shared_symbols(documents: DataFrame, size: int) -> DataFrame:
     return sent.repartition("key").sortWithinPartitions("key", "name").mapInArrow(_met, "doc_id long, name long")
 
 
-_FOUND = "doc_id long, text string, n_words long, n_removed long, kept_text string, starts array<int>, h1 array<long>, h2 array<long>"
+_KEPT = ["doc_id", "n_words", "n_removed", "kept_text", "rest"]
+
+
+def _plain(batch: pa.RecordBatch, whole: bool) -> pa.RecordBatch:
+    """Documents that keep all their words."""
+    counts, kept = [], []
+    for text in text_column(batch).cast(pa.large_binary()).to_pylist():
+        words = text.split()
+        counts.append(len(words))
+        kept.append(text if whole else b" ".join(words))
+    columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(np.zeros(len(counts), dtype=np.int64)), pa.array(kept, pa.binary()).cast(pa.string()), batch.column("rest")]
+    return pa.RecordBatch.from_arrays(columns, _KEPT)
 
 
-def _found(batch: pa.RecordBatch, size: int) -> pa.RecordBatch:
-    """Documents with the windows that picked a shared symbol; those without are done."""
-    texts = text_column(batch)
-    shared, copy = batch.column("names"), batch.column("copy").to_pylist()
-    ids = batch.column("doc_id").to_pylist()
-    rows = {k: [] for k in ("doc_id", "text", "n_words", "n_removed", "kept_text", "starts", "h1", "h2")}
+def _found(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Texts and number of words, with the windows that picked a shared symbol."""
+    texts, names, copy = text_column(batch), batch.column("names"), batch.column("copy").to_numpy(zero_copy_only=False)
+    salt = constants(1, 45)[0] | U64(1)
     for a, b in slices(texts):
         part = texts.slice(a, b - a)
-        words = find_words(part, SPACED)
-        counts = words.count()
-        has = [i for i in range(b - a) if shared[a + i].is_valid and not copy[a + i] and counts[i] >= size]
-        second = find_words(part, SPACED, 1) if has else None
-        for i in range(b - a):
-            text = part[i].as_py()
-            lost = int(counts[i]) if copy[a + i] and counts[i] >= size else 0
-            rows["doc_id"].append(ids[a + i])
-            rows["n_words"].append(int(counts[i]))
-            rows["n_removed"].append(lost)
-            rows["starts"].append(None)
-            rows["h1"].append(None)
-            rows["h2"].append(None)
-            rows["text"].append(None)
-            rows["kept_text"].append("" if lost else _joined(text))
-        for i in has:
-            lo, hi = words.first[i], words.first[i + 1]
-            one, two = words.hashes[lo:hi], second.hashes[lo:hi]
-            start, _, name = picks(one, np.array([0, hi - lo]), size)
-            names = shared[a + i].values.to_numpy().view(U64)
-            start = start[np.isin(name, names)]
-            if len(start):
-                at = len(rows["doc_id"]) - (b - a) + i
-                rows["starts"][at] = start.astype(np.int32)
-                rows["h1"][at] = window_hashes(one, size, 41)[start].view(np.int64)
-                rows["h2"][at] = window_hashes(two, size, 43)[start].view(np.int64)
-                rows["text"][at], rows["kept_text"][at] = rows["kept_text"][at], None
-    types = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(rows.values(), types, strict=True)], list(rows))
-
-
-def _joined(text: str) -> str:
-    """The words of a text, one space between."""
-    return " ".join(w for w in text.translate(_BLANKS).split(" ") if w)
-
-
-_BLANKS = {c: " " for c in range(0x09, 0x0E)}
-
-
-def _removed(batch: pa.RecordBatch, size: int) -> pa.RecordBatch:
-    """Kept words of documents, of which texts are words joined by one space."""
-    texts, starts = batch.column("text").to_pylist(), batch.column("lost")
+        words, second = find_words(part, SPACED), find_words(part, SPACED, 1)
+        start, text, name = picks(words.hashes, words.first, size)
+        own = names.slice(a, b - a)
+        shared = own.flatten().to_numpy().view(U64)
+        lengths = np.asarray(own.value_lengths().fill_null(0)) * ~copy[a:b]
+        shared = shared[np.repeat(~copy[a:b], np.asarray(own.value_lengths().fill_null(0)))]
+        with np.errstate(over="ignore"):
+            wanted = mix(shared + np.repeat(np.arange(b - a, dtype=U64), lengths) * salt)
+            keep = np.isin(mix(name + text.astype(U64) * salt), wanted)
+        start, text = start[keep], text[keep]
+        one, two = (window_hashes(x.hashes, size, seed)[start].view(np.int64) for x, seed in ((words, 41), (second, 43)))
+        offsets = pa.array(np.searchsorted(text, np.arange(b - a + 1)).astype(np.int32))
+        within = (start - words.first[text]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (within, one, two)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id").slice(a, b - a), part.cast(pa.string()), pa.array(words.count().astype(np.int64)), pa.array(copy[a:b]), *lists, batch.column("rest").slice(a, b - a)],
+            ["doc_id", "text", "n_words", "copy", "starts", "h1", "h2", "rest"],
+        )
+
+
+def _removed(batch: pa.RecordBatch, size: int, whole: bool) -> pa.RecordBatch:
+    """What is kept of documents with lost windows, and of copies."""
+    texts = text_column(batch).cast(pa.large_binary()).to_pylist()
+    starts, copy = batch.column("lost"), batch.column("copy").to_pylist()
     lost, kept = [], []
     for i, text in enumerate(texts):
-        words = text.split(" ") if text else []
+        words = text.split()
         edge = np.zeros(len(words) + 1, dtype=np.int64)
-        if starts[i].is_valid:
+        if copy[i] and len(words) >= size:
+            edge[0] = 1
+        elif starts[i].is_valid:
             at = np.unique(starts[i].values.to_numpy())
             edge[at] += 1
-            np.add.at(edge, np.minimum(at + size, len(words)), -1)
+            np.add.at(edge, at + size, -1)
         covered = np.cumsum(edge[:-1]) > 0
         lost.append(int(covered.sum()))
-        kept.append(" ".join(w for w, x in zip(words, covered.tolist(), strict=True) if not x))
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_id"), batch.column("n_words"), pa.array(lost, pa.int64()), pa.array(kept, pa.string())], ["doc_id", "row_id", "n_words", "n_removed", "kept_text"])
+        kept.append(text if whole and not lost[-1] else b" ".join(w for w, x in zip(words, covered.tolist(), strict=True) if not x))
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array(lost, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string()), batch.column("rest")], _KEPT)
 
 
-def remove_repeats(documents: DataFrame, size: int = 13) -> DataFrame:
+def remove_repeats(documents: DataFrame, size: int = 13, columns: tuple[str, ...] = (), whole: bool = False) -> DataFrame:
     """Remove each word in a window of `size` words that also starts in a smaller doc_id.
 
-    Returns doc_id, n_words, n_removed, kept_text (kept words, one space between),
-    one row for each row of documents. Windows are judged on the input. A null text has no words. A row
+    Returns doc_id, n_words, n_removed, kept_text (kept words, one space between; with `whole` a text
+    that loses nothing stays as it is) and the named columns, one row for each row of documents.
+    Windows are judged on the input. A null text has no words and becomes empty. A row
     without doc_id keeps its words and takes none from others. Rows that share a doc_id do not
-    take words from each other. Other columns are not read.
+    take words from each other. Columns that are not named are not read.
     """
     if size < 11:
         raise ValueError("windows of fewer than 11 words may hold no symbol of the second round")
-    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    hashed = narrow.select("doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), (F.struct(*columns) if columns else F.lit(True)).alias("rest"))
+    rest = dict(narrow.dtypes)["rest"]
+    kept = f"doc_id long, n_words long, n_removed long, kept_text string, rest {rest}"
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    hashed = narrow.select("doc_id", digest.alias("digest"))
     owner = hashed.groupBy("digest").agg(F.min("doc_id").alias("owner"))
-    copies = hashed.join(owner, "digest").where(F.col("doc_id") > F.col("owner")).select("doc_id", F.col("digest").alias("copied"))
-    # Kept apart by text: rows with one doc_id may hold different texts.
-    symbols_of = shared_symbols(narrow, size).groupBy("doc_id").agg(F.collect_set("name").alias("names"))
-    known = copies.groupBy("doc_id").agg(F.collect_set("copied").alias("copied")).join(symbols_of, "doc_id", "full")
-    marked = narrow.join(known, "doc_id", "left").select(
-        "doc_id", "text", "names", F.coalesce(F.array_contains("copied", F.sha2(F.coalesce("text", F.lit("")), 256)), F.lit(False)).alias("copy")
+    copies = hashed.join(owner, "digest").where(F.col("doc_id") > F.col("owner"))
+    copies = copies.groupBy("doc_id").agg(F.collect_set("digest").alias("copied"))
+    names = shared_symbols(narrow.select("doc_id", "text"), size).groupBy("doc_id").agg(F.collect_set("name").alias("names"))
+    known = stored(copies.join(names, "doc_id", "full"), "shared-symbols")
+    told = with_maybe(narrow, "doc_id", id_filter(known, "doc_id"))
+    plain = told.where("not maybe").select("doc_id", "text", "rest").mapInArrow(lambda it: (_plain(b, whole) for b in it), kept)
+    # By text too: rows with one doc_id may hold different texts.
+    marked = told.where("maybe").join(known, "doc_id", "left")
+    marked = marked.select("doc_id", "text", "rest", "names", F.coalesce(F.array_contains("copied", digest), F.lit(False)).alias("copy"))
+    found = marked.mapInArrow(
+        lambda it: (out for b in it for out in _found(b, size)),
+        "doc_id long, text string, n_words long, copy boolean, starts array<int>, h1 array<long>, h2 array<long>, rest " + rest,
     )
-    found = marked.mapInArrow(lambda it: (_found(b, size) for b in it), _FOUND)
     found = stored(found.withColumn("row_id", F.monotonically_increasing_id()), "windows")
-    windows = found.where("starts is not null").select("doc_id", "row_id", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select("doc_id", "row_id", "w.*")
+    windows = found.select("doc_id", "row_id", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select("doc_id", "row_id", "w.*")
     owned = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
     lost = windows.join(owned, ["h1", "h2"]).where("owner < doc_id").groupBy("row_id").agg(F.collect_list("starts").alias("lost"))
-    open_rows = found.where("starts is not null").select("row_id", "doc_id", "n_words", "text").join(lost, "row_id", "left")
-    ended = open_rows.mapInArrow(lambda it: (_removed(b, size) for b in it), "doc_id long, row_id long, n_words long, n_removed long, kept_text string")
-    done = found.where("starts is null").select("doc_id", "row_id", "n_words", "n_removed", "kept_text")
-    return ended.unionByName(done).drop("row_id")
+    lost = stored(lost, "lost-windows")
+    told = with_maybe(found.select("row_id", "doc_id", "n_words", "text", "copy", "rest"), "row_id", id_filter(lost, "row_id"))
+    # Copies lose what windows cover without being compared, so they need no join either.
+    spared = told.where("not maybe or copy").withColumn("lost", F.lit(None).cast("array<int>"))
+    ended = told.where("maybe and not copy").join(lost, "row_id", "left")
+    cut = lambda frame: frame.select("doc_id", "n_words", "text", "copy", "lost", "rest").mapInArrow(lambda it: (_removed(b, size, whole) for b in it), kept)
+    every = plain.union(cut(spared)).union(cut(ended))
+    return every.select("doc_id", "n_words", "n_removed", "kept_text", *(F.col("rest")[c].alias(c) for c in columns))

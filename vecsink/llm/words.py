@@ -96,7 +96,7 @@ _BASES = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 _kept: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
-def _power_tables(count: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(count: int, which: int) -> tuple[np.ndarray, np.ndarray]:
     have = _kept.get(which)
     if have is None or len(have[0]) < count:
         size = max(count, 1 << 16)
@@ -130,7 +130,7 @@ def find_words(texts: pa.Array, alphabet: Alphabet, which: int = 0) -> Words:
         lasts = offsets[1:][np.diff(offsets) > 0] - 1
         stops[lasts] = inside[lasts]
         end = np.flatnonzero(stops) + 1
-        power, inverse = _power_tables(size + 1, which)
+        power, inverse = power_tables(size + 1, which)
         sums = np.zeros(size + 1, dtype=U64)
         np.cumsum(values[data] * power[:size], out=sums[1:])
         hashes = mix((sums[end] - sums[start]) * inverse[start])
