@@ -7,9 +7,11 @@ single tables would cost. With 9 parts (81 tables, 54 values) a pair of Jaccard
 meets in a table with probability 0.997, one of 0.85 with 0.9998, one of 0.9 with almost 1.
 
 Documents with equal shingle sets are one class; only the smallest doc_id of each is hashed.
-Members of a bucket are compared on their full shingle sets, first with the bucket's least
-member; members that are then still in different components are compared with each other, so
-no candidate pair is left out, and none is compared within a component.
+Within a bucket, documents gather around leaders: one whose sketch (two bits of each minhash
+value) is too far from all leaders leads a group of its own. A pair of the least similarity
+is that far with probability below 0.001. Members are then compared with their leader on full
+shingle sets. Members of a leader that are still in different components are compared with each
+other, blocks against blocks; no member is left out and no pairs within a component are formed.
 """
 
 from __future__ import annotations
@@ -22,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecsink.llm.components import components
-from vecsink.llm.shared import slices, stored, text_column
+from vecsink.llm.shared import id_filter, slices, stored, text_column, with_maybe
 from vecsink.llm.words import SPACED_LOWER, U64, constants, find_words, mix, text_of_each
 
 PARTS = 9
 WIDTH = 3
+#: Members of a leader that are compared at once.
+BLOCK = 2000
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,6 +66,13 @@ def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(owner, np.arange(len(texts) + 1), side="left")
 
 
+def least_agreeing(parts: int, percent: int) -> int:
+    """Minhash values that must seem equal: four deviations below what the least similarity gives."""
+    free = 2 * (parts - 1) * WIDTH
+    seem = percent / 100 + (1 - percent / 100) / 4
+    return int(2 * WIDTH + free * seem - 4 * (free * seem * (1 - seem)) ** 0.5)
+
+
 def _signed(batch: pa.RecordBatch, size: int, parts: int) -> Iterator[pa.RecordBatch]:
     """Set size, a 128-bit name of the set, and the hashed triples of both collections."""
     texts, ids = text_column(batch), batch.column("doc_id")
@@ -72,65 +83,122 @@ def _signed(batch: pa.RecordBatch, size: int, parts: int) -> Iterator[pa.RecordB
         full = np.flatnonzero(counts > 0)
         begin = first[:-1][full]
         rows = np.zeros((b - a, 2 * parts), dtype=U64)
-        names = np.zeros((b - a, 2), dtype=U64)
+        names, sketch = np.zeros((b - a, 2), dtype=U64), np.zeros((b - a, 2), dtype=U64)
         if len(full):
             with np.errstate(over="ignore"):
                 for part in range(2 * parts):
                     joined = np.zeros(len(full), dtype=U64)
                     for k in range(part * WIDTH, part * WIDTH + WIDTH):
-                        joined = mix(joined + np.minimum.reduceat(value * factors[k] + shifts[k], begin))
+                        least = mix(np.minimum.reduceat(value * factors[k] + shifts[k], begin))
+                        joined = mix(joined + least)
+                        sketch[full, 0] |= (least & U64(1)) << U64(k)
+                        sketch[full, 1] |= (least >> U64(1) & U64(1)) << U64(k)
                     rows[full, part] = joined
                 names[full, 0] = np.add.reduceat(mix(value ^ constants(1, 63)[0]), begin)
                 names[full, 1] = np.add.reduceat(mix(value ^ constants(1, 64)[0]), begin)
         flat = pa.array(rows.reshape(-1).view(np.int64))
         offsets = pa.array(np.arange(0, (b - a) * 2 * parts + 1, 2 * parts, dtype=np.int32))
         yield pa.RecordBatch.from_arrays(
-            [ids.slice(a, b - a), pa.array(counts.astype(np.int64)), pa.array(names[:, 0].view(np.int64)), pa.array(names[:, 1].view(np.int64)), pa.ListArray.from_arrays(offsets, flat)],
-            ["doc_id", "n_shingles", "s1", "s2", "parts"],
+            [ids.slice(a, b - a), pa.array(counts.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in (*names.T.copy(), *sketch.T.copy())), pa.ListArray.from_arrays(offsets, flat)],
+            ["doc_id", "n_shingles", "s1", "s2", "k1", "k2", "parts"],
         )
 
 
-def _tabled(batch: pa.RecordBatch, parts: int) -> Iterator[pa.RecordBatch]:
-    """A row for each table; members of one bucket within the batch are linked here and one is dealt."""
+class Leaders:
+    """Leaders of the buckets seen; rows come sorted by key, and a key may go on in the next batch."""
+
+    def __init__(self, values: int, least: int):
+        self.most = values - least
+        self.last, self.led = None, []
+
+    def near(self, a1, a2, b1, b2):
+        return np.bitwise_count((a1 ^ b1) | (a2 ^ b2)) <= self.most
+
+    def follow(self, key, doc, k1, k2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Rows that follow a leader, with the leader, and which rows lead."""
+        n = len(key)
+        leads = np.zeros(n, dtype=bool)
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), leads
+        begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        stop = np.append(begin[1:], n)
+        rows, heads = [], []
+        first = 0
+        if key[0] == self.last:
+            self._slowly(range(int(stop[0])), doc, k1, k2, leads, rows, heads)
+            first = 1
+        begin, stop = begin[first:], stop[first:]
+        leads[begin] = True
+        owner = np.repeat(begin, stop - begin)
+        at = np.arange(int(begin[0]) if len(begin) else n, n)
+        inner = at[owner != at]
+        owner = owner[owner != at]
+        good = self.near(k1[inner], k2[inner], k1[owner], k2[owner])
+        rows.append(inner[good])
+        heads.append(doc[owner[good]])
+        far = inner[~good]
+        far_owner = owner[~good]
+        for head in np.unique(far_owner).tolist():
+            self.led = [(doc[head], k1[head], k2[head])]
+            a, b = np.searchsorted(far_owner, [head, head + 1])
+            self._slowly(far[a:b].tolist(), doc, k1, k2, leads, rows, heads)
+        if len(begin):
+            self.last = key[-1]
+            self.led = [(doc[i], k1[i], k2[i]) for i in (np.flatnonzero(leads[begin[-1] :]) + begin[-1]).tolist()]
+        return np.concatenate(rows).astype(np.int64), np.concatenate(heads).astype(np.int64), leads
+
+    def _slowly(self, at, doc, k1, k2, leads, rows, heads) -> None:
+        """Rows one by one: each follows all leaders it is near to, or leads."""
+        for i in at:
+            d, a, b = (np.array(x) for x in zip(*self.led, strict=True))
+            near = self.near(k1[i], k2[i], a, b)
+            if near.any():
+                heads.append(d[near & (d != doc[i])])
+                rows.append(np.full(len(heads[-1]), i))
+            else:
+                leads[i] = True
+                self.led.append((doc[i], k1[i], k2[i]))
+
+
+def _tabled(batch: pa.RecordBatch, parts: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """A row for each table; those that follow a leader within the batch are linked, leaders are dealt."""
     count = batch.num_rows
-    doc = batch.column("doc_id").to_numpy()
+    ids, k1, k2 = (batch.column(c).to_numpy() for c in ("doc_id", "k1", "k2"))
+    k1, k2 = k1.view(U64), k2.view(U64)
     values = batch.column("parts").flatten().to_numpy().view(U64).reshape(count, 2 * parts)
     for i in range(parts):
         with np.errstate(over="ignore"):
             tables = np.arange(i * parts, (i + 1) * parts, dtype=U64)
             key = mix(mix(values[:, i : i + 1] + constants(1, 81)[0]) ^ values[:, parts:] + tables * constants(1, 82)[0]).reshape(-1)
-        docs = np.repeat(doc, parts)
-        order = np.lexsort((docs, key))
-        key, docs = key[order], docs[order]
-        head = np.ones(len(key), dtype=bool)
-        head[1:] = key[1:] != key[:-1]
-        least = docs[np.flatnonzero(head)][np.cumsum(head) - 1]
-        deal = np.where(head, key, mix(key ^ docs.astype(U64)))
-        yield pa.RecordBatch.from_arrays([pa.array(deal.view(np.int64)), pa.array(key.view(np.int64)), pa.array(docs), pa.array(least), pa.array(head)], ["deal", "key", "doc_id", "least", "dealt"])
-
-
-def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and doc_id, members of buckets of two or more, with the least member."""
-    last, centre = None, None
+        row = np.repeat(np.arange(count), parts)
+        order = np.lexsort((ids[row], key))
+        key, row = key[order], row[order]
+        doc = ids[row]
+        rows, heads, leads = Leaders(2 * parts * WIDTH, least_agreeing(parts, percent)).follow(key, doc, k1[row], k2[row])
+        at = np.flatnonzero(leads)
+        spread = mix(doc[rows].astype(U64))
+        columns = [
+            np.concatenate([key[at], spread]).view(np.int64),
+            np.concatenate([doc[at], doc[rows]]),
+            np.concatenate([k1[row[at]], k1[row[rows]]]).view(np.int64),
+            np.concatenate([k2[row[at]], k2[row[rows]]]).view(np.int64),
+            np.concatenate([np.zeros(len(at), dtype=np.int64), heads]),
+        ]
+        led = np.concatenate([np.zeros(len(at), bool), np.ones(len(rows), bool)])
+        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(led)], ["deal", "doc_id", "k1", "k2", "leader", "led"])
+
+
+def _met(batches: Iterator[pa.RecordBatch], parts: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key and doc_id, those that follow a leader."""
+    leaders = Leaders(2 * parts * WIDTH, least_agreeing(parts, percent))
     for batch in batches:
-        key, doc, least = (batch.column(c).to_numpy() for c in ("key", "doc_id", "least"))
-        dealt = batch.column("dealt").to_numpy(zero_copy_only=False)
-        apart = np.flatnonzero(~dealt)
-        out = [(key[apart], doc[apart], least[apart])]
-        key, doc = key[dealt], doc[dealt]
-        if len(key):
-            begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            heads = doc[begin]
-            if key[0] == last:
-                heads = heads.copy()
-                heads[0] = centre
-            centres = np.repeat(heads, np.diff(np.append(begin, len(key))))
-            keep = doc != centres
-            out.append((key[keep], doc[keep], centres[keep]))
-            last, centre = key[-1], centres[-1]
-        keys, docs, heads = (np.concatenate(x) for x in zip(*out, strict=True))
-        if len(keys):
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(docs), pa.array(heads)], ["key", "doc_id", "centre"])
+        key, doc, k1, k2, leader = (batch.column(c).to_numpy() for c in ("deal", "doc_id", "k1", "k2", "leader"))
+        led = batch.column("led").to_numpy(zero_copy_only=False)
+        open_doc = doc[~led]
+        rows, heads, _ = leaders.follow(key[~led], open_doc, k1[~led].view(U64), k2[~led].view(U64))
+        a, b = np.concatenate([doc[led], open_doc[rows]]), np.concatenate([leader[led], heads])
+        if len(a):
+            yield pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
@@ -141,32 +209,76 @@ def _sets(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), body.cast(pa.binary())], ["doc_id", "body"])
 
 
+def _similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have so much in common."""
+    if min(len(one), len(two)) * 100 < percent * max(len(one), len(two)):
+        return False
+    at = np.searchsorted(one, two)
+    common = int((one[np.minimum(at, len(one) - 1)] == two).sum())
+    return 100 * common >= percent * (len(one) + len(two) - common)
+
+
 def _agree(batch: pa.RecordBatch, percent: int) -> pa.RecordBatch:
     """Pairs whose sets reach the similarity."""
     left, right = batch.column("left"), batch.column("right")
     keep = np.zeros(batch.num_rows, dtype=bool)
-    seen, one = None, None
     for i in range(batch.num_rows):
-        body = right[i].as_buffer()
-        if seen is None or not seen.equals(body):
-            seen, one = body, np.frombuffer(body, dtype=U64)
-        two = np.frombuffer(left[i].as_buffer(), dtype=U64)
-        if min(len(one), len(two)) * 100 < percent * max(len(one), len(two)):
-            continue
-        at = np.searchsorted(one, two)
-        common = int((one[np.minimum(at, len(one) - 1)] == two).sum())
-        keep[i] = 100 * common >= percent * (len(one) + len(two) - common)
+        one, two = (np.frombuffer(x[i].as_buffer(), dtype=U64) for x in (left, right))
+        keep[i] = _similar(one, two, percent)
     return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, name: str) -> DataFrame:
-    """Of the pairs (a, b), those that are similar enough on full sets."""
-    pairs = stored(pairs, f"{name}-pairs")
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select(F.col("b").alias("doc_id"))).distinct()
-    sets = texts.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: (out for b in it for out in _sets(b, size)), "doc_id long, body binary")
-    sets = stored(sets, f"{name}-sets")
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("body").alias("left")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("body").alias("right")), "b")
-    return both.select("a", "b", "left", "right").mapInArrow(lambda it: (_agree(b, percent) for b in it), "a long, b long")
+def _compared(batches: Iterator[pa.RecordBatch], parts: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """Links between components of one block pair; rows are sorted by block, strays first.
+
+    Each stray is compared with the members of other components that its sketch is near to, until it
+    is linked to their component.
+    """
+    leaders = Leaders(2 * parts * WIDTH, least_agreeing(parts, percent))
+    block, strays, found = None, [], set()
+    for batch in batches:
+        names = list(zip(*(batch.column(c).to_pylist() for c in ("leader", "stray_block", "member_block")), strict=True))
+        doc, component, k1, k2 = (batch.column(c).to_numpy() for c in ("doc_id", "component", "k1", "k2"))
+        k1, k2 = k1.view(U64), k2.view(U64)
+        stray, body = batch.column("stray").to_pylist(), batch.column("body")
+        out = []
+        for i, name in enumerate(names):
+            if name != block:
+                block, strays, found, sketches = name, [], set(), None
+            one = np.frombuffer(body[i].as_buffer(), dtype=U64)
+            if stray[i]:
+                strays.append((int(doc[i]), int(component[i]), one, k1[i], k2[i]))
+                continue
+            if sketches is None:
+                sketches = [np.array([x[k] for x in strays], dtype=U64) for k in (3, 4)]
+            if not strays:
+                continue
+            for j in np.flatnonzero(leaders.near(sketches[0], sketches[1], k1[i], k2[i])).tolist():
+                other, part, two = strays[j][:3]
+                if part == component[i] or (other, int(component[i])) in found:
+                    continue
+                if _similar(one, two, percent):
+                    found.add((other, int(component[i])))
+                    out.append((max(other, int(doc[i])), min(other, int(doc[i]))))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b"])
+
+
+def _block_pairs(group: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members of leaders whose members lie in several components, as blocks of strays and of all members.
+
+    Strays are those outside a leader's main component.
+    """
+    sizes = group.groupBy("leader", "component").agg(F.count("*").alias("n"))
+    split = sizes.groupBy("leader").agg(F.count("*").alias("components"), F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    split = split.where("components > 1").select("leader", "main", F.ceil(F.col("all") / BLOCK).cast("int").alias("member_blocks"), F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int").alias("stray_blocks"))
+    mixed = group.join(split, "leader").join(sets, "doc_id")
+    own = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["leader", "doc_id", "component", "k1", "k2", "body"]
+    strays = mixed.where("component <> main").select(*columns, F.lit(True).alias("stray"), own("stray_blocks").alias("stray_block"), every("member_blocks").alias("member_block"))
+    members = mixed.select(*columns, F.lit(False).alias("stray"), own("member_blocks").alias("member_block"), every("stray_blocks").alias("stray_block"))
+    return strays.unionByName(members)
 
 
 def near_copies(documents: DataFrame, size: int = 5, percent: int = 80, parts: int = PARTS) -> DataFrame:
@@ -175,44 +287,37 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80, parts: i
     Two documents are linked if percent of the union of their sets of `size`-word shingles is
     common to both; a component is all that links connect, named by its smallest doc_id. A text of
     fewer words is one shingle. A null text, or one without words, is linked with nothing. A row
-    without doc_id has no component. Rows that share a doc_id should share their text. Other
-    columns are not read.
+    without doc_id has no component. Repeated rows are in one component. Other columns are not read.
     """
+    if 2 * parts * WIDTH > 64:
+        raise ValueError("a sketch has room for 64 minhash values")
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = narrow.mapInArrow(lambda it: (out for b in it for out in _signed(b, size, parts)), "doc_id long, n_shingles long, s1 long, s2 long, parts array<long>")
+    signed = narrow.mapInArrow(lambda it: (out for b in it for out in _signed(b, size, parts)), "doc_id long, n_shingles long, s1 long, s2 long, k1 long, k2 long, parts array<long>")
     signed = stored(signed, "signatures")
-    filled = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = filled.groupBy("n_shingles", "s1", "s2").agg(F.min("doc_id").alias("leader"))
-    member = filled.select("doc_id", "n_shingles", "s1", "s2").distinct().join(classes, ["n_shingles", "s1", "s2"]).select("doc_id", "leader", "n_shingles")
-    member = stored(member, "classes")
-    leaders = member.where("doc_id = leader").select("doc_id").distinct()
-    tables = filled.join(leaders, "doc_id", "left_semi").select("doc_id", "parts").dropDuplicates(["doc_id"])
-    dealt = tables.mapInArrow(lambda it: (out for b in it for out in _tabled(b, parts)), "deal long, key long, doc_id long, least long, dealt boolean")
-    buckets = dealt.repartition("deal").sortWithinPartitions("deal", "doc_id").mapInArrow(_met, "key long, doc_id long, centre long")
-    buckets = stored(buckets, "buckets")
-    texts = narrow.where("doc_id is not null")
-    stars = buckets.where("doc_id <> centre").select(F.col("doc_id").alias("a"), F.col("centre").alias("b")).distinct()
-    links = _verified(_fitting(stars, member, percent), texts, size, percent, "stars")
-    links = stored(links, "links")
+    named = ["n_shingles", "s1", "s2"]
+    kept = F.min_by(F.struct("parts", "k1", "k2"), "doc_id").alias("kept")
+    classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*named).agg(F.min("doc_id").alias("doc_id"), kept)
+    classes = stored(classes.select(*named, "doc_id", "kept.*"), "classes")
+    tabled = classes.select("doc_id", "k1", "k2", "parts").mapInArrow(
+        lambda it: (out for b in it for out in _tabled(b, parts, percent)), "deal long, doc_id long, k1 long, k2 long, leader long, led boolean"
+    )
+    pairs = tabled.repartition("deal").sortWithinPartitions("deal", "doc_id").mapInArrow(lambda it: _met(it, parts, percent), "a long, b long")
+    pairs = stored(pairs.where("a <> b").distinct(), "pairs")
+    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
+    maybe = with_maybe(narrow.where("doc_id is not null"), "doc_id", id_filter(wanted, "doc_id")).where("maybe").select("doc_id", "text")
+    sets = maybe.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: (out for b in it for out in _sets(b, size)), "doc_id long, body binary")
+    sets = stored(sets.dropDuplicates(["doc_id"]), "sets")
+    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("body").alias("left")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("body").alias("right")), "b")
+    links = stored(both.select("a", "b", "left", "right").mapInArrow(lambda it: (_agree(b, percent) for b in it), "a long, b long"), "links")
     part = components(links, "parts")
-    # Members of a bucket in other components than most: compare them with all its other components.
-    whole = buckets.select("key", "doc_id").union(buckets.select("key", F.col("centre").alias("doc_id"))).distinct()
-    whole = whole.join(part.select(F.col("node").alias("doc_id"), "component"), "doc_id", "left").select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    sizes = whole.groupBy("key", "component").agg(F.count("*").alias("n"))
-    split = sizes.groupBy("key").agg(F.count("*").alias("parts"), F.max_by("component", F.struct("n", "component")).alias("main")).where("parts > 1")
-    mixed = stored(whole.join(split.select("key", "main"), "key"), "mixed")
-    rest = mixed.where("component <> main").select("key", F.col("doc_id").alias("x"), F.col("component").alias("cx"))
-    rest = rest.join(mixed.select("key", F.col("doc_id").alias("y"), F.col("component").alias("cy")), "key").where("cx <> cy")
-    pairs = rest.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(_verified(_fitting(pairs, member, percent), texts, size, percent, "rest"), "links")
+    known = part.select(F.col("node").alias("doc_id"), "component")
+    group = pairs.select(F.col("a").alias("doc_id"), F.col("b").alias("leader")).join(known, "doc_id", "left")
+    group = stored(group.select("leader", "doc_id", F.coalesce("component", "doc_id").alias("component")), "groups")
+    blocks = _block_pairs(group, sets.join(classes.select("doc_id", "k1", "k2"), "doc_id"))
+    dealt = blocks.repartition("leader", "stray_block", "member_block").sortWithinPartitions("leader", "stray_block", "member_block", F.desc("stray"))
+    more = stored(dealt.mapInArrow(lambda it: _compared(it, parts, percent), "a long, b long"), "links")
     if not more.isEmpty():
         part = components(links.union(more), "parts")
-    lead = member.select("doc_id", "leader").distinct().join(part.withColumnRenamed("node", "leader"), "leader", "left").select("doc_id", F.coalesce("component", "leader").alias("component"))
-    return signed.select("doc_id", "n_shingles").join(lead, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
-
-
-def _fitting(pairs: DataFrame, member: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose set sizes allow the similarity."""
-    sizes = member.select("doc_id", "n_shingles").distinct()
-    sized = pairs.join(sizes.select(F.col("doc_id").alias("a"), F.col("n_shingles").alias("na")), "a").join(sizes.select(F.col("doc_id").alias("b"), F.col("n_shingles").alias("nb")), "b")
-    return sized.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
+    joined = classes.select(*named, "doc_id").join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(*named, F.coalesce("component", "doc_id").alias("component"))
+    found = signed.select("doc_id", *named).join(joined, named, "left")
+    return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
