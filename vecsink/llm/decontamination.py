@@ -12,15 +12,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vecsink.llm.shared import id_filter, stored, with_maybe
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Prefix words are sent to every executor if there are at most so many; beyond it they are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
 
+def _parted(lowered: Column) -> Column:
+    return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), BETWEEN), "")
+
+
 def words_of(text: Column) -> Column:
     """Words of digits, letters and what is not ASCII, A-Z as a-z; none of null."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+    return _parted(F.translate(text, UPPER, LOWER))
+
+
+def folded_words(text: Column) -> Column:
+    """The same words, every letter in lower case: no letter turns into what parts words."""
+    return _parted(F.lower(text))
 
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
@@ -30,30 +41,25 @@ def item_windows(items: DataFrame, size: int) -> DataFrame:
     return worded.select("item_id", "w", F.explode(starts).alias("p")).select("item_id", F.slice("w", F.col("p"), F.lit(size)).alias("window")).distinct()
 
 
-def _places(held: DataFrame, windows: DataFrame, size: int) -> DataFrame:
-    """row_id, start, length and window of each place where a window lies."""
-    distinct = windows.select("window").distinct()
-    vocabulary = distinct.select(F.explode("window").alias("word")).distinct()
+def _candidates(folded: DataFrame, windows: DataFrame) -> DataFrame:
+    """row_id and the places (place, window) at which a window may lie."""
+    distinct = windows.select("window", F.transform("window", F.lower).alias("folded")).distinct()
+    vocabulary = distinct.select(F.explode("folded").alias("word")).distinct()
     few = vocabulary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     near = F.broadcast if few else (lambda frame: frame)
     # Rarity over all documents, of words that occur in an item.
-    counted = held.select(F.explode("words").alias("word")).join(near(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
-    ranked = distinct.select("window", F.posexplode("window").alias("at", "word")).join(counted, "word", "left")
+    counted = folded.select(F.explode("words").alias("word")).join(near(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
+    ranked = distinct.select("window", F.posexplode("folded").alias("at", "word")).join(counted, "word", "left")
     # A window with a word that no document has lies nowhere.
     prefix = ranked.groupBy("window").agg(F.min(F.struct("n", "word", "at")).alias("rare"), F.count("n").alias("known"))
     prefix = prefix.where(F.col("known") == F.size("window")).select("window", F.col("rare.word").alias("word"), F.col("rare.at").alias("at"))
-    few_windows = prefix.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    fits = "place >= at AND place - at + size(window) <= size(words) AND slice(words, place - at + 1, size(window)) = window"
-    if few_windows:
-        spread = held.select("row_id", "words", F.posexplode("words").alias("place", "word"))
-        found = spread.join(F.broadcast(prefix), "word").where(fits)
-    else:
-        # Only the words around a place travel, not the whole text.
-        around = held.select("row_id", "words", F.posexplode("words").alias("p", "word")).select(
-            "row_id", "word", "p", F.least("p", F.lit(size - 1)).alias("place"), F.slice("words", F.greatest(F.col("p") - size + 2, F.lit(1)), F.lit(2 * size - 1)).alias("words")
-        )
-        found = around.join(prefix, "word").where(fits).withColumn("place", F.col("p"))
-    return found.select("row_id", (F.col("place") - F.col("at")).alias("start"), F.size("window").alias("length"), "window")
+    prefix = stored(prefix, "prefixes")
+    few = prefix.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    near = F.broadcast if few else (lambda frame: frame)
+    spread = folded.select("row_id", F.size("words").alias("n_words"), F.posexplode("words").alias("p", "word"))
+    found = spread.join(near(prefix), "word").where("p >= at AND p - at + size(window) <= n_words")
+    place = F.struct((F.col("p") - F.col("at")).alias("start"), "window")
+    return found.groupBy("row_id").agg(F.collect_list(place).alias("places"))
 
 
 def contaminated(documents: DataFrame, items: DataFrame, size: int = 10) -> DataFrame:
@@ -66,17 +72,20 @@ def contaminated(documents: DataFrame, items: DataFrame, size: int = 10) -> Data
     """
     text = F.col("text").cast("string")
     # Rows with one doc_id may hold different texts.
-    held = documents.select("doc_id", F.struct("doc_id", F.xxhash64(text).alias("text")).alias("row_id"), words_of(text).alias("words"))
+    row_id = F.struct("doc_id", F.xxhash64(text).alias("text")).alias("row_id")
     windows = item_windows(items, size)
-    hits = _places(held, windows, size)
-    covered = hits.select("row_id", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("place")).distinct()
+    candidates = stored(_candidates(documents.select(row_id, folded_words(text).alias("words")), windows), "places")
+    narrow = documents.select("doc_id", text.alias("text"), row_id)
+    told = with_maybe(narrow, "row_id", id_filter(candidates, "row_id"))
+    clean = told.where("not maybe").select("doc_id", F.size(folded_words(F.col("text"))).alias("n_words"), F.lit(0).alias("n_hit"), F.array().cast("array<string>").alias("item_ids"))
+    held = told.where("maybe").join(candidates, "row_id", "left").select("doc_id", "row_id", words_of(F.col("text")).alias("words"), "places")
+    lies = lambda x: F.slice("words", x["start"] + 1, F.size(x["window"])) == x["window"]
+    held = stored(held.select("doc_id", "row_id", F.size("words").alias("n_words"), F.filter("places", lies).alias("places")), "hits")
+    hits = held.select("row_id", F.explode("places").alias("x")).select("row_id", "x.*").distinct()
+    covered = hits.select("row_id", F.explode(F.sequence("start", F.col("start") + F.size("window") - 1)).alias("place")).distinct()
     n_hit = covered.groupBy("row_id").agg(F.count("*").alias("n_hit"))
     named = hits.select("row_id", "window").distinct().join(windows.where("item_id is not null"), "window")
     item_ids = named.groupBy("row_id").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
-    found = n_hit.join(item_ids, "row_id", "left")
-    return (
-        held.select("row_id", "doc_id", F.size("words").cast("long").alias("n_words"))
-        .join(found, "row_id", "left")
-        .select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
-        .select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), "item_ids")
-    )
+    found = held.select("doc_id", "row_id", "n_words").join(n_hit.join(item_ids, "row_id", "left"), "row_id", "left")
+    every = clean.union(found.select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)), F.coalesce("item_ids", F.array().cast("array<string>"))))
+    return every.select("doc_id", F.col("n_words").cast("long").alias("n_words"), F.col("n_hit").cast("long").alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"), "item_ids")
