@@ -42,6 +42,55 @@ def registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "schema_id int, response string")
 
 
+# A third schema with the types that objects of the first two do not have, and a fourth whose `props` is a number.
+V3, V4 = 100003, 100004
+_V3_FIELDS = [
+    ("event_id", "long"),
+    ("small", "int"),
+    ("half", "float"),
+    ("blob", "bytes"),
+    ("maybe_text", ["null", "string"]),
+    ("maybe_number", ["long", "null"]),
+]
+_V4_FIELDS = [*_V1_FIELDS, ("props", "long")]
+MORE_TEXTS = {V3: _schema_text(_V3_FIELDS), V4: _schema_text(_V4_FIELDS)}
+MORE_SCHEMAS = {schema_id: record_fields(text) for schema_id, text in MORE_TEXTS.items()}
+# A schema that is not read: records of it are rejects.
+UNREADABLE = 100009
+
+
+def wide_registry(spark: SparkSession, others: int = 20_000) -> DataFrame:
+    """Responses for the two schemas among many of other topics, one clashing and one not Avro."""
+    clash = json.dumps({"schema": _schema_text([("event_id", "string"), ("user_id", "boolean")])})
+    other = spark.range(others).select((F.col("id") + 1).cast("int").alias("schema_id"), F.lit(clash).alias("response"))
+    proto = [(UNREADABLE, json.dumps({"schema": 'syntax = "proto3"; message Event {}'}))]
+    return registry(spark).union(spark.createDataFrame(proto, "schema_id int, response string")).union(other)
+
+
+def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a record of the third schema."""
+    number = F.col("event_id")
+    encode = body_encoder(MORE_SCHEMAS[V3])
+    body = encode(
+        "event_id",
+        (number % 1000).cast("int"),
+        (F.col("value") / 2).cast("float"),
+        F.col("event_type").cast("binary"),
+        F.when(number % 2 == 0, F.col("event_type")),
+        F.when(number % 3 == 0, number),
+    )
+    return _framed(spark, sf_dir, F.lit(V3), body)
+
+
+def clashing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event with `props` as text in one schema and as its user in another."""
+    own = F.when(F.col("event_id") % 3 == 0, V4).otherwise(V2)
+    head = body_encoder(SCHEMAS[V1])("event_id", "user_id", "event_type", "value")
+    tail = body_encoder(SCHEMAS[V2][len(_V1_FIELDS) :])("props", F.col("event_type") == "error")
+    number = body_encoder(MORE_SCHEMAS[V4][len(_V1_FIELDS) :])("user_id")
+    return _framed(spark, sf_dir, own, F.concat(head, F.when(own == V2, tail).otherwise(number)))
+
+
 def target_class(spark: SparkSession) -> DataFrame:
     """A declared class for the events, one JSON text in column `value`.
 
@@ -82,17 +131,15 @@ def instant(zone_free: Column) -> Column:
     return F.timestamp_micros(F.timestamp_diff("MICROSECOND", start, zone_free))
 
 
-def framed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as Kafka-shaped records."""
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn(
         "partition", (F.col("user_id") % PARTITIONS).cast("int")
     )
-    placed = with_position(events, ["partition"], "event_id", "offset")
-    schema_id = F.when(F.col("event_id") % 3 == 0, V1).otherwise(V2)
-    head = body_encoder(SCHEMAS[V1])("event_id", "user_id", "event_type", "value")
-    tail = body_encoder(SCHEMAS[V2][len(_V1_FIELDS) :])("props", F.col("event_type") == "error")
-    body = F.concat(head, F.when(schema_id == V2, tail).otherwise(F.lit(b"")))
-    return placed.select(
+    return with_position(events, ["partition"], "event_id", "offset")
+
+
+def _framed(spark: SparkSession, sf_dir: str, schema_id: Column, body: Column) -> DataFrame:
+    return _placed(spark, sf_dir).select(
         F.col("user_id").cast("string").cast("binary").alias("key"),
         wire.frame(schema_id, body).alias("value"),
         F.lit(TOPIC).alias("topic"),
@@ -104,6 +151,15 @@ def framed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def framed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as Kafka-shaped records."""
+    schema_id = F.when(F.col("event_id") % 3 == 0, V1).otherwise(V2)
+    head = body_encoder(SCHEMAS[V1])("event_id", "user_id", "event_type", "value")
+    tail = body_encoder(SCHEMAS[V2][len(_V1_FIELDS) :])("props", F.col("event_type") == "error")
+    body = F.concat(head, F.when(schema_id == V2, tail).otherwise(F.lit(b"")))
+    return _framed(spark, sf_dir, schema_id, body)
+
+
 def kafka_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return framed_events(spark, sf_dir).select(*KAFKA_SCHEMA.names)
 
@@ -120,3 +176,20 @@ def damaged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(value)
     )
     return framed.withColumn("value", damaged).select(*KAFKA_SCHEMA.names)
+
+
+def all_damages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records with all seven kinds of damage, by `event_id % 50`."""
+    framed = framed_events(spark, sf_dir)
+    value, kind = F.col("value"), F.col("event_id") % 50
+    damaged = (
+        F.when(kind == 0, F.lit(None).cast("binary"))
+        .when(kind == 1, F.substring(value, 1, 3))
+        .when(kind == 2, F.concat(F.lit(b"\x01"), F.substring(value, 2, 2**31 - 1)))
+        .when(kind == 3, wire.frame(F.lit(UNKNOWN), wire.payload(value)))
+        .when(kind == 4, wire.frame(F.lit(UNREADABLE), wire.payload(value)))
+        .when(kind == 5, F.substring(value, F.lit(1), F.octet_length(value) - 1))
+        .otherwise(value)
+    )
+    topic = F.when(kind != 6, F.col("topic"))
+    return framed.withColumns({"value": damaged, "topic": topic}).select(*KAFKA_SCHEMA.names)

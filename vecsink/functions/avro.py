@@ -81,7 +81,42 @@ def record_fields(schema_json: str) -> tuple[Field, ...]:
         raise SchemaConflictError(f"schema text is not JSON: {bad}") from None
     if not isinstance(schema, dict) or schema.get("type") != "record":
         raise UnsupportedTypeError("the top-level Avro type must be a record")
-    return tuple(_field(f["name"], f["type"]) for f in schema["fields"])
+    try:
+        return tuple(_field(f["name"], f["type"]) for f in schema["fields"])
+    except (KeyError, TypeError) as bad:
+        raise UnsupportedTypeError(f"the record has no readable fields: {bad}") from None
+
+
+# Ends the column name of a field whose type does not fit the column of its plain name.
+CLASH = "__as_"
+
+
+def plain_name(column: str) -> str:
+    """The field that a column was made for."""
+    return column.split(CLASH)[0]
+
+
+def settle_conflicts(schemas: Schemas) -> Schemas:
+    """Schemas whose fields of one name fit one column each.
+
+    A field keeps its name for the types that widen to one with those of smaller ids; a
+    field of another type gets a column of its own, named after its type.
+    """
+    merged: dict[str, str] = {}
+    settled: dict[int, tuple[Field, ...] | None] = {}
+    for schema_id, fields in sorted(schemas.items()):
+        if fields is None:
+            settled[schema_id] = None
+            continue
+        placed = []
+        for field in fields:
+            held = merged.get(field.name, field.avro)
+            fits = held == field.avro or _WIDER.get(frozenset({held, field.avro}))
+            if fits:
+                merged[field.name] = held if fits is True else fits
+            placed.append(field if fits else field._replace(name=f"{field.name}{CLASH}{field.avro}"))
+        settled[schema_id] = tuple(placed)
+    return settled
 
 
 def _merge(name: str, left: str, right: str) -> str:

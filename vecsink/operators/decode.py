@@ -140,5 +140,5 @@ def rejected(decoded: DataFrame) -> DataFrame:
 def strict(decoded: DataFrame) -> DataFrame:
     """Pass accepted records on; fail the job at the first reject."""
     where = F.concat_ws("/", "topic", F.col("partition").cast("string"), F.col("offset").cast("string"))
-    failure = F.raise_error(F.concat(F.lit("rejected record "), where, F.lit(": "), F.col("reject_reason")))
+    failure = F.raise_error(F.concat(F.lit("rejected record "), where, F.lit(": "), F.col("reject_reason"), F.coalesce(F.concat(F.lit(" of schema id "), F.col("schema_id").cast("string")), F.lit(""))))
     return decoded.where(F.when(F.col("reject_reason").isNull(), True).otherwise(failure.cast("boolean")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecsink.functions import ids
+from vecsink.functions.avro import plain_name
 from vecsink.functions.convert import as_vector, check_vector, convert_column, validate_types
 from vecsink.operators.enrich import METADATA
 
@@ -45,6 +46,9 @@ def to_objects(
 ) -> DataFrame:
     """`class, id, vector, properties` by one projection over any frame.
 
+    A frame with record positions has them as `topic, partition, offset` beside the
+    properties, so that the last object of an id is known in any stored form.
+
     `presence` maps a field to the schema ids that have it; rows of other
     schemas keep a null there, which the wire form leaves out.
     """
@@ -69,11 +73,14 @@ def to_objects(
     vector = as_vector(F.col(f"`{vector_name}`")) if vector_name else F.lit(None).cast("array<float>")
     # A row without an id would be lost among others without one.
     no_id = F.raise_error(F.lit(f"a row for class {class_name} has no id")).cast("string")
+    held = all(name in df.columns for name in _POSITION)
+    position = [F.col(name).alias(name.removeprefix("_kafka_")) for name in _POSITION] if held else []
     return df.select(
         F.lit(class_name).alias("class"),
         F.coalesce(object_id(df, id_column, id_mode), no_id).alias("id"),
         vector.alias("vector"),
         F.struct(*properties).alias("properties"),
+        *position,
     )
 
 
@@ -86,4 +93,7 @@ def to_wire(objects: DataFrame) -> DataFrame:
     wired = objects.withColumn("vector", F.coalesce("vector", F.array().cast("array<float>")))
     if objects.schema["properties"].dataType.typeName() == "string":
         return wired
-    return wired.withColumn("properties", F.to_json("properties"))
+    names = objects.schema["properties"].dataType.names
+    # Columns for clashing types of one field are written under its one name; all but one are absent.
+    named = F.struct(*[F.col("properties").getField(name).alias(plain_name(name)) for name in names])
+    return wired.withColumn("properties", F.to_json(named, {"ignoreNullFields": "true"}))

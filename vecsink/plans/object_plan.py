@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecsink.functions.avro import Schemas, presence
+from vecsink.functions.avro import Schemas, presence, settle_conflicts
 from vecsink.operators import decode, enrich, envelope, objects
 from vecsink.plans.options import SinkOptions
 
@@ -51,7 +51,12 @@ def plan_objects(
     fields: Sequence[str] | None = None,
     native: bool = False,
 ) -> ObjectPlan:
-    """Parse, decode and settle rejects; records without an id are rejects too."""
+    """Parse, decode and settle rejects; records without an id are rejects too.
+
+    Fields of one name with types that do not fit one column get a column for each type; the
+    wire form writes them under their one name. Options `id` and `vector` name the first one.
+    """
+    schemas = settle_conflicts(schemas)
     decoded = decode.decode_values(envelope.parse_envelope(kafka), schemas, fields, native)
     if options.id is not None:
         column = objects.find_column(enrich.enrich(decoded), options.id, "id")

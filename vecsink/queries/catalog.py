@@ -638,3 +638,124 @@ def stream_totals(spark, sf_dir):
         F.coalesce(F.sum(F.when(F.col("measure") == "rejects", F.col("amount"))), F.lit(0)).alias("stored_rejects"),
         F.coalesce(F.sum(F.when(F.col("measure") == "objects", F.col("amount"))), F.lit(0)).alias("stored_objects"),
     )
+
+
+# --------------------------------------------------------------------------
+# Registries, clashing types, stored forms.
+
+
+def _registry_folder(spark: SparkSession) -> str:
+    folder = scratch_folder(spark, "registry")
+    fixtures.wide_registry(spark).write.parquet(folder)
+    return folder
+
+
+@query(f"{K} SELECT {SQL_OBJECT} FROM k")
+def registry_decode(spark, sf_dir):
+    """Registry responses to stored objects, with thousands of other schemas in the registry."""
+    path = scratch_folder(spark, "looked-up")
+    options = {"className": CLASS, "path": path, "registry": _registry_folder(spark)}
+    write_kafka(fixtures.kafka_events(spark, sf_dir), options)
+    return _flat(collection.read_collection(spark, path, CLASS))
+
+
+@query(
+    f"""{K} SELECT {SQL_ID} AS id, event_id, CASE WHEN sid = 100002 THEN props ELSE CAST(user_id AS VARCHAR) END AS props,
+  CASE WHEN sid = 100002 THEN 'text' ELSE 'number' END AS kind FROM k"""
+)
+def decode_conflicting(spark, sf_dir):
+    """One field as text in one schema and as a number in another, under its one name."""
+    schemas = {fixtures.V2: fixtures.SCHEMAS[fixtures.V2], fixtures.V4: fixtures.MORE_SCHEMAS[fixtures.V4]}
+    plan = plan_objects(fixtures.clashing_events(spark, sf_dir).drop("event_id"), schemas, SinkOptions.parse({"className": CLASS}))
+    sent = objects.to_wire(plan.objects())
+    kind = F.schema_of_variant(F.try_variant_get(F.parse_json("properties"), "$.props", "variant"))
+    return sent.select(
+        "id",
+        F.get_json_object("properties", "$.event_id").cast("long").alias("event_id"),
+        F.get_json_object("properties", "$.props").alias("props"),
+        F.when(kind == "STRING", "text").otherwise("number").alias("kind"),
+    )
+
+
+@query(
+    """SELECT event_id, CAST(event_id % 1000 AS INTEGER) AS small, CAST(CAST(value / 2 AS FLOAT) AS DOUBLE) AS half, event_type AS blob,
+  CASE WHEN event_id % 2 = 0 THEN event_type END AS maybe_text, CASE WHEN event_id % 3 = 0 THEN event_id END AS maybe_number FROM events"""
+)
+def avro_decode_types(spark, sf_dir):
+    parsed = envelope.parse_envelope(fixtures.typed_events(spark, sf_dir).drop("event_id"))
+    decoded = decode.accepted(decode.decode_values(parsed, fixtures.MORE_SCHEMAS)).select("record.*")
+    return decoded.select("event_id", "small", F.col("half").cast("double").alias("half"), F.decode("blob", "UTF-8").alias("blob"), "maybe_text", "maybe_number")
+
+
+@query(
+    f"""{K} SELECT part AS "partition", CAST(off AS BIGINT) AS "offset",
+  CASE event_id % 50 WHEN 0 THEN 'null_value' WHEN 1 THEN 'short_value' WHEN 2 THEN 'bad_magic' WHEN 3 THEN 'unknown_schema'
+    WHEN 4 THEN 'unsupported_schema' WHEN 5 THEN 'bad_payload' ELSE 'null_id' END AS reject_reason
+FROM k WHERE event_id % 50 < 7"""
+)
+def rejects_all(spark, sf_dir):
+    """Every reason for which a record is set aside."""
+    schemas = {**fixtures.SCHEMAS, fixtures.UNREADABLE: None}
+    plan = plan_objects(fixtures.all_damages(spark, sf_dir), schemas, SinkOptions.parse({"className": CLASS}))
+    return plan.rejects().select("partition", "offset", "reject_reason")
+
+
+@query(
+    f"""{K}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY part DESC, off DESC) AS rn FROM k)
+SELECT '{CLASS}' AS class, CAST(user_id AS VARCHAR) AS id, event_id, CAST(off AS BIGINT) AS "offset" FROM r WHERE rn = 1"""
+)
+def sent_upsert(spark, sf_dir):
+    """The last of the sent objects of each id."""
+    path = scratch_folder(spark, "sent-upsert")
+    options = {"className": CLASS, "path": path, "id": "user_id", "batchSize": BATCH_SIZE}
+    write_kafka(fixtures.kafka_events(spark, sf_dir), options, fixtures.SCHEMAS, transport=delivery.accept_all)
+    stored = collection.read_collection(spark, path, CLASS)
+    return stored.select("class", "id", F.get_json_object("properties", "$.event_id").cast("long").alias("event_id"), "offset")
+
+
+@query(f"{K} SELECT {SQL_OBJECT} FROM k")
+def two_classes(spark, sf_dir):
+    """A class is read by itself, beside one whose `props` is a number."""
+    path = scratch_folder(spark, "classes")
+    write_kafka(fixtures.kafka_events(spark, sf_dir), {"className": CLASS, "path": path}, fixtures.SCHEMAS)
+    other = {fixtures.V4: fixtures.MORE_SCHEMAS[fixtures.V4]}
+    records = fixtures.clashing_events(spark, sf_dir).where("event_id % 3 = 0").drop("event_id")
+    write_kafka(records, {"className": "Other", "path": path}, other)
+    return _flat(collection.read_collection(spark, path, CLASS))
+
+
+def refuse_all(batch: pa.RecordBatch, attempt: int) -> pa.Array:
+    return pa.array(["refused"] * batch.num_rows, pa.string())
+
+
+@query(f"{K} SELECT {SQL_OBJECT} FROM k")
+def failed_replay(spark, sf_dir):
+    """What a batch has stored is still there after the batch was sent again and refused."""
+    path = scratch_folder(spark, "replayed")
+    records = fixtures.kafka_events(spark, sf_dir)
+    options = {"className": CLASS, "path": path, "run": "again", "retries": 0, "batchSize": BATCH_SIZE}
+    write_kafka(records, options, fixtures.SCHEMAS, transport=delivery.accept_all, batch_id=1)
+    try:
+        write_kafka(records, options, fixtures.SCHEMAS, transport=refuse_all, batch_id=1)
+    except Exception as refused:
+        if "could not be sent" not in str(refused):
+            raise
+    else:
+        raise AssertionError("the second run was not refused")
+    return _read_sent(spark, path, _plan(records).objects())
+
+
+@query(f"{K} SELECT {SQL_OBJECT} FROM k")
+def stream_new_schema(spark, sf_dir):
+    """A stream in which each micro-batch is decoded by the registry's schemas for its own ids."""
+    folder = scratch_folder(spark, "new-schema")
+    records = fixtures.kafka_events(spark, sf_dir)
+    landed = f"{folder}/landed"
+    # Records of the second schema land after those of the first.
+    second = F.conv(F.hex(F.substring("value", 2, 4)), 16, 10).cast("int") == fixtures.V2
+    records.withColumn("late", second.cast("int")).write.partitionBy("late", "partition").parquet(landed)
+    options = {"className": CLASS, "path": f"{folder}/collection", "run": "events-lookup", "registry": _registry_folder(spark)}
+    for late in (0, 1):
+        stream = kafka.stream_kafka_files(spark, f"{landed}/late={late}", 1_000)
+        run_stream(stream, {**options, "run": f"events-lookup-{late}"}, f"{folder}/checkpoint-{late}").finish()
+    return _flat(collection.read_collection(spark, f"{folder}/collection", CLASS))

@@ -2,8 +2,8 @@
 
 Each task cuts its rows into batches, sends them and resends what failed. With
 option `path` the objects that were sent are also stored, one parquet file per
-task, under a name fixed by the batch and the task, so that a task or micro-batch
-that runs again replaces its own file.
+task attempt. Files stay hidden until the write commits; then they replace those of an
+earlier run of the batch. A write that fails removes its own files and no others.
 """
 
 from __future__ import annotations
@@ -65,11 +65,11 @@ def _file_system(folder: str):
 
 
 class _TaskFile:
-    """One parquet file, visible under its name only when complete."""
+    """One parquet file of a task attempt, hidden by its name."""
 
     def __init__(self, folder: str, name: str):
         self.fs, self.folder = _file_system(folder)
-        self.name, self.writer = name, None
+        self.name, self.writer = f"_{uuid.uuid4().hex}-{name}", None
         self.held: list[pa.RecordBatch] = []
         self.bytes = 0
 
@@ -86,8 +86,7 @@ class _TaskFile:
         self.held, self.bytes = [], 0
         if self.writer is None:
             self.fs.create_dir(self.folder, recursive=True)
-            self.hidden = f"{self.folder}/_{uuid.uuid4().hex}"
-            self.writer = pq.ParquetWriter(self.hidden, group.schema, filesystem=self.fs)
+            self.writer = pq.ParquetWriter(f"{self.folder}/{self.name}", group.schema, filesystem=self.fs)
         self.writer.write_table(group)
 
     def close(self) -> str | None:
@@ -95,17 +94,28 @@ class _TaskFile:
         if self.writer is None:
             return None
         self.writer.close()
-        self.fs.move(self.hidden, f"{self.folder}/{self.name}")
         return self.name
 
 
-def _keep_only(folder: str | None, names: set) -> None:
+def _reveal(folder: str | None, names: set) -> None:
+    """Show the files of a committed write and drop those of earlier runs of the batch."""
     if folder is None:
         return
     files, where = _file_system(folder)
-    for found in files.get_file_info(fs.FileSelector(where, allow_not_found=True)):
-        if found.is_file and found.base_name not in names:
-            files.delete_file(found.path)
+    found = files.get_file_info(fs.FileSelector(where, allow_not_found=True))
+    for name in names:
+        files.move(f"{where}/{name}", f"{where}/{name.split('-', 1)[1]}.{name[1:33]}.parquet")
+    for old in found:
+        if old.is_file and old.base_name not in names:
+            files.delete_file(old.path)
+
+
+def _drop(folder: str | None, names: set) -> None:
+    if folder is None:
+        return
+    files, where = _file_system(folder)
+    for name in names:
+        files.delete_file(f"{where}/{name}")
 
 
 class _Sender:
@@ -121,7 +131,7 @@ class _Sender:
         return self.folder(self.options.path, batch_id), self.folder(self.options.failures_path, batch_id)
 
     def send(self, batches: Iterator[pa.RecordBatch], batch_id: int) -> Committed:
-        name = f"part-{TaskContext.get().partitionId():08d}.parquet"
+        name = f"part-{TaskContext.get().partitionId():08d}"
         stored, unsent = (_TaskFile(folder, name) if folder else None for folder in self.folders(batch_id))
         with opened(self.transport, self.options.transport_options) as ready:
             return self._send_all(batches, ready, stored, unsent)
@@ -144,16 +154,18 @@ class _Sender:
         return Committed(sent, failed, stored and stored.close(), unsent and unsent.close())
 
     def settle(self, messages: list, batch_id: int) -> None:
-        """Drop files of an earlier run of the batch that this run did not replace."""
+        for folder, names in self._files(messages, batch_id):
+            _reveal(folder, names)
+
+    def discard(self, messages: list, batch_id: int) -> None:
+        """Remove the files of a failed write; sent objects stay sent, and so does what an earlier run has stored."""
+        for folder, names in self._files(messages, batch_id):
+            _drop(folder, names)
+
+    def _files(self, messages: list, batch_id: int) -> list[tuple[str | None, set]]:
         present = [message for message in messages if message is not None]
         stored, unsent = self.folders(batch_id)
-        _keep_only(stored, {message.stored for message in present})
-        _keep_only(unsent, {message.unsent for message in present})
-
-    def discard(self, batch_id: int) -> None:
-        """Remove what a failed batch has stored; sent objects stay sent."""
-        for folder in self.folders(batch_id):
-            _keep_only(folder, set())
+        return [(stored, {m.stored for m in present if m.stored}), (unsent, {m.unsent for m in present if m.unsent})]
 
 
 class BatchWriter(DataSourceArrowWriter):
@@ -167,7 +179,7 @@ class BatchWriter(DataSourceArrowWriter):
         self.sender.settle(messages, self.sender.options.batch_id)
 
     def abort(self, messages: list) -> None:
-        self.sender.discard(self.sender.options.batch_id)
+        self.sender.discard(messages, self.sender.options.batch_id)
 
 
 class StreamWriter(DataSourceStreamArrowWriter):
@@ -181,7 +193,7 @@ class StreamWriter(DataSourceStreamArrowWriter):
         self.sender.settle(messages, batchId)
 
     def abort(self, messages: list, batchId: int) -> None:
-        self.sender.discard(batchId)
+        self.sender.discard(messages, batchId)
 
 
 class ObjectSink(DataSource):

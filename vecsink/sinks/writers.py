@@ -4,25 +4,32 @@ from __future__ import annotations
 
 import time
 from collections.abc import Mapping
+from dataclasses import replace
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vecsink.functions.avro import Schemas
 from vecsink.operators.delivery import Transport
+from vecsink.operators.envelope import parse_envelope
 from vecsink.operators.objects import to_wire
 from vecsink.plans.object_plan import plan_objects
 from vecsink.plans.options import BATCH_ID, FAILURES_PATH, PATH, RUN, SinkOptions
 from vecsink.sinks.datasource import register_sink
 from vecsink.sources.collection import write_collection
-from vecsink.sources.registry import load_registry, registry_schemas
+from vecsink.sources.registry import load_registry, prune_registry, registry_schemas
 from vecsink.sources.scratch import qualified
 
 
 def load_schemas(df: DataFrame, options: SinkOptions) -> Schemas:
+    """Schemas of the ids that the records use; of a stream, of all ids of the registry."""
     if options.registry is None:
         raise ValueError("option registry is required when no schemas are given")
-    return registry_schemas(load_registry(df.sparkSession, options.registry), set_aside=True)
+    known = load_registry(df.sparkSession, options.registry)
+    if not df.isStreaming:
+        known = prune_registry(known, parse_envelope(df))
+    return registry_schemas(known, set_aside=True)
 
 
 def sink_options(spark: SparkSession, options: Mapping[str, object]) -> dict[str, str]:
@@ -61,13 +68,20 @@ def write_kafka(
     if transport is None and parsed.path is None:
         raise ValueError("give a transport or option path")
     plan = plan_objects(kafka, load_schemas(kafka, parsed) if schemas is None else schemas, parsed)
-    objects = plan.objects(strict=parsed.rejects_path is None)
+    keep_rejects = parsed.rejects_path is not None
+    if keep_rejects:
+        plan = replace(plan, decoded=plan.decoded.persist(StorageLevel.MEMORY_AND_DISK))
+    objects = plan.objects(strict=not keep_rejects)
     number = time.time_ns() if batch_id is None else batch_id
     run = parsed.run or "load"
-    if transport is not None:
-        send_objects(objects, {**options, RUN: run, BATCH_ID: number}, transport)
-    else:
-        write_collection(objects, parsed.path, parsed.class_name, run, number)
-    if parsed.rejects_path is not None:
-        target = f"{parsed.rejects_path.rstrip('/')}/run={run}/batch_id={number}"
-        plan.rejects().write.mode("overwrite").parquet(target)
+    try:
+        if transport is not None:
+            send_objects(objects, {**options, RUN: run, BATCH_ID: number}, transport)
+        else:
+            write_collection(objects, parsed.path, parsed.class_name, run, number)
+        if keep_rejects:
+            target = f"{parsed.rejects_path.rstrip('/')}/run={run}/batch_id={number}"
+            plan.rejects().write.mode("overwrite").parquet(target)
+    finally:
+        if keep_rejects:
+            plan.decoded.unpersist()

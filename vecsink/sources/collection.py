@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecsink.operators.batching import keep_last
+from vecsink.operators.id_filter import key_filter, with_maybe
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_\-]*")
 
@@ -27,7 +28,19 @@ def batch_folder(path: str, class_name: str, run: str, batch_id: int) -> str:
 def write_collection(objects: DataFrame, path: str, class_name: str, run: str, batch_id: int) -> None:
     """Write the objects of one batch; no shuffle and no sort."""
     stamped = objects.drop("class").withColumn("written_at", F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(batch_folder(path, class_name, run, batch_id))
+    store_batch(stamped, path, class_name, run, batch_id)
+
+
+def store_batch(rows: DataFrame, path: str, class_name: str, run: str, batch_id: int) -> None:
+    """Rows as the folder of one batch.
+
+    Spark swaps the folder when the job commits, so a job that fails leaves what an
+    earlier run of the batch has stored.
+    """
+    batch_folder(path, class_name, run, batch_id)
+    named = {"class": F.lit(class_name), "run": F.lit(run), "batch_id": F.lit(int(batch_id))}
+    writer = rows.withColumns(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*named).parquet(path)
 
 
 def scan_collection(
@@ -37,7 +50,7 @@ def scan_collection(
     schema: T.StructType | None = None,
     all_properties: bool = True,
 ) -> DataFrame:
-    """Every stored row; a class filter prunes folders.
+    """Every stored row; of a named class only its own folder is read.
 
     Later batches may have more properties, so the footers of all files are
     merged, by a Spark job. A given schema, or no need of all properties, saves that.
@@ -47,12 +60,13 @@ def scan_collection(
         reader = reader.schema(schema)
     elif all_properties:
         reader = reader.option("mergeSchema", "true")
-    stored = reader.parquet(path)
+    # Classes may have properties of one name and different types, so one class never reads another's.
+    stored = reader.parquet(path if class_name is None else f"{path.rstrip('/')}/class={class_name}")
     names = {"class": "string", "run": "string", "batch_id": "bigint"}
     stored = stored.withColumns({name: F.col(name).cast(kind) for name, kind in names.items()})
     # Objects stored on their way through a transport have an empty vector for none.
     stored = stored.withColumn("vector", F.when(F.size("vector") > 0, F.col("vector")))
-    return stored if class_name is None else stored.where(F.col("class") == class_name)
+    return stored
 
 
 def read_collection(
@@ -60,14 +74,17 @@ def read_collection(
 ) -> DataFrame:
     """One object per class and id: the last one written.
 
-    Within one write the later record position wins, where objects carry one.
+    Within one write the later record position wins, where objects carry one. Rows whose id
+    occurs once stay where they are read; only those that may be repeated are shuffled whole.
     """
     stored = scan_collection(spark, path, class_name, schema)
     order = [F.col("written_at"), F.col("batch_id")]
-    properties = stored.schema["properties"].dataType
-    held = getattr(properties, "names", [])
-    order += [F.col("properties").getField(n) for n in ("_kafka_topic", "_kafka_partition", "_kafka_offset") if n in held]
-    return keep_last(stored, ["class", "id"], order)
+    order += [F.col(name) for name in ("topic", "partition", "offset") if name in stored.columns]
+    keys = ["class", "id"]
+    repeated = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
+    told = with_maybe(stored, keys, key_filter(repeated, keys), "_maybe")
+    once, more = told.where("NOT _maybe").drop("_maybe"), told.where("_maybe").drop("_maybe")
+    return once.unionByName(keep_last(more, keys, order))
 
 
 def stored_ids(spark: SparkSession, path: str, class_name: str | None = None) -> DataFrame:

@@ -7,20 +7,11 @@ from pyspark.sql import functions as F
 
 from vecsink.functions.avro import Field, SchemaConflictError, UnsupportedTypeError, record_fields
 
-# The registry is read onto the driver to fix the output columns, and small
-# registries are broadcast. Both happen only within these bounds.
-MAX_SCHEMAS = 10_000
-MAX_SCHEMA_CHARS = 64 << 20
-
 
 class UnknownSchemaError(LookupError):
     """A schema id that the registry does not hold."""
 
 
-class RegistryTooLargeError(ValueError):
-    """More schema text than one plan can take; prune the registry first."""
-
-
 def response_schema(response: Column) -> Column:
     """Schema text of a registry response; raises unless `schema` is a string."""
     document = F.try_parse_json(response)
@@ -58,37 +49,35 @@ def load_registry(spark: SparkSession, location: str) -> DataFrame:
 
 
 def prune_registry(registry: DataFrame, framed: DataFrame) -> DataFrame:
-    """The part of a registry that the records use."""
+    """The part of a registry that the records use; only their headers are read."""
     used = framed.select("schema_id").where("schema_id IS NOT NULL").distinct()
     return registry.join(used, "schema_id", "left_semi")
 
 
-def registry_fits(registry: DataFrame) -> bool:
-    """Measure the registry: may it be held by the driver and be broadcast?"""
-    size = registry.agg(
-        F.count(F.lit(1)).alias("schemas"), F.coalesce(F.sum(F.length("schema_json")), F.lit(0)).alias("chars")
-    ).first()
-    return size["schemas"] <= MAX_SCHEMAS and size["chars"] <= MAX_SCHEMA_CHARS
+def one_per_id(registry: DataFrame) -> DataFrame:
+    """One row per schema id; raises where an id has two texts."""
+    texts = registry.groupBy("schema_id").agg(F.min("schema_json").alias("schema_json"), F.max("schema_json").alias("_other"))
+    message = F.concat(F.lit("schema id "), F.col("schema_id").cast("string"), F.lit(" has two different schemas"))
+    text = F.when(F.col("schema_json").eqNullSafe(F.col("_other")), F.col("schema_json")).otherwise(F.raise_error(message).cast("string"))
+    return texts.select("schema_id", text.alias("schema_json"))
 
 
 def registry_schemas(registry: DataFrame, set_aside: bool = False) -> dict[int, tuple[Field, ...] | None]:
-    """Parsed fields per schema id, on the driver.
+    """Parsed fields per schema id, on the driver, which fixes the output columns.
 
-    A schema with types that are not read raises, or with `set_aside` is kept as
-    None: a registry may serve other topics too, and only records that use such
-    a schema are then rejects.
+    Prune the registry to the ids in use first: only their texts come here. A schema with
+    types that are not read, or that is no Avro, raises, or with `set_aside` is kept as
+    None, so that only records that use it are rejects.
     """
-    if not registry_fits(registry):
-        raise RegistryTooLargeError("prune the registry to the ids in use with prune_registry")
     texts: dict[int, str] = {}
-    for row in registry.select("schema_id", "schema_json").collect():
+    for row in registry.select("schema_id", "schema_json").distinct().toLocalIterator():
         if texts.setdefault(row["schema_id"], row["schema_json"]) != row["schema_json"]:
             raise SchemaConflictError(f"schema id {row['schema_id']} has two different schemas")
     schemas: dict[int, tuple[Field, ...] | None] = {}
     for schema_id, text in texts.items():
         try:
             schemas[schema_id] = record_fields(text)
-        except UnsupportedTypeError:
+        except (UnsupportedTypeError, SchemaConflictError):
             if not set_aside:
                 raise
             schemas[schema_id] = None
@@ -106,8 +95,6 @@ def schema_by_id(registry: DataFrame, schema_id: int) -> str:
 def with_schema_text(framed: DataFrame, registry: DataFrame) -> DataFrame:
     """Records with their schema text; a record without a match keeps a null.
 
-    The registry is broadcast only when measured to be small. Beyond that Spark
-    chooses the join and splits hot schema ids at run time.
+    Spark measures the registry's side itself, and splits hot schema ids at run time.
     """
-    side = F.broadcast(registry) if registry_fits(registry) else registry
-    return framed.join(side, "schema_id", "left")
+    return framed.join(one_per_id(registry), "schema_id", "left")

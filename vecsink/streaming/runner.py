@@ -108,22 +108,26 @@ def run_stream(
     schemas: Schemas | None = None,
     transport: Transport | None = None,
     trigger_seconds: float | None = None,
-    reload_schemas: bool = False,
+    reload_schemas: bool = True,
 ) -> StreamRun:
     """Start a query that writes each micro-batch; without a trigger it ends by itself.
 
     Option `run` names the query and its folders, so that a restart from the
-    checkpoint replays the last micro-batch onto itself. `reload_schemas` reads
-    the registry again for each micro-batch, so new schema ids need no restart.
+    checkpoint replays the last micro-batch onto itself. Without given schemas the registry
+    is asked for each micro-batch's own ids, so new schema ids need no restart;
+    without `reload_schemas` it is read once, whole.
     """
     parsed = _named(options)
     if transport is None and parsed.path is None:
         raise ValueError("give a transport or option path")
-    known = load_schemas(kafka, parsed) if schemas is None else schemas
+    ask = schemas is None and reload_schemas
+    if ask and parsed.registry is None:
+        raise ValueError("option registry is required when no schemas are given")
+    known = load_schemas(kafka, parsed) if schemas is None and not ask else schemas
     totals = StreamTotals()
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        current = load_schemas(batch, parsed) if reload_schemas else known
+        current = load_schemas(batch, parsed) if ask else known
         load_micro_batch(batch, batch_id, current, options, transport, totals)
 
     writer = kafka.writeStream.queryName(parsed.run).foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -138,7 +142,11 @@ def run_native_stream(
     transport: Transport = accept_all,
     trigger_seconds: float | None = None,
 ) -> StreamingQuery:
-    """The same plan with the data source as the stream's sink."""
+    """The same plan with the data source as the stream's sink.
+
+    The plan is fixed at the start, so all schemas of the registry are read then; a record
+    of a later schema stops the query with its id, and a restart reads the registry again.
+    """
     parsed = _named(options)
     if parsed.rejects_path is not None:
         raise ValueError("the native sink is strict; use run_stream to keep rejects")
