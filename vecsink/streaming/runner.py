@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,25 +18,55 @@ from vecsink.plans.options import BATCH_ID, SinkOptions
 from vecsink.plans.object_plan import plan_objects
 from vecsink.sinks.datasource import register_sink
 from vecsink.sinks.writers import load_schemas, send_objects, sink_options
-from vecsink.sources.collection import write_collection
+from vecsink.sources.collection import batch_totals, write_collection
 
 
 @dataclass
 class StreamTotals:
-    """Rows seen and rejected per micro-batch; a replay replaces its entry."""
+    """Rows seen and rejected by a run. Only the last micro-batch is kept, which a replay replaces."""
 
-    batches: dict[int, dict[str, int]] = field(default_factory=dict)
+    rows: int = 0
+    rejected: int = 0
+    last: tuple[int, int, int] | None = None
 
     def record(self, batch_id: int, rows: int, rejected: int) -> None:
-        self.batches[batch_id] = {"rows": rows, "rejected": rejected}
+        if self.last is not None and self.last[0] == batch_id:
+            self.rows -= self.last[1]
+            self.rejected -= self.last[2]
+        self.rows += rows
+        self.rejected += rejected
+        self.last = (batch_id, rows, rejected)
 
-    @property
-    def rows(self) -> int:
-        return sum(batch["rows"] for batch in self.batches.values())
 
-    @property
-    def rejected(self) -> int:
-        return sum(batch["rejected"] for batch in self.batches.values())
+def stored_totals(spark: SparkSession, options: SinkOptions) -> StreamTotals:
+    """Totals of what earlier starts of a run have stored, so that a restart goes on counting."""
+    totals = StreamTotals()
+    if options.path is None:
+        return totals
+    counts: dict[int, list[int]] = {}
+    try:
+        found = batch_totals(spark, options.path, options.class_name, options.run)
+        top = found.agg(F.sum("rows").alias("rows"), F.max_by(F.struct("batch_id", "rows"), "batch_id").alias("last")).first()
+    except AnalysisException:  # nothing stored yet
+        top = None
+    if top is not None and top["last"] is not None:
+        totals.rows = top["rows"]
+        counts[top["last"]["batch_id"]] = [top["last"]["rows"], 0]
+    if options.rejects_path is not None:
+        try:
+            rejects = spark.read.parquet(f"{options.rejects_path.rstrip('/')}/run={options.run}").groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
+            found = rejects.agg(F.count(F.lit(1)).alias("n"))
+            top = found.agg(F.sum("n").alias("n"), F.max_by(F.struct("batch_id", "n"), "batch_id").alias("last")).first()
+        except AnalysisException:
+            top = None
+        if top is not None and top["last"] is not None:
+            totals.rows += top["n"]
+            totals.rejected = top["n"]
+            counts.setdefault(top["last"]["batch_id"], [0, 0])[1] = top["last"]["n"]
+    if counts:
+        last = max(counts)
+        totals.last = (last, sum(counts[last]), counts[last][1])
+    return totals
 
 
 @dataclass
@@ -124,7 +155,7 @@ def run_stream(
     if ask and parsed.registry is None:
         raise ValueError("option registry is required when no schemas are given")
     known = load_schemas(kafka, parsed) if schemas is None and not ask else schemas
-    totals = StreamTotals()
+    totals = stored_totals(kafka.sparkSession, parsed)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         current = load_schemas(batch, parsed) if ask else known
