@@ -10,6 +10,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vecsink.operators.id_filter import key_filter
+from vecsink.operators.id_filter import with_maybe as maybe_in
+
 #: Bytes of text that a task works on at once; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 
@@ -66,24 +69,14 @@ def crc_bucket(column: str, buckets: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % buckets
 
 
-#: Bits of an id filter: at most 131,072 rows of 64 bits, whatever the data.
-FILTER_BITS = 1 << 23
-
-
 def id_filter(frame: DataFrame, column: str) -> DataFrame:
-    """A Bloom filter of one hash over the ids, as rows of 64 bits; its size has a fixed bound."""
-    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
-    return frame.select(place.alias("place")).groupBy((F.col("place") / 64).cast("int").alias("slot")).agg(F.bit_or(bit).alias("bits"))
+    """A Bloom filter of fixed size over the ids."""
+    return key_filter(frame, [column])
 
 
 def with_maybe(frame: DataFrame, column: str, kept: DataFrame) -> DataFrame:
     """The frame with the column maybe: false for rows whose id is surely not in the filter."""
-    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    placed = frame.withColumn("place", place).withColumn("slot", (F.col("place") / 64).cast("int"))
-    joined = placed.join(F.broadcast(kept), "slot", "left")
-    maybe = F.expr("coalesce(shiftright(bits, cast(place % 64 as int)) & 1L, 0L) = 1L")
-    return joined.withColumn("maybe", maybe).drop("place", "slot", "bits")
+    return maybe_in(frame, [column], kept)
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
