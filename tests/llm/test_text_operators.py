@@ -235,7 +235,7 @@ def test_word_by_word_ids_are_the_texts_ids():
     from vecsink.llm.packing import WordCoder
 
     path = tokenizer_file("word_bpe_49k.json")
-    texts = ["a\xa0b  c", "x<|endoftext|>y  <|startoftext|> z", "don't DON'T 12", "ΑΣ", "İ", "a\x1cb\x85c", "", " ", "日本語 テキスト", LONG]
+    texts = ["a\xa0b  c", "x<|endoftext|>y  <|startoftext|> z", "don't DON'T 12", "ΑΣ", "İ", "a\x1cb\x85c", "", " ", "日本語 テキスト", LONG, "Éa éa, éa. »a. a». A.B. don't. don' x'S X<|endoftext|>. <|ENDOFTEXT|>", "e\u0301a E\u0301. =\u0338 ﬁn 12a a12 ...!", "straße, ñandú; İx ΣΑΣ. ꙁ"]
     whole = Tokenizer.from_file(path)
     found = WordCoder(path, 2).encode([t.encode() for t in texts])
     for text, body in zip(texts, found):

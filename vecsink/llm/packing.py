@@ -8,7 +8,9 @@ crosses a window's edge has a boundary record in each.
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,14 +23,27 @@ from vecsink.llm.shared import slices, stored, text_column
 
 LENGTH = 4096
 #: Words of which a task remembers the ids; then it starts anew.
-WORDS_KEPT = 500_000
+WORDS_KEPT = 600_000
+
+
+#: Punctuation that may close a word; it stands apart from letters before it in ids as well.
+CLOSING = b".,;:!?*#$%&)"
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is visible, else one from 256 on."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in set(visible)]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
 class WordCoder:
-    """Ids of whole texts from a tokenizer that never joins what white space parts.
+    """Ids of whole texts, each distinct word encoded once.
 
-    A text's ids are its words' ids, one after the other, so each word is encoded once. Texts are
-    cut at ASCII white space only; other white space stays within a word and is the tokenizer's to part.
+    For a byte-level tokenizer that lower-cases and parts words at white space and between
+    letters and punctuation, a text's ids are its words' ids, one after the other, and a word of lower-case
+    letters goes straight to the vocabulary's merges. Texts are cut at ASCII white space only; words of
+    any other make are the tokenizer's to part. Other tokenizers get whole texts.
     """
 
     def __init__(self, path: str, end: int):
@@ -38,23 +53,54 @@ class WordCoder:
         self.coder = Tokenizer.from_file(path)
         self.end = np.array([end], dtype="<u4").tobytes()
         self.known: dict[bytes, bytes] = {}
+        made = json.loads(self.coder.to_str())
+        steps = [made["normalizer"] or {}, made["pre_tokenizer"] or {}]
+        kinds = [[x["type"] for x in step.get("normalizers", step.get("pretokenizers", []))] for step in steps]
+        self.by_word = kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and made["post_processor"] is None
+        self.letters = byte_letters()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        return [np.array(x.ids, dtype="<u4").tobytes() for x in self.coder.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: set[bytes]) -> None:
+        """Ids of new words; of most from their letters and closing punctuation."""
+        parts, wholes, bases = [], [], set()
+        for word in words:
+            low = word.lower()
+            base = low.rstrip(CLOSING)
+            if base.isalpha():
+                plain = True
+            elif base and not base.isascii():
+                text = base.decode()
+                plain = text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
+            else:
+                plain = False
+            if plain:
+                parts.append((word, base, low[len(base) :]))
+                bases.add(base)
+            else:
+                wholes.append(word)
+        merged = self.coder.model.tokenize
+        for base in bases - self.bases.keys():
+            text = base.decode() if base.isascii() else "".join(map(self.letters.__getitem__, base))
+            self.bases[base] = np.array([x.id for x in merged(text)], dtype="<u4").tobytes()
+        ends = list({end for _, _, end in parts} - self.ends.keys())
+        self.ends.update(zip(ends, self._encode([end.decode() for end in ends]), strict=True))
+        for word, base, end in parts:
+            self.known[word] = self.bases[base] + self.ends[end]
+        for at in range(0, len(wholes), 4096):
+            some = wholes[at : at + 4096]
+            self.known.update(zip(some, self._encode([word.decode() for word in some]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
+        if not self.by_word:
+            return [body + self.end for body in self._encode([text.decode() for text in texts])]
         split = [text.split() for text in texts]
         new = {word for words in split for word in words} - self.known.keys()
-        if len(self.known) + len(new) > WORDS_KEPT:
-            self.known.clear()
+        if not self.known or len(self.known) + len(new) > WORDS_KEPT:
+            self.known, self.bases, self.ends = {}, {}, {}
             new = {word for words in split for word in words}
-        fresh = list(new)
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at : at + 4096]
-            coded = self.coder.encode_batch_fast([word.decode() for word in part], add_special_tokens=False)
-            ids = [x.ids for x in coded]
-            body = np.array([i for one in ids for i in one], dtype="<u4").tobytes()
-            begin = 0
-            for word, one in zip(part, ids, strict=True):
-                self.known[word] = body[begin : begin + 4 * len(one)]
-                begin += 4 * len(one)
+        self._learn(new)
         return [b"".join(map(self.known.__getitem__, words)) + self.end for words in split]
 
 
