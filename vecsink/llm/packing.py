@@ -62,35 +62,37 @@ class WordCoder:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in self.coder.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _plain(self, base: bytes) -> bool:
+        if base.isascii():
+            return base.isalpha()
+        text = base.decode()
+        return text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
+
+    def _merged(self, base: bytes) -> bytes:
+        text = base.decode() if base.isascii() else "".join(map(self.letters.__getitem__, base))
+        return np.array([x.id for x in self.coder.model.tokenize(text)], dtype="<u4").tobytes()
+
     def _learn(self, words: set[bytes]) -> None:
         """Ids of new words; of most from their letters and closing punctuation."""
-        parts, wholes, bases = [], [], set()
+        wholes, known, bases, ends = [], self.known, self.bases, self.ends
         for word in words:
             low = word.lower()
             base = low.rstrip(CLOSING)
-            if base.isalpha():
-                plain = True
-            elif base and not base.isascii():
-                text = base.decode()
-                plain = text.isalpha() and text == text.lower() and unicodedata.is_normalized("NFC", text)
-            else:
-                plain = False
-            if plain:
-                parts.append((word, base, low[len(base) :]))
-                bases.add(base)
-            else:
-                wholes.append(word)
-        merged = self.coder.model.tokenize
-        for base in bases - self.bases.keys():
-            text = base.decode() if base.isascii() else "".join(map(self.letters.__getitem__, base))
-            self.bases[base] = np.array([x.id for x in merged(text)], dtype="<u4").tobytes()
-        ends = list({end for _, _, end in parts} - self.ends.keys())
-        self.ends.update(zip(ends, self._encode([end.decode() for end in ends]), strict=True))
-        for word, base, end in parts:
-            self.known[word] = self.bases[base] + self.ends[end]
+            ids = bases.get(base)
+            if ids is None:
+                if not self._plain(base):
+                    wholes.append(word)
+                    continue
+                ids = bases[base] = self._merged(base)
+            if len(base) < len(low):
+                end = low[len(base) :]
+                if end not in ends:
+                    ends[end] = self._encode([end.decode()])[0]
+                ids = ids + ends[end]
+            known[word] = ids
         for at in range(0, len(wholes), 4096):
             some = wholes[at : at + 4096]
-            self.known.update(zip(some, self._encode([word.decode() for word in some]), strict=True))
+            known.update(zip(some, self._encode([word.decode() for word in some]), strict=True))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         if not self.by_word:
