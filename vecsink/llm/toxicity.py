@@ -137,16 +137,18 @@ class Model:
 
 
 def _flat(lists) -> tuple[np.ndarray, np.ndarray]:
-    """Values of lists and the number of the list of each."""
-    sizes = [len(x) for x in lists]
-    return np.array([v for x in lists for v in x], dtype=np.int64), np.repeat(np.arange(len(lists)), sizes)
+    """Values of lists, or of an Arrow column of lists, and the number of the list of each."""
+    column = lists if isinstance(lists, pa.ChunkedArray) else pa.chunked_array([pa.array(lists, pa.list_(pa.int32()))])
+    parts = [np.asarray(chunk.flatten()) for chunk in column.chunks]
+    sizes = np.concatenate([np.asarray(chunk.value_lengths()) for chunk in column.chunks] or [np.zeros(0, dtype=np.int64)])
+    return np.concatenate(parts or [np.zeros(0)]).astype(np.int64), np.repeat(np.arange(len(sizes)), sizes)
 
 
-def fit(features: list[list[int]], labels: np.ndarray, swaps: list[tuple[list[int], list[int]]], width: int, swap_weight: float = SWAP_WEIGHT, rounds: int = 300) -> tuple[np.ndarray, float]:
+def fit(features, labels: np.ndarray, swaps: list[tuple[list[int], list[int]]], width: int, swap_weight: float = SWAP_WEIGHT, rounds: int = 300) -> tuple[np.ndarray, float]:
     """Weights and bias that minimise logistic loss, counterfactual differences and squared weights.
 
-    swaps: for each swapped copy the features that it lacks and those that it has instead. Labels weigh by the
-    inverse root of their number, so rare toxic texts count.
+    features: for each text a list of its features. swaps: for each swapped copy the features that it lacks
+    and those that it has instead. Labels weigh by the inverse root of their number, so rare toxic texts count.
     """
     value, row = _flat(features)
     gone, gone_row = _flat([x for x, _ in swaps])
@@ -196,7 +198,7 @@ def train(documents: DataFrame, labels: DataFrame, terms=IDENTITY_TERMS, sample:
     slots = _term_slots(terms)
     rows = texts.mapInArrow(lambda it: _examples(it, kept, slots), "toxic int, slots array<int>, swapped_out array<array<int>>, swapped_in array<array<int>>").toArrow()
     swaps = [pair for outs, ins in zip(rows.column("swapped_out").to_pylist(), rows.column("swapped_in").to_pylist(), strict=True) for pair in zip(outs, ins, strict=True)]
-    weights, bias = fit(rows.column("slots").to_pylist(), rows.column("toxic").to_numpy().astype(np.float64), swaps, len(kept))
+    weights, bias = fit(rows.column("slots"), rows.column("toxic").to_numpy().astype(np.float64), swaps, len(kept))
     return Model(kept, weights, bias)
 
 
