@@ -3,8 +3,8 @@
 A table key needs six minhash values to agree. Instead of drawing six for each table, two
 collections of `parts` triples are drawn; table (i, j) takes triple i of the first and triple j
 of the second. So parts ** 2 tables cost 6 * parts minhash values, about a square root of what
-single tables would cost. With 9 parts (81 tables, 54 values) a pair of Jaccard similarity 0.8
-meets in a table with probability 0.997, one of 0.85 with 0.9998, one of 0.9 with almost 1.
+single tables would cost. With 10 parts (100 tables, 60 values) a pair of Jaccard similarity 0.8
+meets in a table with probability 0.998, one of 0.85 with 0.9998, one of 0.9 with almost 1.
 
 Documents with equal shingle sets are one class; only the smallest doc_id of each is hashed.
 Within a bucket, documents gather around leaders: one whose sketch (two bits of each minhash
@@ -27,7 +27,7 @@ from vecsink.llm.components import components
 from vecsink.llm.shared import id_filter, slices, stored, text_column, with_maybe
 from vecsink.llm.words import SPACED_LOWER, U64, constants, find_words, mix, text_of_each
 
-PARTS = 9
+PARTS = 10
 WIDTH = 3
 #: Members of a leader that are compared at once.
 BLOCK = 2000
