@@ -4,7 +4,7 @@ import pytest
 from builders import SCHEMAS, framed, kafka, record
 
 from vecsink import fixtures
-from vecsink.functions.avro import Field, SchemaConflictError, UnsupportedTypeError
+from vecsink.functions.avro import SchemaConflictError, UnsupportedTypeError
 from vecsink.operators import decode, enrich, envelope
 from vecsink.operators.objects import to_wire
 from vecsink.plans.object_plan import plan_objects
@@ -129,12 +129,6 @@ def test_no_schemas_at_all(spark):
     assert [r["reject_reason"] for r in made.rejects().collect()] == ["unknown_schema"]
 
 
-def test_native_needs_a_field_that_is_never_null(spark):
-    schemas = {1: (Field("a", "long", 0),)}
-    with pytest.raises(Exception):
-        decode.decode_values(envelope.parse_envelope(kafka(spark, [])), schemas, native=True)
-
-
 def response(text):
     return json.dumps({"schema": text})
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecsink.functions import wire
-from vecsink.functions.avro import Field, Schemas, avro_to_spark, readable, superset
+from vecsink.functions.avro import Schemas, avro_to_spark, superset
 from vecsink.functions.avro_body import OK, decode_bodies
 from vecsink.operators.envelope import BAD_PAYLOAD, UNKNOWN_SCHEMA, UNSUPPORTED_SCHEMA
 
@@ -63,25 +63,18 @@ def _schema_fault(schemas: Schemas) -> Column:
     return fault.when(F.col("schema_id").isin(unsupported), UNSUPPORTED_SCHEMA) if unsupported else fault
 
 
-def decode_values(
-    parsed: DataFrame, schemas: Schemas, fields: Sequence[str] | None = None, native: bool = False
-) -> DataFrame:
+def decode_values(parsed: DataFrame, schemas: Schemas, fields: Sequence[str] | None = None) -> DataFrame:
     """Add `record`, a struct of the superset fields, and settle `reject_reason`.
 
     No shuffle and no join: schemas travel with the task. `fields` limits the
     output to what is used, which a Python step would otherwise hide from the
-    optimizer. `native` decodes in the JVM instead, where Spark's Avro package is
-    on the class path.
+    optimizer.
     """
     wanted = _wanted(schemas, fields)
     reason = F.coalesce(F.col("reject_reason"), _schema_fault(schemas))
     ready = parsed.withColumn("reject_reason", reason)
     body = F.when(F.col("reject_reason").isNull(), F.col("payload"))
-    if native:
-        decoded = ready.withColumn("_decoded", _native(body, schemas, wanted))
-    else:
-        decode = body_decoder(schemas, fields)
-        decoded = ready.withColumn("_decoded", decode(F.col("schema_id"), body))
+    decoded = ready.withColumn("_decoded", body_decoder(schemas, fields)(F.col("schema_id"), body))
     failed = F.col("reject_reason").isNull() & ~F.coalesce(F.col("_decoded").getField(OK), F.lit(False))
     return decoded.select(
         *[name for name in parsed.columns if name not in ("reject_reason", "payload")],
@@ -90,42 +83,6 @@ def decode_values(
     )
 
 
-def _native(body: Column, schemas: Schemas, wanted: Mapping[str, str]) -> Column:
-    """The same struct from Spark's Avro functions, one branch per schema id."""
-    import json
-
-    from pyspark.sql.avro.functions import from_avro
-
-    branches = None
-    for schema_id, fields in sorted(readable(schemas).items()):
-        if all(f.null_branch is not None for f in fields):
-            raise ValueError(f"schema {schema_id} has only nullable fields: damage would look like nulls")
-        listed = [{"name": f.name, "type": _declared(f)} for f in fields]
-        text = json.dumps({"type": "record", "name": "record", "fields": listed})
-        read = from_avro(body, text, {"mode": "PERMISSIVE"})
-        names = {f.name for f in fields}
-        values = []
-        for name, avro in wanted.items():
-            target = _raw_type(avro)
-            value = read.getField(name).cast(target) if name in names else F.lit(None).cast(target)
-            values.append(value.alias(name))
-        # A body that cannot be read gives a null struct or all-null fields.
-        required = [read.getField(f.name).isNotNull() for f in fields if f.null_branch is None]
-        whole = read.isNotNull()
-        for test in required:
-            whole = whole & test
-        struct = F.struct(*values, whole.alias(OK))
-        here = F.col("schema_id") == schema_id
-        branches = F.when(here, struct) if branches is None else branches.when(here, struct)
-    return branches
-
-
-def _declared(field: Field):
-    if field.null_branch is None:
-        return field.avro
-    return ["null", field.avro] if field.null_branch == 0 else [field.avro, "null"]
-
-
 def accepted(decoded: DataFrame) -> DataFrame:
     return decoded.where("reject_reason IS NULL")
 

@@ -49,7 +49,6 @@ def plan_objects(
     schemas: Schemas,
     options: SinkOptions,
     fields: Sequence[str] | None = None,
-    native: bool = False,
 ) -> ObjectPlan:
     """Parse, decode and settle rejects; records without an id are rejects too.
 
@@ -57,7 +56,7 @@ def plan_objects(
     wire form writes them under their one name. Options `id` and `vector` name the first one.
     """
     schemas = settle_conflicts(schemas)
-    decoded = decode.decode_values(envelope.parse_envelope(kafka), schemas, fields, native)
+    decoded = decode.decode_values(envelope.parse_envelope(kafka), schemas, fields)
     if options.id is not None:
         column = objects.find_column(enrich.enrich(decoded), options.id, "id")
         source = enrich.METADATA.get(column)
