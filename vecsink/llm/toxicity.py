@@ -68,12 +68,16 @@ def _term_slots(terms) -> dict[int, list[tuple[int, np.ndarray]]]:
     return out
 
 
-def _sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, object]:
-    """Distinct slots of each text, and the number of the text of each."""
+def _sets(texts: pa.Array, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, object]:
+    """Distinct slots of each text, of the kept ones if they are given, and the number of the text of each."""
     words = find_words(texts, ALNUM_LOWER)
     slots = _features(words.hashes, words)
     owner = np.repeat(text_of_each(words.first), slots.shape[1])
-    pair = np.unique((owner << SLOT_BITS) | slots.ravel())
+    slots = slots.ravel()
+    if kept is not None:
+        used = np.flatnonzero(kept[slots])
+        slots, owner = slots[used], owner[used]
+    pair = np.unique((owner << SLOT_BITS) | slots)
     return pair & ((1 << SLOT_BITS) - 1), pair >> SLOT_BITS, words
 
 
@@ -106,9 +110,8 @@ def _examples(batches: Iterator[pa.RecordBatch], kept: np.ndarray, terms: dict)
     for batch in batches:
         texts, label = text_column(batch), batch.column("toxic")
         for a, b in slices(texts):
-            slot, owner, words = _sets(texts.slice(a, b - a))
-            slot, owner = place[slot], owner[place[slot] >= 0]
-            slot = slot[slot >= 0]
+            slot, owner, words = _sets(texts.slice(a, b - a), place >= 0)
+            slot = place[slot]
             offsets = np.searchsorted(owner, np.arange(b - a + 1)).astype(np.int32)
             out, into = [[] for _ in range(b - a)], [[] for _ in range(b - a)]
             for text, less, more in _swapped(words, terms):
@@ -131,7 +134,7 @@ class Model:
     def score(self, texts: pa.Array) -> np.ndarray:
         dense = np.zeros(1 << SLOT_BITS)
         dense[self.slots] = self.weights
-        slot, owner, _ = _sets(texts)
+        slot, owner, _ = _sets(texts, dense != 0)
         total = np.bincount(owner, weights=dense[slot], minlength=len(texts)) + self.bias
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
