@@ -6,7 +6,7 @@ import numpy as np
 from vecsink.llm import embedding_dedup
 from vecsink.llm.embedding_dedup import near_vectors
 from vecsink.llm.html_extract import extract, main_text
-from vecsink.llm.language_id import build_model, identify, train
+from vecsink.llm.language_id import ORDER, Letters, Scorer, build_model, grams, identify, train
 
 PARAGRAPH = "It was late, and the rain fell, so we stayed at home; nobody spoke. "
 
@@ -83,6 +83,24 @@ def test_languages_of_odd_texts(spark):
     assert {r.lang_pred for r in identify(frame, None).collect()} == {"und"}
 
 
+def test_no_gram_is_left_out(spark):
+    """A language of many letters has more grams than any bound; its model holds those seen once too."""
+    draw = np.random.default_rng(3)
+    letters = np.array([chr(0x4E00 + k) for k in range(6000)])
+    texts = [("".join(draw.choice(letters, 2000)), "zz") for _ in range(200)] + [("the river and the stone house " * 3, "aa")] * 20
+    frame = spark.createDataFrame([(k, *row) for k, row in enumerate(texts)], "doc_id long, text string, lang string")
+    tables = {}
+    for lang in ("aa", "zz"):
+        symbol, begin, _ = Letters().symbols([t for t, name in texts if name == lang])
+        codes = np.delete(grams(symbol, ORDER), (begin[:, None] + np.arange(ORDER - 1)).ravel())
+        tables[lang] = np.unique(codes, return_counts=True)
+    assert len(tables["zz"][0]) > 390_000
+    plain, _ = Scorer(build_model(tables)).entropies([t for t, _ in texts])
+    found = {r.doc_id: r for r in identify(frame, train(frame)).collect()}
+    for k, (_, lang) in enumerate(texts):
+        assert found[k].lang_pred == lang and abs(found[k].bits - plain[k].min()) < 1e-3
+
+
 # Embeddings
 
 
