@@ -146,6 +146,24 @@ def test_near_copies_of_edited_texts(spark):
     assert found_components(frame, size=2) == plain_components(pairs(frame), 2, 80)
 
 
+def test_near_copies_with_different_leaders(spark, monkeypatch):
+    """A link of a bucket's members is found whichever leaders they follow."""
+    from vecsink.llm import minhash_dedup
+
+    # A narrow sketch limit makes many leaders, of which a follower has some.
+    draw = random.Random(11)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for _ in range(40):
+        words = list(base)
+        for _ in range(draw.randrange(4, 28)):
+            words[draw.randrange(len(words))] = f"x{draw.randrange(10_000)}"
+        texts.append(" ".join(words))
+    monkeypatch.setattr(minhash_dedup, "least_agreeing", lambda parts, percent: 47)
+    frame = docs_of(spark, texts).coalesce(1)
+    assert found_components(frame, size=2) == plain_components(pairs(frame), 2, 80)
+
+
 def test_components_of_chains(spark):
     draw = random.Random(5)
     edges = [(k, k + 1) for k in range(0, 60) if k % 20] + [(k, 100) for k in range(101, 140)] + [(7, 7)]

@@ -12,6 +12,8 @@ value) is too far from all leaders leads a group of its own. A pair of the least
 is that far with probability below 0.001. Members are then compared with their leader on full
 shingle sets. Members of a leader that are still in different components are compared with each
 other, blocks against blocks; no member is left out and no pairs within a component are formed.
+Last, members of one bucket that are still in different components are compared in the same way,
+whichever leaders they follow.
 """
 
 from __future__ import annotations
@@ -160,17 +162,30 @@ class Leaders:
                 self.led.append((doc[i], k1[i], k2[i]))
 
 
-def _tabled(batch: pa.RecordBatch, parts: int, percent: int) -> Iterator[pa.RecordBatch]:
-    """A row for each table; those that follow a leader within the batch are linked, leaders are dealt."""
+def _keys(batch: pa.RecordBatch, parts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Bucket keys of a batch's rows in some tables at a time, and the row of each."""
     count = batch.num_rows
-    ids, k1, k2 = (batch.column(c).to_numpy() for c in ("doc_id", "k1", "k2"))
-    k1, k2 = k1.view(U64), k2.view(U64)
     values = batch.column("parts").flatten().to_numpy().view(U64).reshape(count, 2 * parts)
     for i in range(parts):
         with np.errstate(over="ignore"):
             tables = np.arange(i * parts, (i + 1) * parts, dtype=U64)
             key = mix(mix(values[:, i : i + 1] + constants(1, 81)[0]) ^ values[:, parts:] + tables * constants(1, 82)[0]).reshape(-1)
-        row = np.repeat(np.arange(count), parts)
+        yield key, np.repeat(np.arange(count), parts)
+
+
+def _bucketed(batch: pa.RecordBatch, parts: int) -> Iterator[pa.RecordBatch]:
+    """The bucket of each row in each table."""
+    columns = ["doc_id", "component", "paired"]
+    rest = batch.select(columns)
+    for key, row in _keys(batch, parts):
+        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *rest.take(pa.array(row)).columns], ["leader", *columns])
+
+
+def _tabled(batch: pa.RecordBatch, parts: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """A row for each table; those that follow a leader within the batch are linked, leaders are dealt."""
+    ids, k1, k2 = (batch.column(c).to_numpy() for c in ("doc_id", "k1", "k2"))
+    k1, k2 = k1.view(U64), k2.view(U64)
+    for key, row in _keys(batch, parts):
         order = np.lexsort((ids[row], key))
         key, row = key[order], row[order]
         doc = ids[row]
@@ -281,6 +296,24 @@ def _block_pairs(group: DataFrame, sets: DataFrame) -> DataFrame:
     return strays.unionByName(members)
 
 
+def _open_buckets(classes: DataFrame, pairs: DataFrame, part: DataFrame, parts: int) -> DataFrame:
+    """Members (leader: the bucket, doc_id, component) of buckets whose members lie in several components.
+
+    Two members of a bucket that were not compared are not both leaders, so one of them is in a pair, and a third
+    member led it. Buckets of the same members count once.
+    """
+    paired = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().withColumn("paired", F.lit(True))
+    known = classes.select("doc_id", "parts").join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(paired, "doc_id", "left")
+    known = known.select("doc_id", "parts", F.coalesce("component", "doc_id").alias("component"), F.coalesce("paired", F.lit(False)).alias("paired"))
+    members = known.mapInArrow(lambda it: (out for b in it for out in _bucketed(b, parts)), "leader long, doc_id long, component long, paired boolean")
+    names = [F.bit_xor(F.xxhash64(F.lit(seed), "doc_id")).alias(f"h{seed}") for seed in (1, 2)]
+    seen = members.groupBy("leader").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), F.max("paired").alias("paired"), *names)
+    split = seen.where("n > 2 AND least < most AND paired").groupBy("n", "h1", "h2").agg(F.min("leader").alias("leader")).select("leader")
+    split = stored(split, "buckets")
+    maybe = with_maybe(members, "leader", id_filter(split, "leader")).where("maybe").select("leader", "doc_id", "component")
+    return stored(maybe.join(split, "leader", "left_semi"), "groups")
+
+
 def near_copies(documents: DataFrame, size: int = 5, percent: int = 80, parts: int = PARTS) -> DataFrame:
     """doc_id, n_shingles and component_id of each row of documents.
 
@@ -304,18 +337,31 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80, parts: i
     pairs = tabled.repartition("deal").sortWithinPartitions("deal", "doc_id").mapInArrow(lambda it: _met(it, parts, percent), "a long, b long")
     pairs = stored(pairs.where("a <> b").distinct(), "pairs")
     wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
-    maybe = with_maybe(narrow.where("doc_id is not null"), "doc_id", id_filter(wanted, "doc_id")).where("maybe").select("doc_id", "text")
-    sets = maybe.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: (out for b in it for out in _sets(b, size)), "doc_id long, body binary")
-    sets = stored(sets.dropDuplicates(["doc_id"]), "sets")
+
+    def sets_of(wanted: DataFrame) -> DataFrame:
+        maybe = with_maybe(narrow.where("doc_id is not null"), "doc_id", id_filter(wanted, "doc_id")).where("maybe").select("doc_id", "text")
+        sets = maybe.join(wanted, "doc_id", "left_semi").mapInArrow(lambda it: (out for b in it for out in _sets(b, size)), "doc_id long, body binary")
+        return stored(sets.dropDuplicates(["doc_id"]), "sets")
+
+    def compared(group: DataFrame, sets: DataFrame) -> DataFrame:
+        blocks = _block_pairs(group, sets.join(classes.select("doc_id", "k1", "k2"), "doc_id"))
+        dealt = blocks.repartition("leader", "stray_block", "member_block").sortWithinPartitions("leader", "stray_block", "member_block", F.desc("stray"))
+        return stored(dealt.mapInArrow(lambda it: _compared(it, parts, percent), "a long, b long"), "links")
+
+    sets = sets_of(wanted)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("body").alias("left")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("body").alias("right")), "b")
     links = stored(both.select("a", "b", "left", "right").mapInArrow(lambda it: (_agree(b, percent) for b in it), "a long, b long"), "links")
     part = components(links, "parts")
     known = part.select(F.col("node").alias("doc_id"), "component")
     group = pairs.select(F.col("a").alias("doc_id"), F.col("b").alias("leader")).join(known, "doc_id", "left")
     group = stored(group.select("leader", "doc_id", F.coalesce("component", "doc_id").alias("component")), "groups")
-    blocks = _block_pairs(group, sets.join(classes.select("doc_id", "k1", "k2"), "doc_id"))
-    dealt = blocks.repartition("leader", "stray_block", "member_block").sortWithinPartitions("leader", "stray_block", "member_block", F.desc("stray"))
-    more = stored(dealt.mapInArrow(lambda it: _compared(it, parts, percent), "a long, b long"), "links")
+    more = compared(group, sets)
+    if not more.isEmpty():
+        links = links.union(more)
+        part = components(links, "parts")
+    group = _open_buckets(classes, pairs, part, parts)
+    missing = stored(group.select("doc_id").distinct().join(wanted, "doc_id", "left_anti"), "wanted")
+    more = compared(group, sets.union(sets_of(missing)))
     if not more.isEmpty():
         part = components(links.union(more), "parts")
     joined = classes.select(*named, "doc_id").join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(*named, F.coalesce("component", "doc_id").alias("component"))
