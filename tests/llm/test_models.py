@@ -34,6 +34,15 @@ def test_ratios_find_content_without_any_marks():
     assert text.count("rain") == 11 and "Link" not in text and "About" not in text
 
 
+def test_marks_on_what_holds_the_article():
+    body = f"<h1>Title</h1><p>{PARAGRAPH * 5}</p><p>{PARAGRAPH * 4}</p><p><a href='/r'>A reference, linked whole</a></p>"
+    for name in ("content with-sidebar", "no-sidebar", "has-comments", "legal-article", "search-result-page"):
+        assert main_text(page(f"<div class='{name}'>{body}</div>")).count("rain") == 9
+        text = main_text(page(f"<div class='{name}'><article>{body}</article></div><div class='sidebar'><p>{PARAGRAPH}</p></div>"))
+        assert text.count("rain") == 9 and text.endswith("linked whole")
+    assert main_text(page(f"<article><p>{PARAGRAPH}</p></article><div class='comments'><p>{PARAGRAPH * 3}</p></div>")).count("rain") == 1
+
+
 def test_odd_pages(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "plain text only"), (4, "u", "<p>open <b>never closed"), (5, "u", "< > << <a <p"),
             (6, "u", page("<nav>only a menu</nav>")), (7, "u", page(f"<article><p>{PARAGRAPH * 2000}</p></article>")), (None, "u", "x"), (3, "u", "plain text only")]

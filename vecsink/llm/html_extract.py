@@ -44,6 +44,12 @@ MARKED = re.compile(
     r"newsletter|subscri\w+|popup|modal|overlay|login|signin|signup|search|pagination|pager|copyright|legal|widget|toolbar|skip-link|hidden)(?:$|[\s_-])",
     re.I,
 )
+#: Class names that tell what a page has beside or in an element, not what the element is.
+STATES = re.compile(r"(?:^|(?<=[\s_-]))(?:with|without|no|has|is|not)[_-][a-z]+", re.I)
+#: Readers' comments are no main text, however long.
+REPLIES = re.compile(r"(?:^|[\s_-])(?:comments?|comment-\w+|replies|reply|respond|disqus|discussion)(?:$|[\s_-])", re.I)
+#: Share of a page's text from which an element is content in spite of its class or id.
+MOST = 0.5
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -51,31 +57,46 @@ _STOPS = re.compile(r"[.,;:!?、。，：；！？]")
 
 
 class _Block:
-    __slots__ = ("linked", "path", "text")
+    __slots__ = ("linked", "marks", "path", "text")
 
-    def __init__(self, path, text, linked):
-        self.path, self.text, self.linked = path, text, linked
+    def __init__(self, path, text, linked, marks):
+        self.path, self.text, self.linked, self.marks = path, text, linked, marks
 
+    def within(self, number: int) -> bool:
+        return any(n == number for _, n in self.path)
 
-def _marked(tag: str, attributes: str) -> bool:
-    """Whether an element is no main text by its name, class, id or role."""
+    def in_article(self) -> bool:
+        return any(tag in ("article", "main") for tag, _ in self.path)
+
+
+SURE, REPLY, NAMED = 3, 2, 1
+
+
+def _marked(tag: str, attributes: str) -> int:
+    """How an element is marked as no main text: surely by its name or role, or by class or id; 0 if not."""
     if tag in DROPPED:
-        return True
+        return SURE
     if not attributes:
-        return False
+        return 0
+    mark = 0
     for name, *values in _ATTRIBUTE.findall(attributes):
         value, name = "".join(values), name.lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and MARKED.search(value):
-            return True
-    return False
+            return SURE
+        if name in ("class", "id") and tag not in ("article", "main"):
+            value = STATES.sub(" ", value)
+            if MARKED.search(value):
+                mark = max(mark, REPLY if REPLIES.search(value) else NAMED)
+    return mark
 
 
 def blocks(page: str) -> list[_Block]:
-    """Blocks of a page that no element marks as something else, in page order."""
+    """Blocks of a page that no element surely marks as something else, in page order.
+
+    Each has the elements around it that class or id mark, and how.
+    """
     out: list[_Block] = []
-    stack: list[tuple[str, int, bool]] = []  # tag, number of the element, marked
+    stack: list[tuple[str, int, int]] = []  # tag, number of the element, its mark
     buffer: list[str] = []
     linked, in_link, marked, number, at, end = 0, 0, 0, 0, 0, len(page)
 
@@ -91,14 +112,14 @@ def blocks(page: str) -> list[_Block]:
         if buffer:
             text = " ".join(html.unescape("".join(buffer)).split())
             if text:
-                out.append(_Block(tuple((tag, n) for tag, n, _ in stack), text, linked))
+                out.append(_Block(tuple((tag, n) for tag, n, _ in stack), text, linked, tuple((n, m) for _, n, m in stack if m)))
         buffer, linked = [], 0
 
     def pop(count: int) -> None:
         nonlocal marked
         close()
         for _ in range(count):
-            marked -= stack.pop()[2]
+            marked -= stack.pop()[2] == SURE
 
     while at < end:
         match = _TOKEN.search(page, at)
@@ -146,9 +167,9 @@ def blocks(page: str) -> list[_Block]:
             close()
             number += 1
             # A heading's own header element within an article is part of the article.
-            drop = _marked(tag, match[3]) and not (tag == "header" and any(t in ("article", "main") for t, _, _ in stack)) and tag not in ("html", "body")
-            stack.append((tag, number, drop))
-            marked += drop
+            mark = 0 if tag in ("html", "body") or tag == "header" and any(t in ("article", "main") for t, _, _ in stack) else _marked(tag, match[3])
+            stack.append((tag, number, mark))
+            marked += mark == SURE
     close()
     return out
 
@@ -173,10 +194,30 @@ def scores(found: list[_Block]) -> np.ndarray:
     return _smooth(text) * (1 + _smooth(stop))
 
 
+def _unmarked(found: list[_Block]) -> list[_Block]:
+    """Blocks outside of elements that class or id mark.
+
+    A mark does not count on an element that an article or main lies in, nor, but for readers' comments, on
+    one that holds most of the text. If nothing is left, no mark counts.
+    """
+    held: dict[int, int] = {}
+    around: set[int] = set()
+    for block in found:
+        article = max((k for k, (tag, _) in enumerate(block.path) if tag in ("article", "main")), default=0)
+        around.update(n for _, n in block.path[:article])
+        for number, _ in block.marks:
+            held[number] = held.get(number, 0) + len(block.text) - block.linked
+    total = sum(len(b.text) - b.linked for b in found)
+    free = lambda number, mark: mark == NAMED and held[number] >= MOST * total or mark == NAMED and number in around
+    return [b for b in found if all(free(n, mark) for n, mark in b.marks)] or found
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page; empty if there is none."""
-    found = blocks(page) if page else []
-    found = [b for b in found if b.linked < LINKED * len(b.text)]
+    every = _unmarked(blocks(page)) if page else []
+    if not every:
+        return ""
+    found = [b for b in every if b.linked < LINKED * len(b.text)] or [b for b in every if b.in_article()]
     if not found:
         return ""
     score = scores(found)
@@ -191,12 +232,18 @@ def main_text(page: str | None) -> str:
     total = sum(len(b.text) for b, vote in zip(found, good.tolist(), strict=True) if vote)
     # Elements are numbered as they begin, so of nested ones the innermost has the largest number.
     content = max((n for n, size in voted.items() if size >= INSIDE * total), default=0)
-    inside = [b for b in found if not content or any(n == content for _, n in b.path)]
+    inside = [b for b in found if not content or b.within(content)]
     if len(inside) == 1 and len(inside[0].path) > 1:
         # One paragraph holds nearly all: its headings stand beside it.
-        parent = inside[0].path[-2][1]
-        inside = [b for b in found if b is inside[0] or any(n == parent for _, n in b.path)]
-    return "\n\n".join(b.text for b in inside)
+        content = inside[0].path[-2][1]
+    # Links of a menu lie on a path of links; an article's own blocks of links are part of it.
+    text, linked = {}, {}
+    for b in every:
+        tags = tuple(tag for tag, _ in b.path)
+        text[tags], linked[tags] = text.get(tags, 0) + len(b.text), linked.get(tags, 0) + b.linked
+    whole = {tags for tags in text if linked[tags] < LINKED * text[tags]}
+    kept = [b for b in every if (not content or b.within(content)) and (b.in_article() or b.linked < LINKED * len(b.text) or tuple(tag for tag, _ in b.path) in whole)]
+    return "\n\n".join(b.text for b in kept)
 
 
 def extract(pages: DataFrame) -> DataFrame:
