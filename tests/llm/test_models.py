@@ -34,6 +34,14 @@ def test_ratios_find_content_without_any_marks():
     assert text.count("rain") == 11 and "Link" not in text and "About" not in text
 
 
+def test_short_sections_beside_a_long_one():
+    long = "".join(f"<p>{PARAGRAPH * 5}</p>" for _ in range(30))
+    parts = f"<h1>Title</h1><p>Lead, as it was.</p><section>{long}</section><section><p>Close, at last.</p></section>"
+    for kind in ("article", "div"):
+        text = main_text(page(f"<div><a href='/'>Home page</a></div><{kind}>{parts}</{kind}><div>About us</div>"))
+        assert text.startswith("Title\n\nLead") and text.endswith("Close, at last.") and text.count("rain") == 150
+
+
 def test_marks_on_what_holds_the_article():
     body = f"<h1>Title</h1><p>{PARAGRAPH * 5}</p><p>{PARAGRAPH * 4}</p><p><a href='/r'>A reference, linked whole</a></p>"
     for name in ("content with-sidebar", "no-sidebar", "has-comments", "legal-article", "search-result-page"):

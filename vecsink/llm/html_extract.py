@@ -212,6 +212,30 @@ def _unmarked(found: list[_Block]) -> list[_Block]:
     return [b for b in found if all(free(n, mark) for n, mark in b.marks)] or found
 
 
+def _climbed(found: list[_Block], good: list[bool], content: int, inside: list[_Block]) -> int:
+    """The article or main that content lies in, or its outermost parent that adds mostly content.
+
+    What a parent adds is content if it votes, is on a path of votes or is a heading.
+    """
+    path = inside[0].path
+    at = next((k for k, (_, n) in enumerate(path) if n == content), len(path) - 1)
+    for wanted in ("article", "main"):
+        for tag, number in reversed(path[: at + 1]):
+            if tag == wanted:
+                return number
+    tags = lambda block: tuple(tag for tag, _ in block.path)
+    paths = {tags(b) for b, vote in zip(found, good, strict=True) if vote}
+    for tag, number in reversed(path[:at]):
+        if tag in ("html", "body"):
+            break
+        added = [b for b in found if b.within(number) and not b.within(content)]
+        like = sum(len(b.text) for b in added if tags(b) in paths or any(t in HEADINGS for t, _ in b.path))
+        if 2 * like < sum(len(b.text) for b in added):
+            break
+        content = number
+    return content
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page; empty if there is none."""
     every = _unmarked(blocks(page)) if page else []
@@ -236,6 +260,8 @@ def main_text(page: str | None) -> str:
     if len(inside) == 1 and len(inside[0].path) > 1:
         # One paragraph holds nearly all: its headings stand beside it.
         content = inside[0].path[-2][1]
+    if content:
+        content = _climbed(found, good.tolist(), content, inside)
     # Links of a menu lie on a path of links; an article's own blocks of links are part of it.
     text, linked = {}, {}
     for b in every:
