@@ -307,6 +307,23 @@ def test_licences(spark, odd_documents, no_documents):
     assert license_scan.scan(no_documents).collect() == []
 
 
+def test_wrapped_notices(spark):
+    head = "Some words before it.\n"
+    texts = [
+        head + "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files",
+        head + "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that",
+        head * 20 + "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee",
+        "Licensed under CC BY 4.0.\nLicensed under CC BY-SA 4.0.",
+    ]
+    found = {r.doc_id: (r.labels, r.score) for r in license_scan.scan(docs_of(spark, texts)).collect()}
+    assert found == {1: (["mit"], 1.0), 2: (["bsd"], 1.0), 3: (["isc"], 1.0), 4: (["cc-by", "cc-by-sa"], 1.0)}
+    notice = [f"n{k}" for k in range(150)]
+    lines = head * 9 + "\n".join(" ".join(notice[k : k + 10]) for k in range(0, 150, 10))
+    templates = ((" ".join(notice), "whole"), (" ".join(notice[40:50]), "part"))
+    found = {r.doc_id: r.labels for r in license_scan.scan(docs_of(spark, [lines, " ".join(notice[38:52])]), templates=templates).collect()}
+    assert found == {1: ["whole"], 2: ["part"]}
+
+
 # Chat formatting
 
 

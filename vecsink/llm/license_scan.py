@@ -1,7 +1,7 @@
 """Licence notices in documents by an exact set-similarity join.
 
-Templates are notices' words as sets. A text block (a line, or overlapping windows of a long line)
-holds a template if at least `share` of the template's words are in it. All words of templates
+Templates are notices' words as sets. A text block (a line, overlapping windows of a long line, or
+overlapping windows of the whole text, since notices are wrapped) holds a template if at least `share` of the template's words are in it. All words of templates
 are counted in all documents and ordered from rare to frequent. A block that holds a template of
 n words, k of them needed, has one of the template's n - k + 1 rarest words: this prefix is
 joined. Length and position of a common word bound what can be common; what remains is verified on whole sets.
@@ -22,13 +22,14 @@ from vecsink.llm.words import ALNUM_LOWER, find_words, text_of_each
 
 #: Share of a template's words that a block must hold.
 SHARE = 0.9
-#: Words of a block at most; longer lines are windows that begin every half of it.
+#: Words of a block at most; longer lines are windows that begin every half of it. Windows of a whole text are
+#: twice this for templates of over half of it, and so on.
 BLOCK_WORDS = 64
 
 #: Phrases whose words stand one after the other. Fixed values.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Notices and their labels. Fixed values; a caller may give others of at most 32 distinct words.
+#: Notices and their labels. Fixed values; a caller may give others, whole notices too.
 TEMPLATES = (
     ("licensed under the mit license", "mit"),
     ("released under the mit license", "mit"),
@@ -89,12 +90,24 @@ def _needed(size: int, share: float) -> int:
     return int(np.ceil(share * size - 1e-9))
 
 
-def _scanned(batches: Iterator[pa.RecordBatch], phrases, ordered: list[str], prefix: list[int]) -> Iterator[pa.RecordBatch]:
+BLOCKS = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64()), ("width", pa.int32()), ("words", pa.list_(pa.int32()))]))
+
+
+def _width(text: str) -> int:
+    """Words of the windows that hold a template: it and the step between two windows fit."""
+    width = BLOCK_WORDS
+    while width // 2 < len(text.split()):
+        width *= 2
+    return width
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], phrases, ordered: list[str], prefix: dict[int, list[int]]) -> Iterator[pa.RecordBatch]:
     """Phrases of each text, and its blocks with a prefix word: their template words by rank."""
     hashes = _hashes(ordered)
     by_hash = np.argsort(hashes)
-    in_prefix = np.zeros(len(ordered) + 1, dtype=bool)
-    in_prefix[prefix] = True
+    in_prefix = np.zeros((len(prefix), len(ordered) + 1), dtype=bool)
+    for row, ranks in zip(in_prefix, prefix.values(), strict=True):
+        row[ranks] = True
     wanted = [(_hashes(phrase.split()), label) for phrase, label in phrases]
     half = BLOCK_WORDS // 2
     for batch in batches:
@@ -125,8 +138,17 @@ def _scanned(batches: Iterator[pa.RecordBatch], phrases, ordered: list[str], pre
 
             at = np.minimum(np.searchsorted(hashes[by_hash], h), len(hashes) - 1)
             rank = np.where(hashes[by_hash][at] == h, by_hash[at], len(ordered))
-            seeds = np.flatnonzero(in_prefix[rank])
             found = [[] for _ in range(n)]
+            begins = set()
+            for width, wanted_ranks in zip(prefix, in_prefix, strict=True):
+                at = np.flatnonzero(wanted_ranks[rank])
+                step = width // 2
+                offset = (at - words.first[text[at]]) // step
+                for t, k in set(zip(text[at].tolist(), offset.tolist(), strict=True)):
+                    for window in {k, max(0, k - 1)}:
+                        begin = int(words.first[t]) + window * step
+                        begins.add((begin, int(min(words.first[t + 1], begin + width)), width))
+            seeds = np.flatnonzero(in_prefix[0][rank]) if BLOCK_WORDS in prefix else np.zeros(0, dtype=np.int64)
             if len(seeds):
                 breaks = np.flatnonzero(words.data == 10)
                 line = np.searchsorted(breaks, words.start)
@@ -136,21 +158,20 @@ def _scanned(batches: Iterator[pa.RecordBatch], phrases, ordered: list[str], pre
                 stop = np.append(head[1:], len(h))
                 k = np.searchsorted(head, seeds, side="right") - 1
                 inside = seeds - head[k]
-                begins = set()
                 for line_at, offset in zip(k.tolist(), inside.tolist(), strict=True):
                     if stop[line_at] - head[line_at] <= BLOCK_WORDS:
-                        begins.add((int(head[line_at]), int(stop[line_at])))
+                        begins.add((int(head[line_at]), int(stop[line_at]), BLOCK_WORDS))
                     else:
                         for step in {offset // half, max(0, offset // half - 1)}:
                             begin = int(head[line_at]) + step * half
-                            begins.add((begin, int(min(stop[line_at], begin + BLOCK_WORDS))))
-                for begin, end in sorted(begins):
-                    ranks = np.unique(rank[begin:end])
-                    found[int(text[begin])].append(ranks[ranks < len(ordered)].tolist())
+                            begins.add((begin, int(min(stop[line_at], begin + BLOCK_WORDS)), BLOCK_WORDS))
+            for begin, end, width in sorted(begins):
+                ranks = np.unique(rank[begin:end])
+                found[int(text[begin])].append((begin, end, width, ranks[ranks < len(ordered)].tolist()))
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(a, n), pa.array(words.count().astype(np.int64)), pa.array(many.astype(np.int64)), pa.array(first, pa.int64()), pa.array(last, pa.int64()),
-                    pa.array([sorted(x) for x in labels], pa.list_(pa.string())), pa.array(found, pa.list_(pa.list_(pa.int32()))),
+                    pa.array([sorted(x) for x in labels], pa.list_(pa.string())), pa.array([[dict(zip(("begin", "end", "width", "words"), x)) for x in row] for row in found], BLOCKS),
                 ],
                 ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "blocks"],
             )
@@ -165,37 +186,43 @@ def scan(documents: DataFrame, templates=TEMPLATES, phrases=PHRASES, share: floa
     each row of documents. Null or empty texts have no words and no labels. Other columns are not read.
     """
     sets = [(label, _words(text)) for text, label in templates]
-    if any(not words or len(words) > BLOCK_WORDS // 2 for _, words in sets):
-        raise ValueError(f"templates need 1 to {BLOCK_WORDS // 2} distinct words")
+    if any(not words for _, words in sets):
+        raise ValueError("templates need words")
+    widths = [_width(text) for text, _ in templates]
     ordered = word_order(documents, sorted({w for _, words in sets for w in words}))
     rank = {word: k for k, word in enumerate(ordered)}
-    rows, prefix = [], set()
+    rows, prefix = [], {width: set() for width in sorted(set(widths))}
     for number, (label, words) in enumerate(sets):
         ranks = sorted(rank[w] for w in words)
         larger = [k for k, (_, other) in enumerate(sets) if set(words) < set(other)]
         need = _needed(len(ranks), share)
         for place, word in enumerate(ranks[: len(ranks) - need + 1]):
-            prefix.add(word)
-            rows.append((word, number, label, place, need, ranks, larger))
+            # A wider block tells of smaller templates too, which a larger one may explain.
+            for width in prefix:
+                if width >= widths[number]:
+                    prefix[width].add(word)
+            rows.append((word, number, label, place, need, ranks, larger, widths[number]))
     narrow = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(narrow.dtypes)["doc_id"]
-    ranked = sorted(prefix)
+    ranked = {width: sorted(words) for width, words in prefix.items()}
     scanned = narrow.mapInArrow(
         lambda it: _scanned(it, phrases, ordered, ranked),
-        f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, blocks array<array<int>>",
+        f"doc_id {kind}, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, blocks array<struct<begin: long, end: long, width: int, words: array<int>>>",
     )
     kept = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
     spread = scanned.withColumn("row_id", F.monotonically_increasing_id()).select("row_id", *kept, F.posexplode_outer("blocks").alias("line", "block"))
-    spread = spread.select("row_id", *kept, "line", "block", F.posexplode_outer("block").alias("at", "word"))
+    spread = spread.select("row_id", *kept, "line", "block.begin", "block.end", F.col("block.width").alias("block_width"), F.col("block.words").alias("block"))
+    spread = spread.select("*", F.posexplode_outer("block").alias("at", "word"))
     # The templates' prefixes are a parameter, so their size does not grow with the data.
     joined = spread.join(F.broadcast(_prefixes(documents.sparkSession, rows)), "word", "left")
     common = F.size(F.array_intersect("block", "template"))
     left = F.least(F.size("template") - F.col("place"), F.size("block") - F.col("at"))
-    holds = (F.size("block") >= F.col("need")) & (left + F.least("place", "at") >= F.col("need")) & (common >= F.col("need"))
-    hit = F.struct("line", "number", "label", "larger", (common / F.size("template")).alias("share"))
+    # A wider block than a template's own only serves to find it where its own block lies in it.
+    holds = (F.col("width") <= F.col("block_width")) & (F.size("block") >= F.col("need")) & (left + F.least("place", "at") >= F.col("need")) & (common >= F.col("need"))
+    hit = F.struct("line", "begin", "end", "number", "label", "larger", "width", "block_width", (common / F.size("template")).alias("share"))
     grouped = joined.groupBy("row_id").agg(*(F.first(c).alias(c) for c in kept), F.collect_set(F.when(holds, hit)).alias("hits"))
-    beaten = lambda x: F.exists("hits", lambda y: (y["line"] == x["line"]) & F.array_contains(x["larger"], y["number"]))
-    grouped = grouped.withColumn("hits", F.filter("hits", lambda x: ~beaten(x)))
+    beaten = lambda x: F.exists("hits", lambda y: ((y["line"] == x["line"]) | (y["width"] > x["width"]) & (y["begin"] <= x["begin"]) & (y["end"] >= x["end"])) & F.array_contains(x["larger"], y["number"]))
+    grouped = grouped.withColumn("hits", F.filter("hits", lambda x: (x["width"] == x["block_width"]) & ~beaten(x)))
     return grouped.select(
         *kept,
         F.sort_array(F.array_union("base_labels", F.transform("hits", lambda x: x["label"]))).alias("labels"),
@@ -204,4 +231,4 @@ def scan(documents: DataFrame, templates=TEMPLATES, phrases=PHRASES, share: floa
 
 
 def _prefixes(spark: SparkSession, rows: list) -> DataFrame:
-    return spark.createDataFrame(rows, "word int, number int, label string, place int, need int, template array<int>, larger array<int>")
+    return spark.createDataFrame(rows, "word int, number int, label string, place int, need int, template array<int>, larger array<int>, width int")
