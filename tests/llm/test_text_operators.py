@@ -214,6 +214,13 @@ def test_contaminated_by_shuffle(spark, odd_documents, monkeypatch):
     assert sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found.collect()), key=repr) == plain_contaminated(pairs(odd_documents), items)
 
 
+def test_contaminated_with_capital_sigma(spark):
+    frame = docs_of(spark, ["x \u039f\u03a3'\u0391 \u039f\u03a3.\u0391 y"])
+    items = [(1, "\u039f\u03a3 \u0391 \u039f\u03a3 \u0391")]
+    found = contaminated(frame, spark.createDataFrame(items, "item_id long, text string"))
+    assert [(r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found.collect()] == plain_contaminated(pairs(frame), items) == [(1, 6, 4, ["1"])]
+
+
 # Packing
 
 

@@ -29,9 +29,14 @@ def words_of(text: Column) -> Column:
     return _parted(F.translate(text, UPPER, LOWER))
 
 
+def folded(text: Column) -> Column:
+    """Text with every letter in lower case. Sigma has one form, since which it gets depends on the letters around it."""
+    return F.translate(F.lower(text), "\u03c2", "\u03c3")
+
+
 def folded_words(text: Column) -> Column:
     """The same words, every letter in lower case: no letter turns into what parts words."""
-    return _parted(F.lower(text))
+    return _parted(folded(text))
 
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
@@ -41,14 +46,14 @@ def item_windows(items: DataFrame, size: int) -> DataFrame:
     return worded.select("item_id", "w", F.explode(starts).alias("p")).select("item_id", F.slice("w", F.col("p"), F.lit(size)).alias("window")).distinct()
 
 
-def _candidates(folded: DataFrame, windows: DataFrame) -> DataFrame:
+def _candidates(lowered: DataFrame, windows: DataFrame) -> DataFrame:
     """row_id and the places (place, window) at which a window may lie."""
-    distinct = windows.select("window", F.transform("window", F.lower).alias("folded")).distinct()
+    distinct = windows.select("window", F.transform("window", folded).alias("folded")).distinct()
     vocabulary = distinct.select(F.explode("folded").alias("word")).distinct()
     few = vocabulary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     near = F.broadcast if few else (lambda frame: frame)
     # Rarity over all documents, of words that occur in an item.
-    counted = folded.select(F.explode("words").alias("word")).join(near(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
+    counted = lowered.select(F.explode("words").alias("word")).join(near(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
     ranked = distinct.select("window", F.posexplode("folded").alias("at", "word")).join(counted, "word", "left")
     # A window with a word that no document has lies nowhere.
     prefix = ranked.groupBy("window").agg(F.min(F.struct("n", "word", "at")).alias("rare"), F.count("n").alias("known"))
@@ -56,7 +61,7 @@ def _candidates(folded: DataFrame, windows: DataFrame) -> DataFrame:
     prefix = stored(prefix, "prefixes")
     few = prefix.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     near = F.broadcast if few else (lambda frame: frame)
-    spread = folded.select("row_id", F.size("words").alias("n_words"), F.posexplode("words").alias("p", "word"))
+    spread = lowered.select("row_id", F.size("words").alias("n_words"), F.posexplode("words").alias("p", "word"))
     found = spread.join(near(prefix), "word").where("p >= at AND p - at + size(window) <= n_words")
     place = F.struct((F.col("p") - F.col("at")).alias("start"), "window")
     return found.groupBy("row_id").agg(F.collect_list(place).alias("places"))
