@@ -13,11 +13,12 @@ COLUMNS = {
     "op4_html_extraction": ["page_id", "url", "text", "n_chars"],
     "op5_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op8_language_id": ["doc_id", "held_out", "lang_pred", "score", "bits", "rejected"],
+    "op11_quality": ["doc_id", "held_out", "score", "predicted"],
 }
 
 
-def test_ten_queries():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert set(QUERIES) <= set(entry_points.queries()) and set(ORACLES) | set(COLUMNS) == set(QUERIES)
 
 

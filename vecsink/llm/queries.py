@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecsink.llm import toxicity
+from vecsink.llm import quality, toxicity
 from vecsink.llm.chat_format import digests, expand
+from vecsink.llm.conversation_repair import damaged, repair
 from vecsink.llm.decontamination import contaminated
 from vecsink.llm.embedding_dedup import near_vectors
 from vecsink.llm.html_extract import extract
@@ -16,6 +17,7 @@ from vecsink.llm.language_id import identify, train
 from vecsink.llm.license_scan import scan
 from vecsink.llm.minhash_dedup import near_copies
 from vecsink.llm.packing import pack
+from vecsink.llm.periodic_runs import best_run, periodic_runs, with_planted_runs
 from vecsink.llm.shared import crc_bucket
 from vecsink.llm.substring_dedup import remove_repeats
 
@@ -208,3 +210,137 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"))
     joined = {name: F.array_join(name, ",") for name in ("base_labels", "labels")}
     return found.select("doc_id", "n_words", "n_base", "first_word", "last_word", joined["base_labels"].alias("base_labels"), joined["labels"].alias("labels"), "score")
+
+
+#: A document with at least this score is taken for one of quality 1.
+QUALITY_SCORE = 0.3
+
+
+@query()
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents, learned from the labels outside the held-out fold."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_bucket("doc_id", 5) == 0
+    network = quality.train(documents, table(spark, sf_dir, "labels").where(~held_out))
+    found = quality.score(documents, network).withColumn("held_out", held_out)
+    return found.select("doc_id", "held_out", "score", F.when(F.col("score") >= QUALITY_SCORE, 1).otherwise(0).alias("predicted"))
+
+
+#: crc32 of a text in SQL: a table of the 256 bytes, then one step for each byte.
+CRC_TABLE = """crc(b, c, k) AS (
+  SELECT b, b, 0 FROM range(256) t(b)
+  UNION ALL SELECT b, CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc WHERE k < 8),
+steps AS (SELECT list(c ORDER BY b) AS s FROM crc WHERE k = 8)"""
+
+
+def crc_sql(text: str) -> str:
+    """crc32 of a text of ASCII characters; `s` are the steps."""
+    codes = f"list_transform(string_split({text}, ''), lambda x: CAST(ascii(x) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295::BIGINT, {codes}), lambda c, x: xor(c >> 8, s[xor(c & 255, x) + 1])), 4294967295)"
+
+
+@query(
+    rf"""
+WITH RECURSIVE {CRC_TABLE},
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc_sql("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS kind
+  FROM conversations, steps),
+hurt AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM raw WHERE kind <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+    regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS last FROM hurt),
+faulty AS (
+  SELECT *, CASE WHEN last = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair
+  FROM numbered),
+stats AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+    count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faulty GROUP BY conv_id),
+moves(a, x, b) AS (VALUES ('', 's', 's'), ('', 'u', 'u'), ('s', 'u', 'u'), ('u', 'a', 'a'), ('a', 'u', 'u')),
+inserts(a, b, cost, letters, said) AS (
+  SELECT a, a, 0, '', [] FROM (VALUES ('')) t(a) UNION ALL SELECT a, a, 0, '', []::VARCHAR[] FROM (VALUES ('s'), ('u'), ('a')) t(a)
+  UNION ALL SELECT i.a, m.b, i.cost + 5, i.letters || 'I', list_append(i.said, CASE m.x WHEN 'u' THEN 'user:' ELSE 'assistant:' END)
+  FROM inserts i JOIN moves m ON m.a = i.b AND m.x <> 's' WHERE length(i.letters) < 2),
+ways AS (
+  SELECT conv_id, i, m.a, m.b, CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS cost, 'K' AS letter, [role || ':' || text] AS said
+  FROM faulty JOIN moves m ON m.x = left(role, 1) WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT conv_id, i, m.a, m.b, CASE fault WHEN 'truncated' THEN 6 ELSE 1 END, 'R', [CASE m.x WHEN 'u' THEN 'user:' ELSE 'assistant:' END || text]
+  FROM faulty JOIN moves m ON m.x <> 's' WHERE fault NOT IN ('blank', 'duplicate')
+  UNION ALL
+  SELECT conv_id, i, t.a, t.a, 2, 'D', []::VARCHAR[] FROM faulty, (VALUES (''), ('s'), ('u'), ('a')) t(a)),
+full_ways AS (
+  SELECT w.conv_id, w.i, s.a, w.b, s.cost + w.cost AS cost, s.letters || w.letter AS letters, s.said || w.said AS said FROM inserts s JOIN ways w ON w.a = s.b),
+best AS (
+  SELECT conv_id, 0::BIGINT AS i, '' AS state, 0::BIGINT AS cost, '' AS audit, []::VARCHAR[] AS said FROM stats
+  UNION ALL
+  SELECT conv_id, i, state, p.cost, p.audit, p.said FROM (
+    SELECT b.conv_id, w.i, w.b AS state, min({{'cost': b.cost + w.cost, 'audit': b.audit || w.letters, 'said': b.said || w.said}}) AS p
+    FROM best b JOIN full_ways w ON b.conv_id IS NOT DISTINCT FROM w.conv_id AND w.i = b.i + 1 AND w.a = b.state
+    GROUP BY b.conv_id, w.i, w.b)),
+ended AS (
+  SELECT b.conv_id, min({{'cost': b.cost + s.cost, 'audit': b.audit || s.letters, 'said': b.said || s.said}}) AS p
+  FROM best b JOIN stats t ON t.conv_id IS NOT DISTINCT FROM b.conv_id AND t.n = b.i JOIN inserts s ON s.a = b.state AND s.b IN ('', 'a')
+  GROUP BY b.conv_id)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate,
+  CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(e.p.cost, 0) AS BIGINT) AS cost,
+  coalesce(e.p.audit, '') AS audit, sha256(coalesce(array_to_string(e.p.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN stats t ON t.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+"""
+)
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repairs of all conversations, after faults were planted."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair(damaged(conversations)).withColumnRenamed("conv_id", "found_id")
+    every = conversations.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    counts = [F.coalesce(F.col(n), F.lit(0)).alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query(
+    rf"""
+WITH RECURSIVE {CRC_TABLE},
+raw AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w,
+    {crc_sql("CAST(doc_id AS VARCHAR)")} AS h
+  FROM documents, steps),
+plan AS (SELECT r, doc_id, w, h % 10 = 0 AND len(w) > 0 AS hurt, (h // 10) % greatest(len(w), 1) AS a, (h // 10) % 8 AS e FROM raw),
+d AS (
+  SELECT r, doc_id, CASE WHEN hurt THEN list_transform(w, lambda x, i: CASE WHEN i - 1 < a THEN x ELSE w[a + (i - 1 - a) % (1 + (len(w) - a) // (3 + e)) + 1] END) ELSE w END AS w
+  FROM plan),
+-- Five equal words in a row at a distance: each run has them.
+g AS (SELECT r, j, hash(w[j:j + 4]) AS k, w[j:j + 4] AS x, len(w) AS n FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS j FROM d WHERE len(w) >= 6)),
+same AS (SELECT a.r, a.j, b.j - a.j AS p FROM g a JOIN g b ON a.r = b.r AND a.k = b.k AND b.j > a.j AND 4 * (b.j - a.j) <= a.n AND a.x = b.x),
+runs AS (
+  SELECT r, i AS start, l AS length, min(p) AS period
+  FROM (SELECT r, p, min(j) AS i, count(*) + 4 + p AS l FROM (SELECT *, j - row_number() OVER (PARTITION BY r, p ORDER BY j) AS island FROM same) GROUP BY r, p, island)
+  WHERE l >= greatest(6, 4 * p) GROUP BY r, i, l),
+-- Of the runs of a text: how far they reach, and the best of them.
+gone AS (SELECT DISTINCT r, unnest(range(start + period, start + length)) AS j FROM runs),
+word AS (SELECT r, unnest(range(1, len(w) + 1)) AS j, unnest(w) AS x FROM d),
+kept AS (SELECT r, string_agg(x, ' ' ORDER BY j) AS t FROM word ANTI JOIN gone USING (r, j) GROUP BY r),
+told AS (
+  SELECT r, count(*) AS n_runs, string_agg(concat(start - 1, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS said FROM runs GROUP BY r),
+best AS (SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY r ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) = 1)
+SELECT doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(start - 1 AS BIGINT) AS start, CAST(length AS BIGINT) AS length, CAST(period AS BIGINT) AS period,
+  CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(coalesce(said, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN told USING (r) LEFT JOIN best USING (r) LEFT JOIN kept USING (r)
+"""
+)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words in all documents, after runs were planted."""
+    found = periodic_runs(with_planted_runs(table(spark, sf_dir, "documents"))).withColumn("best", best_run(F.col("runs")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    best = [F.col("best")[n].alias(n) for n in ("start", "length", "period")]
+    milli = F.expr("1000 * best.length div best.period").alias("exponent_milli")
+    digests = F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("kept_text", 256).alias("collapsed_sha256")
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), *best, milli, *digests)
