@@ -73,7 +73,7 @@ def test_nothing_is_sent_for_nothing(spark, tmp_path):
     options = {"className": "C", "path": str(tmp_path), "retries": 0}
     write_kafka(kafka(spark, []), options, SCHEMAS, transport=never)
     send_objects(built(spark, 3).where("id = 'none'").repartition(4), options, never)
-    assert not list(tmp_path.rglob("part-*"))
+    assert not list(tmp_path.rglob("outcome=*"))
 
 
 def test_append_only(spark, tmp_path):
@@ -82,15 +82,20 @@ def test_append_only(spark, tmp_path):
     register_sink(spark, accept_all)
     wired = built(spark).withColumn("properties", F.to_json("properties"))
     with pytest.raises(Exception, match="only appends"):
-        wired.write.format(FORMAT).option("className", "C").option("path", str(tmp_path)).mode("overwrite").save()
+        wired.write.format(FORMAT).option("className", "C").mode("overwrite").save()
 
 
 def test_sink_needs_objects_and_somewhere_to_send(spark, tmp_path):
     register_sink(spark, accept_all)
     with pytest.raises(Exception, match="takes object frames"):
-        kafka(spark, rows(1)).write.format(FORMAT).option("className", "C").option("path", str(tmp_path)).mode("append").save()
-    with pytest.raises(Exception, match="a transport or"):
-        built(spark).write.format(FORMAT).option("className", "C").mode("append").save()
+        kafka(spark, rows(1)).write.format(FORMAT).option("className", "C").mode("append").save()
+    wired = built(spark).withColumn("properties", F.to_json("properties"))
+    with pytest.raises(Exception, match="only sends"):
+        wired.write.format(FORMAT).option("className", "C").option("path", str(tmp_path)).mode("append").save()
+    wired.write.format(FORMAT).option("className", "C").mode("append").save()
+    register_sink(spark, refuse_odd)
+    with pytest.raises(Exception, match="could not be sent"):
+        wired.write.format(FORMAT).options(className="C", retries="0").mode("append").save()
     with pytest.raises(ValueError, match="a transport or"):
         write_kafka(kafka(spark, []), {"className": "C"}, SCHEMAS)
 
@@ -103,13 +108,44 @@ def test_exhausted_retries_fail_the_job_and_leave_nothing_stored(spark, tmp_path
 
 
 def test_collected_failures_are_kept_with_their_error(spark, tmp_path):
-    options = {"className": "C", "path": str(tmp_path / "ok"), "failuresPath": str(tmp_path / "bad"), "onError": "collect",
-               "retries": 0, "batchSize": 4}
+    options = {"className": "C", "path": str(tmp_path), "onError": "collect", "retries": 0, "batchSize": 4}
     send_objects(built(spark), options, refuse_odd)
-    assert sent_numbers(spark, tmp_path / "ok") == list(range(0, 25, 2))
-    failed = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert sent_numbers(spark, tmp_path) == list(range(0, 25, 2))
+    failed = collection.read_failures(spark, str(tmp_path), "C").collect()
     assert sorted(json.loads(r["properties"])["n"] for r in failed) == list(range(1, 25, 2))
-    assert {r["error"] for r in failed} == {"odd"}
+    assert {(r["error"], r["attempt"]) for r in failed} == {("odd", 1)}
+
+
+def test_every_outcome_of_a_batch_comes_from_one_pass_and_is_replaced_as_a_whole(spark, tmp_path):
+    """Bodies are sent once; a batch that is written again replaces all that an earlier run has set aside."""
+    calls = spark.sparkContext.accumulator(0)
+
+    def counting(batch, attempt):
+        calls.add(batch.num_rows)
+        return refuse_odd(batch, attempt)
+
+    mixed = kafka(spark, rows(25) + [record(None, 99), record(b"\x00\x00\x00\x00\x09body", 100)]).repartition(3)
+    options = {"className": "C", "path": str(tmp_path), "run": "r", "onError": "collect", "keepRejects": True, "retries": 0, "batchSize": 4}
+    write_kafka(mixed, options, SCHEMAS, transport=counting, batch_id=1)
+    assert calls.value == 25
+    assert sent_numbers(spark, tmp_path) == list(range(0, 25, 2))
+    assert collection.read_failures(spark, str(tmp_path), "C").count() == 12
+    aside = collection.read_rejects(spark, str(tmp_path), "C").collect()
+    assert sorted((r["offset"], r["reject_reason"], r["run"], r["batch_id"]) for r in aside) == [(99, "null_value", "r", 1), (100, "unknown_schema", "r", 1)]
+    assert next(r["value"] for r in aside if r["offset"] == 100) == b"\x00\x00\x00\x00\x09body"
+    write_kafka(kafka(spark, rows(4)), options, SCHEMAS, transport=accept_all, batch_id=1)
+    assert sent_numbers(spark, tmp_path) == [0, 1, 2, 3]
+    assert collection.read_failures(spark, str(tmp_path), "C").count() == 0
+    assert collection.read_rejects(spark, str(tmp_path), "C").count() == 0
+    assert collection.object_counts(spark, str(tmp_path)).collect()[0]["objects"] == 4
+
+
+def test_options_that_moved(spark, tmp_path):
+    for old in ("rejectsPath", "failuresPath"):
+        with pytest.raises(ValueError, match="no option"):
+            write_kafka(kafka(spark, []), {"className": "C", "path": str(tmp_path), old: "x"}, SCHEMAS)
+    with pytest.raises(ValueError, match="need path"):
+        write_kafka(kafka(spark, []), {"className": "C", "keepRejects": True}, SCHEMAS, transport=accept_all)
 
 
 def test_same_batch_again_replaces_itself(spark, tmp_path):
@@ -127,10 +163,9 @@ def test_rejects_need_a_place_or_fail_the_job(spark, tmp_path):
     mixed = kafka(spark, rows(5) + [record(None, 99)])
     with pytest.raises(Exception, match="null_value"):
         write_kafka(mixed, {"className": "C", "path": str(tmp_path / "a")}, SCHEMAS)
-    write_kafka(mixed, {"className": "C", "path": str(tmp_path / "b"), "rejectsPath": str(tmp_path / "r")}, SCHEMAS)
+    write_kafka(mixed, {"className": "C", "path": str(tmp_path / "b"), "keepRejects": True}, SCHEMAS)
     assert stored_numbers(spark, tmp_path / "b") == list(range(5))
-    assert [(r["offset"], r["reject_reason"]) for r in spark.read.parquet(str(tmp_path / "r")).collect()] == [
-        (99, "null_value")]
+    assert [(r["offset"], r["reject_reason"]) for r in collection.read_rejects(spark, str(tmp_path / "b"), "C").collect()] == [(99, "null_value")]
 
 
 def test_later_write_wins_per_id(spark, tmp_path):
@@ -176,7 +211,7 @@ def test_stream_equals_batch_and_counts_each_batch(spark, tmp_path):
     parts = [rows(5), rows(5, 5) + [record(None, 100)], rows(5, 10)]
     land(spark, tmp_path / "in", parts)
     stream = stream_kafka_files(spark, str(tmp_path / "in"), max_files=1)
-    options = {"className": "C", "path": str(tmp_path / "out"), "run": "s", "rejectsPath": str(tmp_path / "rej")}
+    options = {"className": "C", "path": str(tmp_path / "out"), "run": "s", "keepRejects": True}
     run = run_stream(stream, options, str(tmp_path / "cp"), SCHEMAS)
     totals = run.finish()
     assert (totals.rows, totals.rejected, totals.last[0]) == (16, 1, 2)
@@ -191,7 +226,7 @@ def test_stream_equals_batch_and_counts_each_batch(spark, tmp_path):
     assert sorted(streamed.collect(), key=key) == sorted(expected.collect(), key=key)
     per_batch = collection.batch_totals(spark, str(tmp_path / "out"), "C", "s")
     assert sorted(tuple(r) for r in per_batch.collect()) == [(0, 5), (1, 5), (2, 5)]
-    assert spark.read.parquet(str(tmp_path / "rej")).count() == 1
+    assert collection.read_rejects(spark, str(tmp_path / "out"), "C").count() == 1
 
 
 def test_restart_continues_and_replay_replaces(spark, tmp_path):
@@ -230,19 +265,18 @@ def test_native_stream_sink_and_its_replay(spark, tmp_path):
         (tmp_path / "cp" / "commits" / name).unlink()
     go()
     assert collection.scan_collection(spark, str(tmp_path / "out"), "C").count() == 12
-    assert {Path(p).parent.name for p in map(str, (tmp_path / "out").rglob("part-*"))} == {"batch_id=0", "batch_id=1"}
+    assert {Path(p).parent.parent.name for p in map(str, (tmp_path / "out").rglob("part-*"))} == {"batch_id=0", "batch_id=1"}
 
 
 def test_stream_through_a_transport_keeps_the_same_folders(spark, tmp_path):
     land(spark, tmp_path / "in", [rows(5), rows(5, 5)])
     stream = stream_kafka_files(spark, str(tmp_path / "in"), max_files=1)
-    options = {"className": "C", "path": str(tmp_path / "out"), "run": "s", "retries": 0, "onError": "collect",
-               "failuresPath": str(tmp_path / "bad")}
+    options = {"className": "C", "path": str(tmp_path / "out"), "run": "s", "retries": 0, "onError": "collect"}
     totals = run_stream(stream, options, str(tmp_path / "cp"), SCHEMAS, transport=refuse_odd).finish()
     assert totals.rows == 10
     per_batch = collection.batch_totals(spark, str(tmp_path / "out"), "C", "s")
     assert sorted(tuple(r) for r in per_batch.collect()) == [(0, 3), (1, 2)]
-    assert spark.read.parquet(str(tmp_path / "bad")).count() == 5
+    assert collection.read_failures(spark, str(tmp_path / "out"), "C").count() == 5
 
 
 def test_stream_faults(spark, tmp_path):
@@ -252,7 +286,7 @@ def test_stream_faults(spark, tmp_path):
         run_stream(stream, {"className": "C", "path": "x"}, str(tmp_path / "cp"), SCHEMAS)
     with pytest.raises(ValueError, match="strict"):
         run_native_stream(
-            stream, {"className": "C", "path": "x", "run": "n", "rejectsPath": "y"}, str(tmp_path / "cp"), SCHEMAS
+            stream, {"className": "C", "path": "x", "run": "n", "keepRejects": True}, str(tmp_path / "cp"), SCHEMAS
         )
     land(spark, tmp_path / "bad", [[record(None, 5)]])
     bad = stream_kafka_files(spark, str(tmp_path / "bad"))
@@ -273,7 +307,7 @@ def test_bounded_run_and_new_schemas_without_restart(spark, tmp_path):
     land(spark, tmp_path / "in", [[record(framed(1, 1, "a"), 0)]])
     options = {"className": "C", "path": str(tmp_path / "out"), "run": "s", "registry": str(tmp_path / "reg")}
     stream = stream_kafka_files(spark, str(tmp_path / "in"))
-    run = run_stream(stream, options, str(tmp_path / "cp"), trigger_seconds=0.5, reload_schemas=True)
+    run = run_stream(stream, options, str(tmp_path / "cp"), trigger_seconds=0.5)
     run.query.processAllAvailable()
     add(2)
     land(spark, tmp_path / "in", [[record(framed(2, 2, "b", True), 1)]])

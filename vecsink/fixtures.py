@@ -58,6 +58,14 @@ MORE_SCHEMAS = {schema_id: record_fields(text) for schema_id, text in MORE_TEXTS
 # A schema that is not read: records of it are rejects.
 UNREADABLE = 100009
 
+# Schemas that agree in all but the type of `mixed`, with fields whose names look like those of other columns.
+MIXED = {200001: "int", 200002: "long", 200003: "double", 200004: "string"}
+_MIXED_HEAD = [("event_id", "long"), ("sold__as_is", "string"), ("sold", ["null", "long"])]
+MIXED_TEXTS = {schema_id: _schema_text([*_MIXED_HEAD, ("mixed", avro)]) for schema_id, avro in MIXED.items()}
+MIXED_SCHEMAS = {schema_id: record_fields(text) for schema_id, text in MIXED_TEXTS.items()}
+# Beyond this whole numbers are not all doubles.
+LARGE = 2**53
+
 
 def wide_registry(spark: SparkSession, others: int = 20_000) -> DataFrame:
     """Responses for the two schemas among many of other topics, one clashing and one not Avro."""
@@ -91,6 +99,19 @@ def clashing_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _framed(spark, sf_dir, own, F.concat(head, F.when(own == V2, tail).otherwise(number)))
 
 
+def mixed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each event as a record in which `mixed` is an int, a long beyond 2**53, a double or a string, by `event_id % 4`."""
+    number = F.col("event_id")
+    head = body_encoder(MIXED_SCHEMAS[200001][:-1])(number, F.col("event_type"), F.when(number % 3 == 0, number))
+    values = [(F.col("user_id") % 1000).cast("int"), number + F.lit(LARGE), F.col("value"), F.col("event_type")]
+    own, body = F.lit(None).cast("int"), F.lit(None).cast("binary")
+    for remainder, (schema_id, value) in enumerate(zip(MIXED, values, strict=True)):
+        chosen = number % 4 == remainder
+        own = F.when(chosen, schema_id).otherwise(own)
+        body = F.when(chosen, F.concat(head, body_encoder(MIXED_SCHEMAS[schema_id][-1:])(value))).otherwise(body)
+    return _framed(spark, sf_dir, own, body).select(*KAFKA_SCHEMA.names)
+
+
 def target_class(spark: SparkSession) -> DataFrame:
     """A declared class for the events, one JSON text in column `value`.
 

@@ -20,12 +20,8 @@ AVRO_TO_SPARK = {
 }
 
 # Which pairs of types may share one column, and the type that holds both.
-_WIDER = {
-    frozenset({"int", "long"}): "long",
-    frozenset({"int", "double"}): "double",
-    frozenset({"long", "double"}): "double",
-    frozenset({"float", "double"}): "double",
-}
+# No other pair: a long beyond 2**53 is not a double, and whole numbers are not written as fractions.
+_WIDER = {frozenset({"int", "long"}): "long"}
 
 
 class UnsupportedTypeError(ValueError):
@@ -37,11 +33,15 @@ class SchemaConflictError(ValueError):
 
 
 class Field(NamedTuple):
-    """One record field. `null_branch` is the index of null in its union."""
+    """One record field. `null_branch` is the index of null in its union.
+
+    `written` is the field's own name where its column has another.
+    """
 
     name: str
     avro: str
     null_branch: int | None = None
+    written: str | None = None
 
 
 # Parsed fields per schema id; None for a schema with types that are not read.
@@ -87,13 +87,15 @@ def record_fields(schema_json: str) -> tuple[Field, ...]:
         raise UnsupportedTypeError(f"the record has no readable fields: {bad}") from None
 
 
-# Ends the column name of a field whose type does not fit the column of its plain name.
-CLASH = "__as_"
+def written_names(schemas: Schemas) -> dict[str, str]:
+    """The field that a column was made for, of columns that have another name."""
+    return {f.name: f.written for fields in readable(schemas).values() for f in fields if f.written is not None}
 
 
-def plain_name(column: str) -> str:
-    """The field that a column was made for."""
-    return column.split(CLASH)[0]
+def _free(name: str, taken: set[str]) -> str:
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def settle_conflicts(schemas: Schemas) -> Schemas:
@@ -103,6 +105,8 @@ def settle_conflicts(schemas: Schemas) -> Schemas:
     field of another type gets a column of its own, named after its type.
     """
     merged: dict[str, str] = {}
+    taken = {field.name.lower() for fields in readable(schemas).values() for field in fields}
+    own: dict[tuple[str, str], str] = {}
     settled: dict[int, tuple[Field, ...] | None] = {}
     for schema_id, fields in sorted(schemas.items()):
         if fields is None:
@@ -114,7 +118,11 @@ def settle_conflicts(schemas: Schemas) -> Schemas:
             fits = held == field.avro or _WIDER.get(frozenset({held, field.avro}))
             if fits:
                 merged[field.name] = held if fits is True else fits
-            placed.append(field if fits else field._replace(name=f"{field.name}{CLASH}{field.avro}"))
+            else:
+                column = own.setdefault((field.name, field.avro), _free(f"{field.name}__as_{field.avro}", taken))
+                taken.add(column.lower())
+                field = field._replace(name=column, written=field.name)
+            placed.append(field)
         settled[schema_id] = tuple(placed)
     return settled
 

@@ -35,6 +35,13 @@ _OUTCOME_ARROW = pa.schema(
 # What became of an object.
 SENT = "sent"
 FAILED = "failed"
+REJECTED = "rejected"
+STORED = "stored"
+OBJECT = ("class", "id", "vector", "properties")
+
+
+class DeliveryError(RuntimeError):
+    """Objects that could not be sent within the allowed retries."""
 
 
 @dataclass(frozen=True)
@@ -64,22 +71,34 @@ def opened(transport: Transport, options: Mapping[str, str]) -> Iterator[Transpo
             closer()
 
 
+class Pieces:
+    """Regroups a task's rows into batches of a size; what is held is less than one."""
+
+    def __init__(self, size: int):
+        self.size, self.held, self.rows = size, [], 0
+
+    def add(self, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        at = 0
+        while self.rows + batch.num_rows - at >= self.size:
+            take = self.size - self.rows
+            yield _join([*self.held, batch.slice(at, take)])
+            self.held, self.rows, at = [], 0, at + take
+        if at < batch.num_rows:
+            self.held.append(batch.slice(at))
+            self.rows += batch.num_rows - at
+
+    def rest(self) -> Iterator[pa.RecordBatch]:
+        if self.rows:
+            yield _join(self.held)
+        self.held, self.rows = [], 0
+
+
 def slice_batches(batches: Iterable[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     """Regroup a task's rows into batches of `size`, the last one shorter."""
-    held: list[pa.RecordBatch] = []
-    rows = 0
+    pieces = Pieces(size)
     for batch in batches:
-        at = 0
-        while rows + batch.num_rows - at >= size:
-            take = size - rows
-            held.append(batch.slice(at, take))
-            yield _join(held)
-            held, rows, at = [], 0, at + take
-        if at < batch.num_rows:
-            held.append(batch.slice(at))
-            rows += batch.num_rows - at
-    if rows:
-        yield _join(held)
+        yield from pieces.add(batch)
+    yield from pieces.rest()
 
 
 def _join(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
@@ -155,6 +174,46 @@ def deliver(
     return to_wire(objects).mapInArrow(run, OUTCOME_SCHEMA)
 
 
+def send_rows(
+    rows: DataFrame, transport: Transport, how: Delivery, collect: bool, options: Mapping[str, str] | None = None
+) -> DataFrame:
+    """Send the rows of a wire frame that have no `outcome` yet; all rows come out, with `outcome`, `attempt` and `error`.
+
+    Rows that have an outcome pass through. Without `collect` the first object that fails for good fails the
+    task. Lazy like any frame: let one action write what comes out.
+    """
+    names = [n for n in rows.columns if n != "outcome"]
+
+    def told(batch: pa.RecordBatch, outcome, attempt, error) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), outcome, attempt, error], [*names, "outcome", "attempt", "error"])
+
+    def sent(batch: pa.RecordBatch, ready: Transport) -> pa.RecordBatch:
+        batch = last_per_id(batch)
+        done = send_with_retry(batch.select(list(OBJECT)), ready, how)
+        lost = done.column("error").drop_null()
+        if len(lost) and not collect:
+            raise DeliveryError(f"{len(lost)} objects of a batch could not be sent, first error: {lost[0]}")
+        return told(batch, done.column("status"), done.column("attempt"), done.column("error"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = Pieces(how.batch_size)
+        with opened(transport, options or {}) as ready:
+            for batch in batches:
+                settled = batch.column("outcome").is_valid()
+                aside = batch.filter(settled)
+                if aside.num_rows:
+                    nothing = [pa.nulls(aside.num_rows, kind) for kind in (pa.int32(), pa.string())]
+                    yield told(aside, aside.column("outcome"), *nothing)
+                for piece in pieces.add(batch.filter(pc.invert(settled))):
+                    yield sent(piece, ready)
+            for piece in pieces.rest():
+                yield sent(piece, ready)
+
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names)
+    return rows.mapInArrow(run, f"{schema}, outcome string, attempt int, error string")
+
+
 def succeeded(outcomes: DataFrame) -> DataFrame:
     return outcomes.where(F.col("status") == SENT)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecsink.functions import wire
@@ -18,6 +18,16 @@ BAD_PAYLOAD = "bad_payload"
 NULL_ID = "null_id"
 
 
+#: A column that holds a record which was set aside; null for one that was not.
+REJECT = "rejected_record"
+#: Its fields, beside the position that every row has.
+REJECT_FIELDS = ("key", "value", "timestamp", "timestampType", "schema_id", "reject_reason")
+
+
+def reject_record() -> Column:
+    return F.when(F.col("reject_reason").isNotNull(), F.struct(*REJECT_FIELDS))
+
+
 class RejectedRecordError(RuntimeError):
     """Raised by Spark, inside a message, when strict mode meets a reject."""
 

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecsink.functions.avro import Schemas, presence, settle_conflicts
+from vecsink.functions.avro import Schemas, presence, settle_conflicts, written_names
 from vecsink.operators import decode, enrich, envelope, objects
 from vecsink.plans.options import SinkOptions
 
@@ -38,6 +38,22 @@ class ObjectPlan:
             self.options.vector,
             self.options.id_mode,
             presence(self.schemas),
+            written_names(self.schemas),
+        )
+
+    def outcomes(self) -> DataFrame:
+        """All records in one pass: objects, and for a reject the record and why it is one."""
+        told = self.decoded.withColumn(envelope.REJECT, envelope.reject_record())
+        return objects.to_objects(
+            enrich.enrich(told, [envelope.REJECT]),
+            self.options.class_name,
+            self.options.id,
+            self.options.vector,
+            self.options.id_mode,
+            presence(self.schemas),
+            written_names(self.schemas),
+            keep=[envelope.REJECT],
+            ready=F.col(envelope.REJECT).isNull(),
         )
 
     def rejects(self) -> DataFrame:

@@ -35,13 +35,12 @@ ON_ERROR = "onError"
 PATH = "path"
 RUN = "run"
 BATCH_ID = "batchId"
-REJECTS_PATH = "rejectsPath"
-FAILURES_PATH = "failuresPath"
+KEEP_REJECTS = "keepRejects"
 
 _OWN = (
     BATCH_SIZE, CLASS_NAME, VECTOR, ID, RETRIES, RETRIES_BACKOFF, SCHEMA_REGISTRY_URL, SCHEMA_REGISTRY_API_KEY,
-    SCHEMA_REGISTRY_API_SECRET, REGISTRY, ID_MODE, ON_ERROR, PATH, RUN, REJECTS_PATH,
-    FAILURES_PATH, BATCH_ID,
+    SCHEMA_REGISTRY_API_SECRET, REGISTRY, ID_MODE, ON_ERROR, PATH, RUN, KEEP_REJECTS,
+    BATCH_ID,
 )
 
 
@@ -62,8 +61,7 @@ class SinkOptions:
     path: str | None = None
     run: str | None = None
     batch_id: int = 0
-    rejects_path: str | None = None
-    failures_path: str | None = None
+    keep_rejects: bool = False
     transport_options: Mapping[str, str] = field(default_factory=dict)
 
     @classmethod
@@ -88,8 +86,12 @@ class SinkOptions:
         on_error, id_mode = str(take(ON_ERROR, "fail")), str(take(ID_MODE, "position"))
         if on_error not in ("fail", "collect"):
             raise ValueError(f"option {ON_ERROR} must be fail or collect")
-        if on_error == "collect" and take(FAILURES_PATH) is None:
-            raise ValueError(f"{ON_ERROR}=collect needs {FAILURES_PATH}, where failed objects are kept")
+        keep_rejects = str(take(KEEP_REJECTS, False)).lower() == "true"
+        if (on_error == "collect" or keep_rejects) and take(PATH) is None:
+            raise ValueError(f"{ON_ERROR}=collect and {KEEP_REJECTS} need {PATH}, where what is set aside is stored")
+        gone = [key for key in ("rejectsPath", "failuresPath") if take(key) is not None]
+        if gone:
+            raise ValueError(f"{gone[0]} is no option: a batch stores what it sets aside beside its objects, see {KEEP_REJECTS}")
         own = {key.lower() for key in _OWN}
         return cls(
             class_name=str(class_name),
@@ -107,8 +109,7 @@ class SinkOptions:
             path=take(PATH),
             run=take(RUN),
             batch_id=int(take(BATCH_ID, 0)),
-            rejects_path=take(REJECTS_PATH),
-            failures_path=take(FAILURES_PATH),
+            keep_rejects=keep_rejects,
             transport_options={k: str(v) for k, v in folded.items() if k not in own},
         )
 

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from vecsink import fixtures
 from vecsink.functions import convert
 from vecsink.functions.convert import convert_column
-from vecsink.operators import batching, checks, decode, delivery, envelope, objects
+from vecsink.operators import batching, checks, decode, delivery, envelope, objects, variant_decode
 from vecsink.plans.object_plan import ObjectPlan, plan_objects
 from vecsink.plans.options import SinkOptions
+from vecsink.plans.variant_plan import plan_variant_objects
 from vecsink.sinks.writers import write_kafka
-from vecsink.sources import collection, kafka, registry, target_class
+from vecsink.sources import collection, kafka, registry, schema_lookup, target_class
 from vecsink.sources.scratch import scratch_folder
 from vecsink.streaming.runner import run_native_stream, run_stream
 
@@ -621,12 +622,12 @@ def stream_totals(spark, sf_dir):
     options = {
         "className": CLASS,
         "path": f"{folder}/collection",
-        "rejectsPath": f"{folder}/rejects",
+        "keepRejects": True,
         "run": "events-totals",
     }
     totals = run_stream(stream, options, f"{folder}/checkpoint", fixtures.SCHEMAS).finish()
     stored = collection.batch_totals(spark, f"{folder}/collection", CLASS, "events-totals")
-    kept = spark.read.parquet(f"{folder}/rejects").agg(F.count(F.lit(1)).alias("n"))
+    kept = collection.read_rejects(spark, f"{folder}/collection", CLASS).agg(F.count(F.lit(1)).alias("n"))
 
     def tagged(frame: DataFrame, value: Column, name: str) -> DataFrame:
         return frame.select(F.lit(name).alias("measure"), value.alias("amount"))
@@ -747,15 +748,95 @@ def failed_replay(spark, sf_dir):
 
 @query(f"{K} SELECT {SQL_OBJECT} FROM k")
 def stream_new_schema(spark, sf_dir):
-    """A stream in which each micro-batch is decoded by the registry's schemas for its own ids."""
+    """One running native stream that meets a schema id registered after its start."""
     folder = scratch_folder(spark, "new-schema")
-    records = fixtures.kafka_events(spark, sf_dir)
-    landed = f"{folder}/landed"
-    # Records of the second schema land after those of the first.
-    second = F.conv(F.hex(F.substring("value", 2, 4)), 16, 10).cast("int") == fixtures.V2
-    records.withColumn("late", second.cast("int")).write.partitionBy("late", "partition").parquet(landed)
-    options = {"className": CLASS, "path": f"{folder}/collection", "run": "events-lookup", "registry": _registry_folder(spark)}
-    for late in (0, 1):
-        stream = kafka.stream_kafka_files(spark, f"{landed}/late={late}", 1_000)
-        run_stream(stream, {**options, "run": f"events-lookup-{late}"}, f"{folder}/checkpoint-{late}").finish()
-    return _flat(collection.read_collection(spark, f"{folder}/collection", CLASS))
+    records, landed, schemas = fixtures.kafka_events(spark, sf_dir), f"{folder}/landed", f"{folder}/schemas"
+    own = envelope.parse_envelope(records).withColumn("late", F.col("schema_id") == fixtures.V2)
+    known = registry.registry_from_responses(fixtures.registry(spark))
+    options = {"className": CLASS, "path": f"{folder}/collection", "run": "events-lookup", "registry": schemas, "batchSize": BATCH_SIZE}
+    run = None
+    for late, schema_id in ((False, fixtures.V1), (True, fixtures.V2)):
+        schema_lookup.land_schemas(known.where(F.col("schema_id") == schema_id), schemas)
+        own.where(F.col("late") == late).select(*records.columns).write.mode("append").parquet(landed)
+        if run is None:
+            run = run_native_stream(kafka.stream_kafka_files(spark, landed, 1_000), options, f"{folder}/checkpoint", trigger_seconds=0.5)
+        run.processAllAvailable()
+    run.stop()
+    return _read_sent(spark, f"{folder}/collection", _plan(records).objects())
+
+
+# --------------------------------------------------------------------------
+# Records that keep their own types.
+
+_SQL_MIXED = f"""CASE event_id % 4 WHEN 0 THEN CAST(user_id % 1000 AS VARCHAR) WHEN 1 THEN CAST(event_id + {fixtures.LARGE} AS VARCHAR)
+    WHEN 3 THEN event_type END"""
+
+
+@query(
+    f"""{K} SELECT part AS "partition", CAST(off AS BIGINT) AS "offset", CAST(200001 + event_id % 4 AS INTEGER) AS schema_id, event_id,
+  ['BIGINT', 'BIGINT', 'DOUBLE', 'STRING'][event_id % 4 + 1] AS kind, {_SQL_MIXED} AS exact,
+  CASE WHEN event_id % 4 = 2 THEN value END AS fraction, event_type AS named, CASE WHEN event_id % 3 = 0 THEN event_id END AS sold FROM k"""
+)
+def decode_variant(spark, sf_dir):
+    """Records of four schemas in one column; one field is an int, a long beyond 2**53, a double or a string."""
+    parsed = envelope.parse_envelope(fixtures.mixed_events(spark, sf_dir))
+    records = decode.accepted(variant_decode.decode_variants(parsed, schema_lookup.SchemaTexts(fixtures.MIXED_SCHEMAS)))
+
+    def value(name: str, kind: str) -> Column:
+        return F.variant_get("record", f"$.{name}", kind)
+
+    kind = F.schema_of_variant(value("mixed", "variant"))
+    return records.select(
+        "partition",
+        "offset",
+        "schema_id",
+        value("event_id", "bigint").alias("event_id"),
+        kind.alias("kind"),
+        F.when(kind != "DOUBLE", value("mixed", "string")).alias("exact"),
+        F.when(kind == "DOUBLE", value("mixed", "double")).alias("fraction"),
+        value("sold__as_is", "string").alias("named"),
+        value("sold", "bigint").alias("sold"),
+    )
+
+
+def _mixed_properties(sent: DataFrame) -> DataFrame:
+    """Sent objects of the mixed records, taken apart."""
+
+    def raw(name: str) -> Column:
+        return F.get_json_object("properties", f"$.{name}")
+
+    kind = F.schema_of_variant(F.try_variant_get(F.parse_json("properties"), "$.mixed", "variant"))
+    # A double is written with a point, which a decimal holds as it is.
+    fraction = ~kind.isin("STRING", "BIGINT")
+    return sent.select(
+        "class",
+        "id",
+        raw("event_id").cast("bigint").alias("event_id"),
+        F.when(~fraction, raw("mixed")).alias("exact"),
+        F.when(fraction, raw("mixed").cast("double")).alias("fraction"),
+        raw("sold__as_is").alias("named"),
+        raw("sold").cast("bigint").alias("sold"),
+        raw("_kafka_schemaId").cast("int").alias("_kafka_schemaId"),
+        raw("_kafka_timestamp").alias("_kafka_timestamp"),
+        F.json_array_length(F.to_json(F.json_object_keys("properties"))).alias("names"),
+    )
+
+
+_SQL_MIXED_OBJECT = f"""{K} SELECT '{CLASS}' AS class, {SQL_ID} AS id, event_id, {_SQL_MIXED} AS exact,
+  CASE WHEN event_id % 4 = 2 THEN value END AS fraction, event_type AS named, CASE WHEN event_id % 3 = 0 THEN event_id END AS sold,
+  CAST(200001 + event_id % 4 AS INTEGER) AS "_kafka_schemaId", {_sql_rfc3339("ms")} AS _kafka_timestamp,
+  CASE WHEN event_id % 3 = 0 THEN 11 ELSE 10 END AS names FROM k"""
+
+
+@query(_SQL_MIXED_OBJECT)
+def variant_objects(spark, sf_dir):
+    """Sent objects of the mixed records: every value as its own schema has it, every field under its own name."""
+    source = schema_lookup.SchemaTexts(fixtures.MIXED_SCHEMAS)
+    plan = plan_variant_objects(fixtures.mixed_events(spark, sf_dir), source, SinkOptions.parse({"className": CLASS}))
+    return _mixed_properties(plan.objects())
+
+
+@query(_SQL_MIXED_OBJECT)
+def decode_clashing_numbers(spark, sf_dir):
+    """The same objects from one table with a column for each type of a field."""
+    return _mixed_properties(objects.to_wire(plan_objects(fixtures.mixed_events(spark, sf_dir), fixtures.MIXED_SCHEMAS, SinkOptions.parse({"className": CLASS})).objects()))

@@ -1,22 +1,15 @@
-"""The `vecsink` data source: objects go to a transport, batch or stream.
+"""The `vecsink` data source: object frames go to a transport.
 
-Each task cuts its rows into batches, sends them and resends what failed. With
-option `path` the objects that were sent are also stored, one parquet file per
-task attempt. Files stay hidden until the write commits; then they replace those of an
-earlier run of the batch. A write that fails removes its own files and no others.
+Each task cuts its rows into batches, sends them and resends what failed. It stores nothing: to keep what
+was sent and what was not, use write_kafka or send_objects, which let Spark's own writer commit it.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-import pyarrow.compute as pc
-import pyarrow.parquet as pq
-from pyarrow import fs
-from pyspark import TaskContext
 from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
     DataSource,
@@ -26,202 +19,79 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
-from vecsink.operators.delivery import SENT, Transport, accept_all, last_per_id, opened, send_with_retry, slice_batches
+from vecsink.operators.delivery import OBJECT, DeliveryError, Transport, accept_all, last_per_id, opened, send_with_retry, slice_batches
 from vecsink.plans.options import SinkOptions
-from vecsink.sources.collection import batch_folder
 
 FORMAT = "vecsink"
-# Batches are small; a row group of a stored file takes many of them.
-ROW_GROUP_BYTES = 64 << 20
-OBJECT_COLUMNS = ("class", "id", "vector", "properties")
-
-# Local properties that Spark sets on the tasks of a streaming query.
-_STREAM_BATCH = "streaming.sql.batchId"
-
-
-class DeliveryError(RuntimeError):
-    """Objects that could not be sent within the allowed retries."""
 
 
 @dataclass
 class Committed(WriterCommitMessage):
-    """What one task did. Counts and file names: small at any scale."""
+    """How many objects one task has sent."""
 
     sent: int
-    failed: int
-    stored: str | None
-    unsent: str | None
 
 
 def check_objects(schema: StructType) -> None:
-    if tuple(schema.names[:4]) != OBJECT_COLUMNS:
-        raise ValueError(f"this sink takes object frames with columns {OBJECT_COLUMNS}; build them with to_objects")
-
-
-def _file_system(folder: str):
-    if "://" in folder:
-        return fs.FileSystem.from_uri(folder.replace("s3a://", "s3://", 1))
-    return fs.LocalFileSystem(), folder.removeprefix("file:")
-
-
-class _TaskFile:
-    """One parquet file of a task attempt, hidden by its name."""
-
-    def __init__(self, folder: str, name: str):
-        self.fs, self.folder = _file_system(folder)
-        self.name, self.writer = f"_{uuid.uuid4().hex}-{name}", None
-        self.held: list[pa.RecordBatch] = []
-        self.bytes = 0
-
-    def add(self, batch: pa.RecordBatch) -> None:
-        self.held.append(batch)
-        self.bytes += batch.nbytes
-        if self.bytes >= ROW_GROUP_BYTES:
-            self._flush()
-
-    def _flush(self) -> None:
-        if not self.held:
-            return
-        group = pa.Table.from_batches(self.held)
-        self.held, self.bytes = [], 0
-        if self.writer is None:
-            self.fs.create_dir(self.folder, recursive=True)
-            self.writer = pq.ParquetWriter(f"{self.folder}/{self.name}", group.schema, filesystem=self.fs)
-        self.writer.write_table(group)
-
-    def close(self) -> str | None:
-        self._flush()
-        if self.writer is None:
-            return None
-        self.writer.close()
-        return self.name
-
-
-def _reveal(folder: str | None, names: set) -> None:
-    """Show the files of a committed write and drop those of earlier runs of the batch."""
-    if folder is None:
-        return
-    files, where = _file_system(folder)
-    found = files.get_file_info(fs.FileSelector(where, allow_not_found=True))
-    for name in names:
-        files.move(f"{where}/{name}", f"{where}/{name.split('-', 1)[1]}.{name[1:33]}.parquet")
-    for old in found:
-        if old.is_file and old.base_name not in names:
-            files.delete_file(old.path)
-
-
-def _drop(folder: str | None, names: set) -> None:
-    if folder is None:
-        return
-    files, where = _file_system(folder)
-    for name in names:
-        files.delete_file(f"{where}/{name}")
+    if tuple(schema.names[:4]) != OBJECT:
+        raise ValueError(f"this sink takes object frames with columns {OBJECT}; build them with to_objects")
 
 
 class _Sender:
-    """State shared by the batch and the stream writer."""
+    """What the batch and the stream writer share. Sent objects stay sent; a task that runs again sends them again."""
 
-    def __init__(self, options: SinkOptions, transport: Transport, run: str):
-        self.options, self.transport, self.run = options, transport, run
-
-    def folder(self, path: str | None, batch_id: int) -> str | None:
-        return None if path is None else batch_folder(path, self.options.class_name, self.run, batch_id)
-
-    def folders(self, batch_id: int) -> tuple[str | None, str | None]:
-        return self.folder(self.options.path, batch_id), self.folder(self.options.failures_path, batch_id)
-
-    def send(self, batches: Iterator[pa.RecordBatch], batch_id: int) -> Committed:
-        name = f"part-{TaskContext.get().partitionId():08d}"
-        stored, unsent = (_TaskFile(folder, name) if folder else None for folder in self.folders(batch_id))
-        with opened(self.transport, self.options.transport_options) as ready:
-            return self._send_all(batches, ready, stored, unsent)
-
-    def _send_all(self, batches, transport: Transport, stored: _TaskFile | None, unsent: _TaskFile | None) -> Committed:
-        sent = failed = 0
-        for batch in slice_batches(batches, self.options.batch_size):
-            batch = last_per_id(batch)
-            outcome = send_with_retry(batch, transport, self.options.delivery)
-            good = pc.equal(outcome.column("status"), SENT)
-            kept, lost = batch.filter(good), batch.filter(pc.invert(good))
-            sent, failed = sent + kept.num_rows, failed + lost.num_rows
-            if lost.num_rows:
-                errors = outcome.column("error").filter(pc.invert(good))
-                if self.options.on_error == "fail":
-                    raise DeliveryError(f"{len(errors)} objects of a batch could not be sent, first error: {errors[0]}")
-                unsent.add(lost.append_column("error", errors))
-            if stored is not None and kept.num_rows:
-                stored.add(kept)
-        return Committed(sent, failed, stored and stored.close(), unsent and unsent.close())
-
-    def settle(self, messages: list, batch_id: int) -> None:
-        for folder, names in self._files(messages, batch_id):
-            _reveal(folder, names)
-
-    def discard(self, messages: list, batch_id: int) -> None:
-        """Remove the files of a failed write; sent objects stay sent, and so does what an earlier run has stored."""
-        for folder, names in self._files(messages, batch_id):
-            _drop(folder, names)
-
-    def _files(self, messages: list, batch_id: int) -> list[tuple[str | None, set]]:
-        present = [message for message in messages if message is not None]
-        stored, unsent = self.folders(batch_id)
-        return [(stored, {m.stored for m in present if m.stored}), (unsent, {m.unsent for m in present if m.unsent})]
-
-
-class BatchWriter(DataSourceArrowWriter):
-    def __init__(self, sender: _Sender):
-        self.sender = sender
+    def __init__(self, options: SinkOptions, transport: Transport):
+        self.options, self.transport = options, transport
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        return self.sender.send(iterator, self.sender.options.batch_id)
-
-    def commit(self, messages: list) -> None:
-        self.sender.settle(messages, self.sender.options.batch_id)
-
-    def abort(self, messages: list) -> None:
-        self.sender.discard(messages, self.sender.options.batch_id)
+        count = 0
+        with opened(self.transport, self.options.transport_options) as ready:
+            for batch in slice_batches(iterator, self.options.batch_size):
+                batch = last_per_id(batch).select(list(OBJECT))
+                lost = send_with_retry(batch, ready, self.options.delivery).column("error").drop_null()
+                if len(lost):
+                    raise DeliveryError(f"{len(lost)} objects of a batch could not be sent, first error: {lost[0]}")
+                count += batch.num_rows
+        return Committed(count)
 
 
-class StreamWriter(DataSourceStreamArrowWriter):
-    def __init__(self, sender: _Sender):
-        self.sender = sender
+class BatchWriter(_Sender, DataSourceArrowWriter):
+    pass
 
-    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        return self.sender.send(iterator, int(TaskContext.get().getLocalProperty(_STREAM_BATCH)))
 
+class StreamWriter(_Sender, DataSourceStreamArrowWriter):
     def commit(self, messages: list, batchId: int) -> None:
-        self.sender.settle(messages, batchId)
+        """Nothing is left to do: objects are stored by id when they are sent."""
 
     def abort(self, messages: list, batchId: int) -> None:
-        self.sender.discard(messages, batchId)
+        """What was sent stays sent; the micro-batch runs again and sends the same ids."""
 
 
 class ObjectSink(DataSource):
     """Write only, append only."""
 
-    transport: Transport = staticmethod(accept_all)
+    transport: Transport | None = None
 
     @classmethod
     def name(cls) -> str:
         return FORMAT
 
-    def _sender(self, schema: StructType, overwrite: bool, run: str | None) -> _Sender:
+    def _checked(self, schema: StructType, overwrite: bool) -> tuple[SinkOptions, Transport]:
         if overwrite:
             raise ValueError("this sink only appends; use mode('append')")
         check_objects(schema)
         options = SinkOptions.parse(self.options)
-        if type(self).transport is accept_all and options.path is None:
-            raise ValueError("register the sink with a transport or give option path")
-        run = options.run or run
-        if run is None:
-            raise ValueError("a stream needs option run, which names its folder across restarts")
-        return _Sender(options, type(self).transport, run)
+        if options.path is not None or options.on_error == "collect":
+            raise ValueError("the format only sends; write_kafka and send_objects store what was sent")
+        if type(self).transport is None:
+            raise ValueError("register the sink with a transport")
+        return options, type(self).transport
 
     def writer(self, schema: StructType, overwrite: bool) -> DataSourceArrowWriter:
-        return BatchWriter(self._sender(schema, overwrite, f"load-{uuid.uuid4().hex}"))
+        return BatchWriter(*self._checked(schema, overwrite))
 
     def streamWriter(self, schema: StructType, overwrite: bool) -> DataSourceStreamArrowWriter:
-        return StreamWriter(self._sender(schema, overwrite, None))
+        return StreamWriter(*self._checked(schema, overwrite))
 
 
 def register_sink(spark: SparkSession, transport: Transport = accept_all) -> str:

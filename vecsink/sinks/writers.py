@@ -1,50 +1,59 @@
-"""One call from a Kafka-shaped table to stored or sent objects."""
+"""One call from a Kafka-shaped table to stored or sent objects, in one pass over the table."""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Mapping
-from dataclasses import replace
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vecsink.functions.avro import Schemas
-from vecsink.operators.delivery import Transport
-from vecsink.operators.envelope import parse_envelope
+from vecsink.operators.delivery import FAILED, REJECTED, SENT, STORED, Transport, send_rows
+from vecsink.operators.envelope import REJECT, parse_envelope
 from vecsink.operators.objects import to_wire
 from vecsink.plans.object_plan import plan_objects
-from vecsink.plans.options import BATCH_ID, FAILURES_PATH, PATH, RUN, SinkOptions
-from vecsink.sinks.datasource import register_sink
-from vecsink.sources.collection import write_collection
+from vecsink.plans.options import SinkOptions
+from vecsink.sources.collection import store_batch
 from vecsink.sources.registry import load_registry, prune_registry, registry_schemas
-from vecsink.sources.scratch import qualified
 
 
 def load_schemas(df: DataFrame, options: SinkOptions) -> Schemas:
-    """Schemas of the ids that the records use; of a stream, of all ids of the registry."""
+    """Schemas of the ids that the records of a table use."""
     if options.registry is None:
         raise ValueError("option registry is required when no schemas are given")
-    known = load_registry(df.sparkSession, options.registry)
-    if not df.isStreaming:
-        known = prune_registry(known, parse_envelope(df))
-    return registry_schemas(known, set_aside=True)
+    return registry_schemas(prune_registry(load_registry(df.sparkSession, options.registry), parse_envelope(df)), set_aside=True)
 
 
-def sink_options(spark: SparkSession, options: Mapping[str, object]) -> dict[str, str]:
-    """Options as the data source gets them, with full paths."""
-    folders = {PATH.lower(), FAILURES_PATH.lower()}
-    given = {key: str(value) for key, value in options.items() if value is not None}
-    return {key: qualified(spark, value) if key.lower() in folders else value for key, value in given.items()}
+def sent_rows(rows: DataFrame, options: SinkOptions, transport: Transport) -> DataFrame:
+    """Objects in sent form with what became of each; rejects among them pass through."""
+    wired = to_wire(rows)
+    aside = F.when(F.col(REJECT).isNotNull(), REJECTED) if REJECT in rows.columns else F.lit(None).cast("string")
+    return send_rows(wired.withColumn("outcome", aside), transport, options.delivery, options.on_error == "collect", options.transport_options)
 
 
-def send_objects(objects: DataFrame, options: Mapping[str, object], transport: Transport) -> None:
-    """Objects through the data source; properties travel as JSON text."""
-    spark = objects.sparkSession
-    given = sink_options(spark, options)
-    stamped = to_wire(objects).withColumn("written_at", F.current_timestamp())
-    stamped.write.format(register_sink(spark, transport)).options(**given).mode("append").save()
+def write_objects(rows: DataFrame, options: SinkOptions, transport: Transport | None, run: str, batch_id: int) -> None:
+    """Objects, and rejects where the rows have some, sent or stored by one job.
+
+    Each row leaves the job with an outcome, and Spark's writer stores them as folders of one batch, which it
+    commits together. Without a path what was sent is not stored.
+    """
+    several = REJECT in rows.columns
+    if transport is None:
+        outcome = F.when(F.col(REJECT).isNotNull(), REJECTED).otherwise(STORED) if several else F.lit(STORED)
+        told, possible = rows.withColumn("outcome", outcome), [STORED]
+    else:
+        told, possible = sent_rows(rows, options, transport), [SENT, *([FAILED] if options.on_error == "collect" else [])]
+    if options.path is None:
+        told.write.format("noop").mode("overwrite").save()
+    else:
+        store_batch(told, options.path, options.class_name, run, batch_id, possible + ([REJECTED] if several else []))
+
+
+def send_objects(objects: DataFrame, options: Mapping[str, object], transport: Transport, batch_id: int | None = None) -> None:
+    """Send an object frame; with option `path` what was sent, and with `onError=collect` what was not, is stored there."""
+    parsed = SinkOptions.parse(options)
+    write_objects(objects, parsed, transport, parsed.run or "load", time.time_ns() if batch_id is None else batch_id)
 
 
 def write_kafka(
@@ -55,12 +64,11 @@ def write_kafka(
     mode: str = "append",
     batch_id: int | None = None,
 ) -> None:
-    """Decode, build and write a Kafka-shaped table.
+    """Decode, build and write a Kafka-shaped table, in one pass.
 
-    With a transport the objects are sent, otherwise they are stored under
-    option `path`. Without option `rejectsPath` the first record that cannot be
-    decoded fails the job; with it such records are stored there, by a second
-    pass over the table.
+    With a transport the objects are sent, otherwise they are stored; option `path` says where. Without option
+    `keepRejects` the first record that cannot be decoded fails the job; with it such records are stored beside the
+    objects, by the same job.
     """
     if mode != "append":
         raise ValueError("objects are only appended; use mode='append'")
@@ -68,20 +76,5 @@ def write_kafka(
     if transport is None and parsed.path is None:
         raise ValueError("give a transport or option path")
     plan = plan_objects(kafka, load_schemas(kafka, parsed) if schemas is None else schemas, parsed)
-    keep_rejects = parsed.rejects_path is not None
-    if keep_rejects:
-        plan = replace(plan, decoded=plan.decoded.persist(StorageLevel.MEMORY_AND_DISK))
-    objects = plan.objects(strict=not keep_rejects)
-    number = time.time_ns() if batch_id is None else batch_id
-    run = parsed.run or "load"
-    try:
-        if transport is not None:
-            send_objects(objects, {**options, RUN: run, BATCH_ID: number}, transport)
-        else:
-            write_collection(objects, parsed.path, parsed.class_name, run, number)
-        if keep_rejects:
-            target = f"{parsed.rejects_path.rstrip('/')}/run={run}/batch_id={number}"
-            plan.rejects().write.mode("overwrite").parquet(target)
-    finally:
-        if keep_rejects:
-            plan.decoded.unpersist()
+    rows = plan.outcomes() if parsed.keep_rejects else plan.objects(strict=True)
+    write_objects(rows, parsed, transport, parsed.run or "load", time.time_ns() if batch_id is None else batch_id)

@@ -1,18 +1,22 @@
 """Stored objects: parquet folders by class, run and batch.
 
-`<path>/class=<class>/run=<run>/batch_id=<n>/`. One write fills one batch
-folder, and writing the same batch again replaces it.
+`<path>/class=<class>/run=<run>/batch_id=<n>/outcome=<outcome>/`. One write fills one batch
+folder, and writing the same batch again replaces it. Objects that were stored or sent, objects that could not be
+sent and records that were set aside are the outcomes of a batch; one job writes them all.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vecsink.operators.batching import keep_last
+from vecsink.operators.delivery import FAILED, REJECTED, SENT, STORED
+from vecsink.operators.envelope import REJECT
 from vecsink.operators.id_filter import key_filter, with_maybe
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_\-]*")
@@ -25,22 +29,28 @@ def batch_folder(path: str, class_name: str, run: str, batch_id: int) -> str:
     return f"{path.rstrip('/')}/class={class_name}/run={run}/batch_id={int(batch_id)}"
 
 
-def write_collection(objects: DataFrame, path: str, class_name: str, run: str, batch_id: int) -> None:
-    """Write the objects of one batch; no shuffle and no sort."""
-    stamped = objects.drop("class").withColumn("written_at", F.current_timestamp())
-    store_batch(stamped, path, class_name, run, batch_id)
+def store_batch(rows: DataFrame, path: str, class_name: str, run: str, batch_id: int, outcomes: Sequence[str] = ()) -> None:
+    """Rows with an `outcome` as the folder of one batch.
 
-
-def store_batch(rows: DataFrame, path: str, class_name: str, run: str, batch_id: int) -> None:
-    """Rows as the folder of one batch.
-
-    Spark swaps the folder when the job commits, so a job that fails leaves what an
-    earlier run of the batch has stored.
+    Spark swaps the folders when the job commits, so a job that fails leaves what an earlier run of
+    the batch has stored. Where a batch may have several outcomes, each gets a closing row without an id,
+    so that a folder of an earlier run is replaced also if this run has nothing for it.
     """
     batch_folder(path, class_name, run, batch_id)
+    stamped = rows.drop("class").withColumn("written_at", F.current_timestamp())
+    if len(outcomes) > 1:
+        closing = rows.sparkSession.range(len(outcomes), numPartitions=1).select(F.array(*map(F.lit, outcomes))[F.col("id").cast("int")].alias("outcome"))
+        stamped = stamped.unionByName(closing.withColumn("written_at", F.current_timestamp()), allowMissingColumns=True)
     named = {"class": F.lit(class_name), "run": F.lit(run), "batch_id": F.lit(int(batch_id))}
-    writer = rows.withColumns(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*named).parquet(path)
+    writer = stamped.withColumns(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*named, "outcome").parquet(path)
+
+
+def _stored(reader: DataFrameReader, path: str, class_name: str | None) -> DataFrame:
+    # Classes may have properties of one name and different types, so one class never reads another's.
+    stored = reader.option("basePath", path).parquet(path if class_name is None else f"{path.rstrip('/')}/class={class_name}")
+    names = {"class": "string", "run": "string", "batch_id": "bigint", "outcome": "string"}
+    return stored.withColumns({name: F.col(name).cast(kind) for name, kind in names.items()})
 
 
 def scan_collection(
@@ -55,18 +65,27 @@ def scan_collection(
     Later batches may have more properties, so the footers of all files are
     merged, by a Spark job. A given schema, or no need of all properties, saves that.
     """
-    reader = spark.read.option("basePath", path)
+    reader = spark.read
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(schema.add("outcome", "string") if "outcome" not in schema.names else schema)
     elif all_properties:
         reader = reader.option("mergeSchema", "true")
-    # Classes may have properties of one name and different types, so one class never reads another's.
-    stored = reader.parquet(path if class_name is None else f"{path.rstrip('/')}/class={class_name}")
-    names = {"class": "string", "run": "string", "batch_id": "bigint"}
-    stored = stored.withColumns({name: F.col(name).cast(kind) for name, kind in names.items()})
+    stored = _stored(reader, path, class_name).where(F.col("outcome").isin(SENT, STORED) & F.col("id").isNotNull())
     # Objects stored on their way through a transport have an empty vector for none.
     stored = stored.withColumn("vector", F.when(F.size("vector") > 0, F.col("vector")))
-    return stored
+    return stored.drop("outcome", "attempt", "error", REJECT)
+
+
+def read_rejects(spark: SparkSession, path: str, class_name: str) -> DataFrame:
+    """Records that batches of a class have set aside, with the reason."""
+    stored = _stored(spark.read, path, class_name).where((F.col("outcome") == REJECTED) & F.col(REJECT).isNotNull())
+    return stored.select("run", "batch_id", "topic", "partition", "offset", f"{REJECT}.*")
+
+
+def read_failures(spark: SparkSession, path: str, class_name: str) -> DataFrame:
+    """Objects that batches of a class could not send, with the attempts and the last error."""
+    stored = _stored(spark.read, path, class_name).where((F.col("outcome") == FAILED) & F.col("id").isNotNull())
+    return stored.drop("outcome", REJECT)
 
 
 def read_collection(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -21,6 +22,12 @@ def qualified(spark: SparkSession, path: str) -> str:
     return path if default.startswith("file:") else default.rstrip("/") + path
 
 
+def full_path(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, for tasks that open files from Python."""
+    named = qualified(spark, path)
+    return named if "://" in named or named.startswith("file:") else "file://" + os.path.abspath(named)
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder below the one the cluster names in `spark.checkpoint.dir`.
 
@@ -28,7 +35,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="vecsink-")
     return f"{qualified(spark, base).rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,12 +14,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from vecsink.functions.avro import Schemas
 from vecsink.operators.delivery import Transport, accept_all
-from vecsink.operators.objects import to_wire
-from vecsink.plans.options import BATCH_ID, SinkOptions
 from vecsink.plans.object_plan import plan_objects
-from vecsink.sinks.datasource import register_sink
-from vecsink.sinks.writers import load_schemas, send_objects, sink_options
-from vecsink.sources.collection import batch_totals, write_collection
+from vecsink.plans.options import SinkOptions
+from vecsink.plans.variant_plan import plan_variant_objects
+from vecsink.sinks.writers import load_schemas, sent_rows, write_objects
+from vecsink.sources.collection import batch_totals, read_rejects
+from vecsink.sources.schema_lookup import SchemaFolder, lookup_folder
+
+#: The property that Spark sets on the tasks of a micro-batch.
+STREAM_BATCH = "streaming.sql.batchId"
 
 
 @dataclass
@@ -52,12 +56,12 @@ def stored_totals(spark: SparkSession, options: SinkOptions) -> StreamTotals:
     if top is not None and top["last"] is not None:
         totals.rows = top["rows"]
         counts[top["last"]["batch_id"]] = [top["last"]["rows"], 0]
-    if options.rejects_path is not None:
+    if options.keep_rejects:
         try:
-            rejects = spark.read.parquet(f"{options.rejects_path.rstrip('/')}/run={options.run}").groupBy(F.col("batch_id").cast("bigint").alias("batch_id"))
-            found = rejects.agg(F.count(F.lit(1)).alias("n"))
+            rejects = read_rejects(spark, options.path, options.class_name).where(F.col("run") == options.run)
+            found = rejects.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
             top = found.agg(F.sum("n").alias("n"), F.max_by(F.struct("batch_id", "n"), "batch_id").alias("last")).first()
-        except AnalysisException:
+        except AnalysisException:  # nothing stored yet
             top = None
         if top is not None and top["last"] is not None:
             totals.rows += top["n"]
@@ -102,32 +106,13 @@ def load_micro_batch(
     transport: Transport | None,
     totals: StreamTotals,
 ) -> None:
-    """Write one micro-batch. Counting rides on the write: no second scan.
-
-    Rejects, when they are kept, are a second use of the decoded rows, which are
-    then held on the executors for the length of the micro-batch.
-    """
+    """Write one micro-batch by one job; counting rides on it."""
     parsed = _named(options)
     plan = plan_objects(batch, schemas, parsed)
     seen = Observation()
     bad = F.count(F.when(F.col("reject_reason").isNotNull(), 1))
-    decoded = plan.decoded.observe(seen, F.count(F.lit(1)).alias("rows"), bad.alias("rejected"))
-    keep_rejects = parsed.rejects_path is not None
-    if keep_rejects:
-        decoded = decoded.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        plan = type(plan)(decoded, plan.schemas, plan.options)
-        objects = plan.objects(strict=not keep_rejects)
-        if transport is not None:
-            send_objects(objects, {**options, BATCH_ID: batch_id}, transport)
-        else:
-            write_collection(objects, parsed.path, parsed.class_name, parsed.run, batch_id)
-        if keep_rejects:
-            target = f"{parsed.rejects_path.rstrip('/')}/run={parsed.run}/batch_id={batch_id}"
-            plan.rejects().write.mode("overwrite").parquet(target)
-    finally:
-        if keep_rejects:
-            decoded.unpersist()
+    plan = type(plan)(plan.decoded.observe(seen, F.count(F.lit(1)).alias("rows"), bad.alias("rejected")), plan.schemas, plan.options)
+    write_objects(plan.outcomes() if parsed.keep_rejects else plan.objects(strict=True), parsed, transport, parsed.run, batch_id)
     counted = seen.get
     totals.record(batch_id, counted["rows"], counted["rejected"])
 
@@ -139,26 +124,22 @@ def run_stream(
     schemas: Schemas | None = None,
     transport: Transport | None = None,
     trigger_seconds: float | None = None,
-    reload_schemas: bool = True,
 ) -> StreamRun:
     """Start a query that writes each micro-batch; without a trigger it ends by itself.
 
     Option `run` names the query and its folders, so that a restart from the
     checkpoint replays the last micro-batch onto itself. Without given schemas the registry
-    is asked for each micro-batch's own ids, so new schema ids need no restart;
-    without `reload_schemas` it is read once, whole.
+    is asked for each micro-batch's own ids, so new schema ids need no restart.
     """
     parsed = _named(options)
     if transport is None and parsed.path is None:
         raise ValueError("give a transport or option path")
-    ask = schemas is None and reload_schemas
-    if ask and parsed.registry is None:
+    if schemas is None and parsed.registry is None:
         raise ValueError("option registry is required when no schemas are given")
-    known = load_schemas(kafka, parsed) if schemas is None and not ask else schemas
     totals = stored_totals(kafka.sparkSession, parsed)
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        current = load_schemas(batch, parsed) if ask else known
+        current = load_schemas(batch, parsed) if schemas is None else schemas
         load_micro_batch(batch, batch_id, current, options, transport, totals)
 
     writer = kafka.writeStream.queryName(parsed.run).foreachBatch(load).option("checkpointLocation", checkpoint)
@@ -173,24 +154,40 @@ def run_native_stream(
     transport: Transport = accept_all,
     trigger_seconds: float | None = None,
 ) -> StreamingQuery:
-    """The same plan with the data source as the stream's sink.
+    """One streaming plan that decodes, sends and stores, without a call per micro-batch.
 
-    The plan is fixed at the start, so all schemas of the registry are read then; a record
-    of a later schema stops the query with its id, and a restart reads the registry again.
+    Without given schemas each task looks up the schemas of the records that it meets, so the plan does not
+    depend on them and a schema that is registered later is found while the query runs. With option `path`
+    Spark's file sink stores what was sent, in a folder per micro-batch; without it nothing is stored.
     """
     parsed = _named(options)
-    if parsed.rejects_path is not None:
+    if parsed.keep_rejects:
         raise ValueError("the native sink is strict; use run_stream to keep rejects")
-    known = load_schemas(kafka, parsed) if schemas is None else schemas
-    objects = plan_objects(kafka, known, parsed).objects(strict=True)
-    stamped = to_wire(objects).withColumn("written_at", F.current_timestamp())
-    given = sink_options(kafka.sparkSession, options)
-    return (
-        stamped.writeStream.format(register_sink(kafka.sparkSession, transport))
-        .queryName(parsed.run)
-        .options(**given)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**_trigger(trigger_seconds))
-        .start()
-    )
+    spark = kafka.sparkSession
+    if schemas is None:
+        if parsed.registry is None:
+            raise ValueError("option registry is required when no schemas are given")
+        source = SchemaFolder(lookup_folder(spark, parsed.registry, f"{checkpoint}/schemas"))
+        plan = plan_variant_objects(kafka, source, parsed)
+    else:
+        plan = plan_objects(kafka, schemas, parsed)
+    sent = sent_rows(plan.objects(strict=True), parsed, transport).withColumn("written_at", F.current_timestamp())
+    if parsed.path is None:
+        writer = sent.writeStream.format("noop")
+    else:
+        stored = sent.drop("class").withColumn("batch_id", _micro_batch()("id"))
+        folder = f"{parsed.path.rstrip('/')}/class={parsed.class_name}/run={parsed.run}"
+        writer = stored.writeStream.format("parquet").option("path", folder).partitionBy("batch_id", "outcome")
+    writer = writer.queryName(parsed.run).option("checkpointLocation", checkpoint).outputMode("append")
+    return writer.trigger(**_trigger(trigger_seconds)).start()
+
+
+def _micro_batch():
+    """The number of the micro-batch that a task belongs to."""
+
+    @F.arrow_udf("bigint")
+    def number(ids: pa.Array) -> pa.Array:
+        current = int(TaskContext.get().getLocalProperty(STREAM_BATCH))
+        return pa.repeat(pa.scalar(current, pa.int64()), len(ids))
+
+    return number.asNondeterministic()
