@@ -208,18 +208,14 @@ def train(documents: DataFrame, labels: DataFrame, terms=IDENTITY_TERMS, sample:
 def score(documents: DataFrame, model: Model) -> DataFrame:
     """All columns of documents, and score (0 to 1, higher: likelier toxic).
 
-    Only text decides. A null or empty text has no features and gets the model's score of none.
+    Only text decides, and only it goes to Python. A null or empty text has no features and gets the model's score of none.
     A column named score is replaced.
     """
-    frame = documents.drop("score") if "score" in documents.columns else documents
-    names = frame.columns
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = text_column(batch)
-            parts = [model.score(texts.slice(a, b - a)) for a, b in slices(texts)]
-            values = np.concatenate(parts) if parts else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*names, "score"])
-
-    schema = ", ".join(f"`{name}` {kind}" for name, kind in frame.dtypes)
-    return frame.mapInArrow(scored, f"{schema}, score double")
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        whole = texts.cast(pa.large_string()).fill_null("")
+        return pa.array(np.concatenate([np.zeros(0), *(model.score(whole.slice(a, b - a)) for a, b in slices(whole))]))
+
+    # A filter on the score must not be moved below the call, or texts would be scored twice.
+    return documents.withColumn("score", scored.asNondeterministic()(F.col("text").cast("string")))
