@@ -28,6 +28,21 @@ def _is_stars(edges: DataFrame) -> bool:
     return ends.groupBy("node").agg(F.sum("end").alias("ends")).where("ends > 2").isEmpty()
 
 
+def joined_components(part: DataFrame, links: DataFrame, name: str = "edges") -> DataFrame:
+    """Components (node, component) after further links (a, b), whose ends may be nodes of none yet.
+
+    Only the links between components are followed; nodes that keep their component are not touched.
+    """
+    links = stored(links, f"{name}-further")
+    for end in ("a", "b"):
+        own = part.select(F.col("node").alias(end), F.col("component").alias("_component"))
+        links = links.join(own, end, "left").withColumn(end, F.coalesce("_component", end)).drop("_component")
+    moved = components(links, name)
+    former = part.join(moved.select(F.col("node").alias("component"), F.col("component").alias("_component")), "component", "left")
+    former = former.select("node", F.coalesce("_component", "component").alias("component"))
+    return stored(former.unionByName(moved.join(part, "node", "left_anti")), f"{name}-joined")
+
+
 def components(edges: DataFrame, name: str = "edges") -> DataFrame:
     """node and component (its smallest node), for each node of the undirected edges (a, b).
 

@@ -10,10 +10,9 @@ Documents with equal shingle sets are one class; only the smallest doc_id of eac
 Within a bucket, documents gather around leaders: one whose sketch (two bits of each minhash
 value) is too far from all leaders leads a group of its own. A pair of the least similarity
 is that far with probability below 0.001. Members are then compared with their leader on full
-shingle sets. Members of a leader that are still in different components are compared with each
-other, blocks against blocks; no member is left out and no pairs within a component are formed.
-Last, members of one bucket that are still in different components are compared in the same way,
-whichever leaders they follow.
+shingle sets. Members of one bucket that are still in different components are compared with each
+other, blocks against blocks, whichever leaders they follow; no member is left out and no pairs within a
+component are formed.
 """
 
 from __future__ import annotations
@@ -25,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vecsink.llm.components import components
+from vecsink.llm.components import components, joined_components
 from vecsink.llm.shared import id_filter, slices, stored, text_column, with_maybe
 from vecsink.llm.words import SPACED_LOWER, U64, constants, find_words, mix, text_of_each
 
@@ -33,6 +32,8 @@ PARTS = 10
 WIDTH = 3
 #: Members of a leader that are compared at once.
 BLOCK = 2000
+#: Bits of the filter of bucket keys, 4 MB at most; with more keys it lets more rows pass and the result stays the same.
+TABLE_BITS = 1 << 25
 
 
 def shingle_sets(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -111,7 +112,17 @@ class Leaders:
 
     def __init__(self, values: int, least: int):
         self.most = values - least
-        self.last, self.led = None, []
+        self.last, self.count = None, 0
+        self.led = [np.zeros(64, dtype=kind) for kind in (np.int64, U64, U64)]
+
+    def _lead(self, doc, k1, k2, anew: bool = False) -> None:
+        """Leaders of the present bucket, added in arrays that double."""
+        start = 0 if anew else self.count
+        self.count = start + len(doc)
+        for i, values in enumerate((doc, k1, k2)):
+            if self.count > len(self.led[i]):
+                self.led[i] = np.concatenate([self.led[i], np.zeros(max(len(self.led[i]), self.count), dtype=self.led[i].dtype)])
+            self.led[i][start : self.count] = values
 
     def near(self, a1, a2, b1, b2):
         return np.bitwise_count((a1 ^ b1) | (a2 ^ b2)) <= self.most
@@ -141,25 +152,26 @@ class Leaders:
         far = inner[~good]
         far_owner = owner[~good]
         for head in np.unique(far_owner).tolist():
-            self.led = [(doc[head], k1[head], k2[head])]
+            self._lead(doc[[head]], k1[[head]], k2[[head]], anew=True)
             a, b = np.searchsorted(far_owner, [head, head + 1])
             self._slowly(far[a:b].tolist(), doc, k1, k2, leads, rows, heads)
         if len(begin):
             self.last = key[-1]
-            self.led = [(doc[i], k1[i], k2[i]) for i in (np.flatnonzero(leads[begin[-1] :]) + begin[-1]).tolist()]
+            at = np.flatnonzero(leads[begin[-1] :]) + begin[-1]
+            self._lead(doc[at], k1[at], k2[at], anew=True)
         return np.concatenate(rows).astype(np.int64), np.concatenate(heads).astype(np.int64), leads
 
     def _slowly(self, at, doc, k1, k2, leads, rows, heads) -> None:
         """Rows one by one: each follows all leaders it is near to, or leads."""
         for i in at:
-            d, a, b = (np.array(x) for x in zip(*self.led, strict=True))
+            d, a, b = (values[: self.count] for values in self.led)
             near = self.near(k1[i], k2[i], a, b)
             if near.any():
                 heads.append(d[near & (d != doc[i])])
                 rows.append(np.full(len(heads[-1]), i))
             else:
                 leads[i] = True
-                self.led.append((doc[i], k1[i], k2[i]))
+                self._lead(doc[[i]], k1[[i]], k2[[i]])
 
 
 def _keys(batch: pa.RecordBatch, parts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -300,18 +312,23 @@ def _open_buckets(classes: DataFrame, pairs: DataFrame, part: DataFrame, parts:
     """Members (leader: the bucket, doc_id, component) of buckets whose members lie in several components.
 
     Two members of a bucket that were not compared are not both leaders, so one of them is in a pair, and a third
-    member led it. Buckets of the same members count once.
+    member led it. So only buckets of documents in pairs matter: a filter of their keys is laid on the tables of all
+    others as they are made. Buckets of the same members count once.
     """
     paired = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct().withColumn("paired", F.lit(True))
     known = classes.select("doc_id", "parts").join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(paired, "doc_id", "left")
-    known = known.select("doc_id", "parts", F.coalesce("component", "doc_id").alias("component"), F.coalesce("paired", F.lit(False)).alias("paired"))
-    members = known.mapInArrow(lambda it: (out for b in it for out in _bucketed(b, parts)), "leader long, doc_id long, component long, paired boolean")
+    known = stored(known.select("doc_id", "parts", F.coalesce("component", "doc_id").alias("component"), F.coalesce("paired", F.lit(False)).alias("paired")), "known")
+
+    def tables(rows: DataFrame) -> DataFrame:
+        return rows.mapInArrow(lambda it: (out for b in it for out in _bucketed(b, parts)), "leader long, doc_id long, component long, paired boolean")
+
+    among = tables(known.where("paired"))
+    others = with_maybe(tables(known.where("not paired")), "leader", id_filter(among.select("leader"), "leader", TABLE_BITS)).where("maybe").drop("maybe")
+    members = stored(among.unionByName(others), "members")
     names = [F.bit_xor(F.xxhash64(F.lit(seed), "doc_id")).alias(f"h{seed}") for seed in (1, 2)]
     seen = members.groupBy("leader").agg(F.count("*").alias("n"), F.min("component").alias("least"), F.max("component").alias("most"), F.max("paired").alias("paired"), *names)
     split = seen.where("n > 2 AND least < most AND paired").groupBy("n", "h1", "h2").agg(F.min("leader").alias("leader")).select("leader")
-    split = stored(split, "buckets")
-    maybe = with_maybe(members, "leader", id_filter(split, "leader")).where("maybe").select("leader", "doc_id", "component")
-    return stored(maybe.join(split, "leader", "left_semi"), "groups")
+    return stored(members.select("leader", "doc_id", "component").join(split, "leader", "left_semi"), "groups")
 
 
 def near_copies(documents: DataFrame, size: int = 5, percent: int = 80, parts: int = PARTS) -> DataFrame:
@@ -324,13 +341,15 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80, parts: i
     """
     if 2 * parts * WIDTH > 64:
         raise ValueError("a sketch has room for 64 minhash values")
+    tasks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     narrow = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed = narrow.mapInArrow(lambda it: (out for b in it for out in _signed(b, size, parts)), "doc_id long, n_shingles long, s1 long, s2 long, k1 long, k2 long, parts array<long>")
     signed = stored(signed, "signatures")
     named = ["n_shingles", "s1", "s2"]
     kept = F.min_by(F.struct("parts", "k1", "k2"), "doc_id").alias("kept")
     classes = signed.where("n_shingles > 0 and doc_id is not null").groupBy(*named).agg(F.min("doc_id").alias("doc_id"), kept)
-    classes = stored(classes.select(*named, "doc_id", "kept.*"), "classes")
+    # In many files, since each row becomes parts ** 2 rows.
+    classes = stored(classes.select(*named, "doc_id", "kept.*").repartition(tasks, "doc_id"), "classes")
     tabled = classes.select("doc_id", "k1", "k2", "parts").mapInArrow(
         lambda it: (out for b in it for out in _tabled(b, parts, percent)), "deal long, doc_id long, k1 long, k2 long, leader long, led boolean"
     )
@@ -352,18 +371,9 @@ def near_copies(documents: DataFrame, size: int = 5, percent: int = 80, parts: i
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("body").alias("left")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("body").alias("right")), "b")
     links = stored(both.select("a", "b", "left", "right").mapInArrow(lambda it: (_agree(b, percent) for b in it), "a long, b long"), "links")
     part = components(links, "parts")
-    known = part.select(F.col("node").alias("doc_id"), "component")
-    group = pairs.select(F.col("a").alias("doc_id"), F.col("b").alias("leader")).join(known, "doc_id", "left")
-    group = stored(group.select("leader", "doc_id", F.coalesce("component", "doc_id").alias("component")), "groups")
-    more = compared(group, sets)
-    if not more.isEmpty():
-        links = links.union(more)
-        part = components(links, "parts")
     group = _open_buckets(classes, pairs, part, parts)
     missing = stored(group.select("doc_id").distinct().join(wanted, "doc_id", "left_anti"), "wanted")
-    more = compared(group, sets.union(sets_of(missing)))
-    if not more.isEmpty():
-        part = components(links.union(more), "parts")
+    part = joined_components(part, compared(group, sets.union(sets_of(missing))), "parts")
     joined = classes.select(*named, "doc_id").join(part.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(*named, F.coalesce("component", "doc_id").alias("component"))
     found = signed.select("doc_id", *named).join(joined, named, "left")
     return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

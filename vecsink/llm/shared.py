@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vecsink.operators.id_filter import key_filter
+from vecsink.operators.id_filter import FILTER_BITS, key_filter
 from vecsink.operators.id_filter import with_maybe as maybe_in
 
 #: Bytes of text that a task works on at once; a longer text is a slice of its own.
@@ -69,14 +69,14 @@ def crc_bucket(column: str, buckets: int):
     return F.crc32(F.col(column).cast("string").cast("binary")) % buckets
 
 
-def id_filter(frame: DataFrame, column: str) -> DataFrame:
-    """A Bloom filter of fixed size over the ids."""
-    return key_filter(frame, [column])
+def id_filter(frame: DataFrame, column: str, bits: int = FILTER_BITS) -> tuple[DataFrame, int]:
+    """A Bloom filter over the ids, of so many bits at most."""
+    return key_filter(frame, [column], bits), bits
 
 
-def with_maybe(frame: DataFrame, column: str, kept: DataFrame) -> DataFrame:
+def with_maybe(frame: DataFrame, column: str, kept: tuple[DataFrame, int]) -> DataFrame:
     """The frame with the column maybe: false for rows whose id is surely not in the filter."""
-    return maybe_in(frame, [column], kept)
+    return maybe_in(frame, [column], kept[0], bits=kept[1])
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
