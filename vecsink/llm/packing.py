@@ -11,15 +11,18 @@ from __future__ import annotations
 import json
 import os
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecsink.llm.shared import slices, stored, text_column
+from vecsink.llm.words import numbered_words
 
 LENGTH = 4096
 #: Words of which a task remembers the ids; then it starts anew.
@@ -27,7 +30,8 @@ WORDS_KEPT = 600_000
 
 
 #: Punctuation that may close a word; it stands apart from letters before it in ids as well.
-CLOSING = b".,;:!?*#$%&)"
+CLOSING = ".,;:!?*#$%&)"
+NOTHING = pa.scalar(b"", pa.large_binary())
 
 
 def byte_letters() -> dict[int, str]:
@@ -52,7 +56,8 @@ class WordCoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.coder = Tokenizer.from_file(path)
         self.end = np.array([end], dtype="<u4").tobytes()
-        self.known: dict[bytes, bytes] = {}
+        self.bases: dict[bytes, bytes | None] = {}
+        self.wholes: dict[bytes, bytes] = {b"": b""}
         made = json.loads(self.coder.to_str())
         steps = [made["normalizer"] or {}, made["pre_tokenizer"] or {}]
         kinds = [[x["type"] for x in step.get("normalizers", step.get("pretokenizers", []))] for step in steps]
@@ -70,40 +75,58 @@ class WordCoder:
 
     def _merged(self, base: bytes) -> bytes:
         text = base.decode() if base.isascii() else "".join(map(self.letters.__getitem__, base))
-        return np.array([x.id for x in self.coder.model.tokenize(text)], dtype="<u4").tobytes()
+        return array("I", [x.id for x in self.coder.model.tokenize(text)]).tobytes()
 
-    def _learn(self, words: set[bytes]) -> None:
-        """Ids of new words; of most from their letters and closing punctuation."""
-        wholes, known, bases, ends = [], self.known, self.bases, self.ends
+    def _base_ids(self, words: list[bytes]) -> list[bytes | None]:
+        """Ids of lower-case words from the merges; None for a word that is not all letters."""
+        bases, out = self.bases, []
         for word in words:
-            low = word.lower()
-            base = low.rstrip(CLOSING)
-            ids = bases.get(base)
-            if ids is None:
-                if not self._plain(base):
-                    wholes.append(word)
-                    continue
-                ids = bases[base] = self._merged(base)
-            if len(base) < len(low):
-                end = low[len(base) :]
-                if end not in ends:
-                    ends[end] = self._encode([end.decode()])[0]
-                ids = ids + ends[end]
-            known[word] = ids
-        for at in range(0, len(wholes), 4096):
-            some = wholes[at : at + 4096]
-            known.update(zip(some, self._encode([word.decode() for word in some]), strict=True))
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+            ids = bases.get(word, b"")
+            if ids == b"":
+                ids = bases[word] = self._merged(word) if self._plain(word) else None
+            out.append(ids)
+        return out
+
+    def _whole_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that the tokenizer parts itself."""
+        new = [word for word in words if word not in self.wholes]
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            self.wholes.update(zip(some, self._encode([word.decode() for word in some]), strict=True))
+        return [self.wholes[word] for word in words]
+
+    def encode(self, texts: pa.Array) -> pa.Array:
+        """Ids of each text of a large_string array, with the end id, as bytes."""
         if not self.by_word:
-            return [body + self.end for body in self._encode([text.decode() for text in texts])]
-        split = [text.split() for text in texts]
-        new = {word for words in split for word in words} - self.known.keys()
-        if not self.known or len(self.known) + len(new) > WORDS_KEPT:
-            self.known, self.bases, self.ends = {}, {}, {}
-            new = {word for words in split for word in words}
-        self._learn(new)
-        return [b"".join(map(self.known.__getitem__, words)) + self.end for words in split]
+            return pa.array([body + self.end for body in self._encode(texts.to_pylist())], pa.large_binary())
+        if len(self.bases) + len(self.wholes) > WORDS_KEPT:
+            self.bases, self.wholes = {}, {b"": b""}
+        codes, words, first = numbered_words(texts)
+        lower = pc.ascii_lower(words.cast(pa.large_string()))
+        base = pc.ascii_rtrim(lower, characters=CLOSING)
+        closing = _rests(lower, base).dictionary_encode()
+        base = base.cast(pa.large_binary()).dictionary_encode()
+        of_base = pa.array(self._base_ids(base.dictionary.to_pylist()), pa.large_binary()).take(base.indices)
+        of_closing = pa.array(self._whole_ids(closing.dictionary.to_pylist()), pa.large_binary()).take(closing.indices)
+        ids = pc.binary_join_element_wise(of_base, of_closing, NOTHING)
+        other = np.flatnonzero(of_base.is_null().to_numpy(zero_copy_only=False))
+        if len(other):
+            whole = pa.array(self._whole_ids(words.take(pa.array(other)).to_pylist()), pa.large_binary())
+            ids = pc.replace_with_mask(ids, of_base.is_null(), whole)
+        of_text = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), ids.take(pa.array(codes)))
+        return pc.binary_join_element_wise(pc.binary_join(of_text, NOTHING), pa.scalar(self.end, pa.large_binary()), NOTHING)
+
+
+def _rests(whole: pa.Array, begin: pa.Array) -> pa.Array:
+    """What follows the beginning of each text of a fresh large_string array."""
+    count = len(whole)
+    offsets = np.frombuffer(whole.buffers()[1], dtype=np.int64)[: count + 1]
+    edges = np.empty(2 * count, dtype=np.int64)
+    edges[0::2] = offsets[:-1] + pc.binary_length(begin).to_numpy()
+    edges[1::2] = offsets[1:]
+    # Rests and the beginnings between them form one array; every second item is a rest.
+    spans = pa.LargeBinaryArray.from_buffers(pa.large_binary(), max(0, 2 * count - 1), [None, pa.py_buffer(edges), whole.buffers()[2]])
+    return spans.take(pa.array(np.arange(0, 2 * count, 2)))
 
 
 def _tokenized(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterator[pa.RecordBatch]:
@@ -113,12 +136,12 @@ def _tokenized(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterat
     for batch in batches:
         texts, ids = text_column(batch), batch.column("doc_id")
         for a, b in slices(texts):
-            bodies = coder.encode(texts.slice(a, b - a).cast(pa.large_binary()).to_pylist())
-            counts = np.array([len(x) // 4 for x in bodies], dtype=np.int64)
+            bodies = coder.encode(texts.slice(a, b - a))
+            counts = pc.binary_length(bodies).to_numpy() // 4
             starts = before + np.cumsum(counts) - counts
             before += int(counts.sum())
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(a, b - a), pa.array(np.full(b - a, part, dtype=np.int64)), pa.array(starts), pa.array(counts), pa.array(bodies, pa.binary())],
+                [ids.slice(a, b - a), pa.array(np.full(b - a, part, dtype=np.int64)), pa.array(starts), pa.array(counts), bodies.cast(pa.binary())],
                 ["doc_id", "part", "start_in_part", "doc_tokens", "ids"],
             )
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vecsink.llm.shared import slices, text_column
-from vecsink.llm.words import SPACED, U64, text_of_each
+from vecsink.llm.words import U64, numbered_words, text_of_each
 
 #: 15 * 2 ** 27 + 1 is prime, with the primitive root 31, so lengths up to 2 ** 27 have transforms.
 PRIME, ROOT, ORDER_BITS = U64(2013265921), 31, 27
@@ -208,28 +208,6 @@ def find_runs(codes: np.ndarray, breaks: np.ndarray) -> np.ndarray:
     return runs
 
 
-def numbered_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
-    """Number of each word, the words by number, and for each text its first word and one entry more."""
-    count = len(texts)
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + count + 1]
-    body = texts.buffers()[2]
-    data = (np.frombuffer(body, dtype=np.uint8) if body is not None else np.zeros(0, dtype=np.uint8))[offsets[0] : offsets[-1]]
-    offsets = offsets - offsets[0]
-    inside = ~SPACED.tables(1)[1][data]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    edges = offsets[:-1][np.diff(offsets) > 0]
-    begins[edges] = inside[edges]
-    start = np.flatnonzero(begins)
-    # Without separators the bytes are the words one after another.
-    packed = data[inside]
-    where = np.cumsum(inside)[start] - 1 if len(start) else np.zeros(0, dtype=np.int64)
-    ends = np.append(where, len(packed)).astype(np.int64)
-    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
-    coded = words.dictionary_encode()
-    return coded.indices.to_numpy().astype(np.int64), coded.dictionary, np.searchsorted(start, offsets, side="left")
-
-
 RUNS = "array<struct<start:bigint,length:bigint,period:bigint>>"
 
 
