@@ -26,7 +26,7 @@ from vecsink.llm.words import numbered_words
 
 LENGTH = 4096
 #: Words of which a task remembers the ids; then it starts anew.
-WORDS_KEPT = 600_000
+WORDS_KEPT = 300_000
 
 
 #: Punctuation that may close a word; it stands apart from letters before it in ids as well.

@@ -14,7 +14,7 @@ from vecsink.operators.id_filter import FILTER_BITS, key_filter
 from vecsink.operators.id_filter import with_maybe as maybe_in
 
 #: Bytes of text that a task works on at once; a longer text is a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def shared_folder(spark: SparkSession) -> str:
