@@ -287,7 +287,10 @@ def plain_scan(text):
             hits = []
             for template, label in license_scan.TEMPLATES:
                 t = set(template.split())
-                if len(t & set(block)) >= np.ceil(license_scan.SHARE * len(t) - 1e-9):
+                others = [set(u.split()) for u, other in license_scan.TEMPLATES if other != label]
+                needed = np.ceil(license_scan.SHARE * len(t) - 1e-9)
+                told_apart = all(t - u <= set(block) for u in others if len(t & u) >= needed)
+                if len(t & set(block)) >= needed and told_apart:
                     hits.append((t, label, len(t & set(block)) / len(t)))
             for t, label, share in hits:
                 if not any(t < u for u, _, _ in hits):
@@ -314,6 +317,29 @@ def test_licences(spark, odd_documents, no_documents):
     assert license_scan.scan(no_documents).collect() == []
 
 
+def test_each_notice_has_its_own_label(spark):
+    """Notices as they are written, one word apart from each other."""
+    creative = "This work is licensed under a Creative Commons Attribution{} 4.0 International License."
+    texts = {
+        creative.format(""): ["cc-by"],
+        creative.format("-ShareAlike"): ["cc-by-sa"],
+        creative.format("-NonCommercial"): ["cc-by-nc"],
+        "Licensed under CC BY 4.0": ["cc-by"],
+        "Licensed under CC BY-SA 4.0": ["cc-by-sa"],
+        "Licensed under the GNU Lesser General Public License": ["gpl", "lgpl"],
+        "Licensed under the GNU Affero General Public License": ["agpl", "gpl"],
+        "Licensed under the GNU General Public License version 3": ["gpl"],
+        "Licensed under the BSD 3-Clause License.": ["bsd"],
+        "Licensed under the Mozilla Public License, version 2.0": ["mpl"],
+        "Licensed under the Apache License, Version 2.0": ["apache"],
+        # One word is missing, but not the one that tells.
+        "Licensed under a Creative Commons Attribution-ShareAlike 4 International License": ["cc-by-sa"],
+        "A Creative Commons attribution of the international commons, 4.0, license": [],
+    }
+    found = {r.doc_id: r.labels for r in license_scan.scan(docs_of(spark, list(texts))).collect()}
+    assert found == dict(enumerate(texts.values(), 1))
+
+
 def test_wrapped_notices(spark):
     head = "Some words before it.\n"
     texts = [

@@ -6,6 +6,7 @@ are counted in all documents and ordered from rare to frequent. A block that hol
 n words, k of them needed, has one of the template's n - k + 1 rarest words: this prefix is
 joined. Length and position of a common word bound what can be common; what remains is verified on whole sets.
 A template found in a block tells nothing where a larger one that holds all its words is found too.
+Where another label's notice alone would hold enough of a template's words, those by which the two differ must be there.
 """
 
 from __future__ import annotations
@@ -194,6 +195,9 @@ def scan(documents: DataFrame, templates=TEMPLATES, phrases=PHRASES, share: floa
     rows, prefix = [], {width: set() for width in sorted(set(widths))}
     for number, (label, words) in enumerate(sets):
         ranks = sorted(rank[w] for w in words)
+        # The one word that tells a notice from that of another label may not be the one that is missing.
+        alike = [set(other) for kind, other in sets if kind != label and len(set(words) & set(other)) >= _needed(len(ranks), share)]
+        must = sorted({rank[w] for other in alike for w in words if w not in other})
         larger = [k for k, (_, other) in enumerate(sets) if set(words) < set(other)]
         need = _needed(len(ranks), share)
         for place, word in enumerate(ranks[: len(ranks) - need + 1]):
@@ -201,7 +205,7 @@ def scan(documents: DataFrame, templates=TEMPLATES, phrases=PHRASES, share: floa
             for width in prefix:
                 if width >= widths[number]:
                     prefix[width].add(word)
-            rows.append((word, number, label, place, need, ranks, larger, widths[number]))
+            rows.append((word, number, label, place, need, ranks, larger, widths[number], must))
     narrow = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = dict(narrow.dtypes)["doc_id"]
     ranked = {width: sorted(words) for width, words in prefix.items()}
@@ -219,6 +223,7 @@ def scan(documents: DataFrame, templates=TEMPLATES, phrases=PHRASES, share: floa
     left = F.least(F.size("template") - F.col("place"), F.size("block") - F.col("at"))
     # A wider block than a template's own only serves to find it where its own block lies in it.
     holds = (F.col("width") <= F.col("block_width")) & (F.size("block") >= F.col("need")) & (left + F.least("place", "at") >= F.col("need")) & (common >= F.col("need"))
+    holds &= F.size(F.array_intersect("block", "must")) == F.size("must")
     hit = F.struct("line", "begin", "end", "number", "label", "larger", "width", "block_width", (common / F.size("template")).alias("share"))
     grouped = joined.groupBy("row_id").agg(*(F.first(c).alias(c) for c in kept), F.collect_set(F.when(holds, hit)).alias("hits"))
     beaten = lambda x: F.exists("hits", lambda y: ((y["line"] == x["line"]) | (y["width"] > x["width"]) & (y["begin"] <= x["begin"]) & (y["end"] >= x["end"])) & F.array_contains(x["larger"], y["number"]))
@@ -231,4 +236,4 @@ def scan(documents: DataFrame, templates=TEMPLATES, phrases=PHRASES, share: floa
 
 
 def _prefixes(spark: SparkSession, rows: list) -> DataFrame:
-    return spark.createDataFrame(rows, "word int, number int, label string, place int, need int, template array<int>, larger array<int>, width int")
+    return spark.createDataFrame(rows, "word int, number int, label string, place int, need int, template array<int>, larger array<int>, width int, must array<int>")
