@@ -26,7 +26,9 @@ from vecsink.llm.words import numbered_words
 
 LENGTH = 4096
 #: Words of which a task remembers the ids; then it starts anew.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 600_000
+#: Bytes of text whose distinct words are looked up at once.
+TEXT_BYTES = 2 << 20
 
 
 #: Punctuation that may close a word; it stands apart from letters before it in ids as well.
@@ -135,7 +137,7 @@ def _tokenized(batches: Iterator[pa.RecordBatch], path: str, end: int) -> Iterat
     coder = WordCoder(path, end)
     for batch in batches:
         texts, ids = text_column(batch), batch.column("doc_id")
-        for a, b in slices(texts):
+        for a, b in slices(texts, TEXT_BYTES):
             bodies = coder.encode(texts.slice(a, b - a))
             counts = pc.binary_length(bodies).to_numpy() // 4
             starts = before + np.cumsum(counts) - counts
