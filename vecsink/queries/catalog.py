@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from vecsink import fixtures
 from vecsink.functions import convert
 from vecsink.functions.convert import convert_column
-from vecsink.operators import batching, checks, decode, delivery, envelope, objects, variant_decode
+from vecsink.operators import batching, checks, decode, delivery, envelope, numbering, objects, offsets, variant_decode
 from vecsink.plans.object_plan import ObjectPlan, plan_objects
 from vecsink.plans.options import SinkOptions
 from vecsink.plans.variant_plan import plan_variant_objects
@@ -840,3 +840,58 @@ def variant_objects(spark, sf_dir):
 def decode_clashing_numbers(spark, sf_dir):
     """The same objects from one table with a column for each type of a field."""
     return _mixed_properties(objects.to_wire(plan_objects(fixtures.mixed_events(spark, sf_dir), fixtures.MIXED_SCHEMAS, SinkOptions.parse({"className": CLASS})).objects()))
+
+
+# --------------------------------------------------------------------------
+# Numbering by a sparse order, and offsets that are missing.
+
+# Ids made of a time and a counter; four of five events belong to one source.
+SQL_SPARSE = "((epoch_us(ts) // 1000) * 4194304 + event_id % 4194304)"
+
+
+@query(
+    f"""WITH s AS (SELECT event_id, CASE WHEN user_id % 5 = 0 THEN 'other' ELSE 'main' END AS source,
+    {SQL_SPARSE} AS snowflake FROM events),
+  p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY snowflake) - 1 AS pos FROM s)
+SELECT event_id, source, snowflake, CAST(pos AS BIGINT) AS position, CAST(floor(pos / {BATCH_SIZE}) AS BIGINT) AS batch_no FROM p"""
+)
+def assign_sparse_batches(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    millis = F.call_function("div", F.unix_micros(fixtures.instant(F.col("ts"))), F.lit(1000))
+    named = events.select(
+        "event_id",
+        F.when(F.col("user_id") % 5 == 0, "other").otherwise("main").alias("source"),
+        (millis * 4194304 + F.col("event_id") % 4194304).alias("snowflake"),
+    )
+    placed = numbering.with_sparse_position(named, ["source"], "snowflake", "position")
+    return placed.withColumn("batch_no", F.call_function("div", "position", F.lit(BATCH_SIZE)))
+
+
+# Offsets that are taken out: a tenth, some in rows and some alone.
+SQL_LOST = "(off % 100 BETWEEN 40 AND 46 OR off % 33 = 0)"
+
+
+@query(
+    f"""{K}, lost AS (SELECT part, off, off - row_number() OVER (PARTITION BY part ORDER BY off) AS island FROM k WHERE {SQL_LOST})
+SELECT 'events' AS topic, part AS "partition", CAST(min(off) AS BIGINT) AS first_offset, CAST(max(off) AS BIGINT) AS last_offset,
+  count(*) AS missing FROM lost GROUP BY part, island"""
+)
+def offset_gaps(spark, sf_dir):
+    records = fixtures.kafka_events(spark, sf_dir)
+    lost = (F.col("offset") % 100).between(40, 46) | (F.col("offset") % 33 == 0)
+    whole = records.groupBy("topic", "partition").agg(F.min("offset").alias("start"), (F.max("offset") + 1).alias("end"))
+    return offsets.offset_gaps(records.where(~lost), whole)
+
+
+@query(
+    f"""{K}, t AS (SELECT min(ts) + (max(ts) - min(ts)) / 2 AS half FROM events),
+  f AS (SELECT part, min(off) AS start FROM k, t WHERE ts >= half GROUP BY part)
+SELECT k.part AS "partition", CAST(k.off AS BIGINT) AS "offset", epoch_us(k.ts) AS timestamp_micros
+FROM k JOIN f ON k.part = f.part AND k.off >= f.start"""
+)
+def start_by_timestamp(spark, sf_dir):
+    records = fixtures.kafka_events(spark, sf_dir)
+    ends = records.agg(F.min("timestamp").alias("a"), F.max("timestamp").alias("b"))
+    half = ends.select((F.col("a") + (F.col("b") - F.col("a")) / 2).alias("half")).scalar()
+    later = offsets.start_at(records, half)
+    return later.select("partition", "offset", F.unix_micros("timestamp").alias("timestamp_micros"))
