@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from vecsink import fixtures
 from vecsink.functions import convert
 from vecsink.functions.convert import convert_column
-from vecsink.operators import batching, checks, decode, delivery, envelope, numbering, objects, offsets, variant_decode
+from vecsink.operators import batching, checks, compare_ranges, decode, delivery, envelope, numbering, objects, offsets, variant_decode
 from vecsink.plans.object_plan import ObjectPlan, plan_objects
 from vecsink.plans.options import SinkOptions
 from vecsink.plans.variant_plan import plan_variant_objects
@@ -895,3 +895,35 @@ def start_by_timestamp(spark, sf_dir):
     half = ends.select((F.col("a") + (F.col("b") - F.col("a")) / 2).alias("half")).scalar()
     later = offsets.start_at(records, half)
     return later.select("partition", "offset", F.unix_micros("timestamp").alias("timestamp_micros"))
+
+
+# --------------------------------------------------------------------------
+# What a damaged collection lacks, by range of offsets.
+
+SQL_FAULT = """CASE WHEN off % 211 BETWEEN 30 AND 37 THEN 'missing' WHEN off % 97 = 5 THEN 'doubled'
+  WHEN off % 89 BETWEEN 7 AND 8 THEN 'changed' END"""
+
+
+@query(
+    f"""{K}, f AS (SELECT part, off, {SQL_FAULT} AS fault FROM k),
+  i AS (SELECT *, off - row_number() OVER (PARTITION BY part, fault ORDER BY off) AS island FROM f WHERE fault IS NOT NULL)
+SELECT 'events' AS topic, part AS "partition", fault, CAST(min(off) AS BIGINT) AS first_offset,
+  CAST(max(off) AS BIGINT) AS last_offset FROM i GROUP BY part, fault, island"""
+)
+def reconcile_ranges(spark, sf_dir):
+    path = scratch_folder(spark, "ranges")
+    records = fixtures.kafka_events(spark, sf_dir)
+    write_kafka(records, {"className": CLASS, "path": path}, fixtures.SCHEMAS)
+    place = {"topic": "_kafka_topic", "partition": "_kafka_partition", "offset": "_kafka_offset"}
+    values = ["event_id", "user_id", "event_type", "value", "props"]
+
+    def placed(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(column).alias(name) for name, column in place.items()], *values)
+
+    stored = placed(_flat(collection.read_collection(spark, path, CLASS)))
+    at = F.col("offset")
+    missing, doubled = (at % 211).between(30, 37), at % 97 == 5
+    changed = F.when((at % 89).between(7, 8) & ~doubled, F.concat("event_type", F.lit("!"))).otherwise(F.col("event_type"))
+    damaged = stored.where(~missing).withColumn("event_type", changed)
+    damaged = damaged.unionByName(damaged.where(doubled))
+    return compare_ranges.differing_ranges(placed(_plan(records).rows()), damaged, values)
