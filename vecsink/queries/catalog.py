@@ -22,7 +22,7 @@ from vecsink.plans.object_plan import ObjectPlan, plan_objects
 from vecsink.plans.options import SinkOptions
 from vecsink.plans.variant_plan import plan_variant_objects
 from vecsink.sinks.writers import write_kafka
-from vecsink.sources import collection, kafka, registry, schema_lookup, target_class
+from vecsink.sources import collection, kafka, registry, schema_lookup, snapshots, target_class
 from vecsink.sources.scratch import scratch_folder
 from vecsink.streaming.runner import run_native_stream, run_stream
 
@@ -927,3 +927,23 @@ def reconcile_ranges(spark, sf_dir):
     damaged = stored.where(~missing).withColumn("event_type", changed)
     damaged = damaged.unionByName(damaged.where(doubled))
     return compare_ranges.differing_ranges(placed(_plan(records).rows()), damaged, values)
+
+
+# --------------------------------------------------------------------------
+# A collection that is compacted between batches.
+
+
+@query(
+    f"""{K}, r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY off % 3 DESC, off DESC) AS rn FROM k)
+SELECT '{CLASS}' AS class, CAST(user_id AS VARCHAR) AS id, event_id, event_type, CAST(off AS BIGINT) AS _kafka_offset FROM r WHERE rn = 1"""
+)
+def compacted_collection(spark, sf_dir):
+    path = scratch_folder(spark, "compacted")
+    records = fixtures.kafka_events(spark, sf_dir)
+    for turn in range(3):
+        options = {"className": CLASS, "path": path, "id": "user_id", "run": f"turn_{turn}"}
+        write_kafka(records.where(F.col("offset") % 3 == turn), options, fixtures.SCHEMAS, batch_id=turn)
+        if turn < 2:
+            snapshots.compact(spark, path, CLASS)
+    read = snapshots.read_compacted(spark, path, CLASS)
+    return read.select("class", "id", "properties.event_id", "properties.event_type", "properties._kafka_offset")

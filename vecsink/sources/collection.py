@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -88,6 +88,18 @@ def read_failures(spark: SparkSession, path: str, class_name: str) -> DataFrame:
     return stored.drop("outcome", REJECT)
 
 
+def write_order(stored: DataFrame) -> list[Column]:
+    """By what the last object of an id is told: the write, then the record position where objects carry one."""
+    order = [F.col("written_at"), F.col("batch_id")]
+    return order + [F.col(name) for name in ("topic", "partition", "offset") if name in stored.columns]
+
+
+def stored_batches(spark: SparkSession, path: str, class_name: str) -> DataFrame:
+    """The batches of a class, `(run, batch_id, written_at)`; reads no more than the time of writing."""
+    batch_folder(path, class_name, "any", 0)
+    return _stored(spark.read, path, class_name).select("run", "batch_id", "written_at").distinct()
+
+
 def read_collection(
     spark: SparkSession, path: str, class_name: str | None = None, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -97,13 +109,11 @@ def read_collection(
     occurs once stay where they are read; only those that may be repeated are shuffled whole.
     """
     stored = scan_collection(spark, path, class_name, schema)
-    order = [F.col("written_at"), F.col("batch_id")]
-    order += [F.col(name) for name in ("topic", "partition", "offset") if name in stored.columns]
     keys = ["class", "id"]
     repeated = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where("_rows > 1")
     told = with_maybe(stored, keys, key_filter(repeated, keys), "_maybe")
     once, more = told.where("NOT _maybe").drop("_maybe"), told.where("_maybe").drop("_maybe")
-    return once.unionByName(keep_last(more, keys, order))
+    return once.unionByName(keep_last(more, keys, write_order(more)))
 
 
 def stored_ids(spark: SparkSession, path: str, class_name: str | None = None) -> DataFrame:
