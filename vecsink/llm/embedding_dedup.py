@@ -2,12 +2,13 @@
 
 Each half of the unit vectors has a codebook of its own; a pair of codewords is a cell of a product
 grid. A vector is stored in its own cell. As a query it visits cells in the order of the sum of
-its halves' squared distances to the codewords (multi-sequence order), as many as reached the target recall on a
-sample. There it is compared with all stored vectors in double precision. Cells of many
+its halves' squared distances to the codewords (multi-sequence order), as many as reach the target recall on the links of
+sampled queries to all vectors. There it is compared with all stored vectors in double precision. Cells of many
 vectors are compared in blocks, which give numbers of links and spanning links, not all links.
 
-Only the codebooks and the number of visits are fitted on a bounded sample; all vectors are indexed. Equal
-vectors are one class with a weight.
+Only the codebooks and the number of visits are fitted on a bounded sample; all vectors are indexed. Where even the
+whole sample has fewer links than ENOUGH_LINKS, a sixteenth of the cells is visited at least. Equal vectors are one class
+with a weight.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ SAMPLE = 8192
 #: Vectors of a cell on average, codewords of a half at most, vectors compared at once.
 CELL_SIZE, MOST_WORDS, BLOCK = 64, 256, 1024
 TARGET_RECALL = 0.999
+#: Sampled queries that are compared with all vectors, one number after the other until so many links are known;
+#: cells that are visited at least.
+QUERIES_ASKED, ENOUGH_LINKS, LEAST_VISITS = (512, 2048, SAMPLE), 1000, 4
 
 
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,28 +114,61 @@ class Index:
         return at, i[at, which] * two.shape[1] + j[at, which], reach
 
 
-def fit(sample: np.ndarray, total: int, threshold: float) -> Index:
-    """Codebooks for so many vectors, and the visits that found the sample's own links."""
+def fit(sample: np.ndarray, total: int) -> Index:
+    """Codebooks for a table of so many vectors."""
     count = max(1, min(MOST_WORDS, len(sample), round((total / CELL_SIZE) ** 0.5)))
-    index = Index(sample.shape[1], tuple(_codebook(h, count) for h in _halves(sample, sample.shape[1])))
-    cell, one, two = index.cells(sample)
-    ranks = []
-    for a in range(0, len(sample), 512):
-        near = sample[a : a + 512] @ sample.T >= threshold
-        q, s = np.nonzero(near)
-        q += a
-        q, s = q[q != s], s[q != s]
-        if len(q):
-            sums = one[q][:, :, None] + two[q][:, None, :]
-            own = one[q, cell[s] // count] + two[q, cell[s] % count]
-            ranks.append((sums < own[:, None, None]).sum((1, 2)) + 1)
-            if sum(map(len, ranks)) > 20_000:
-                break
-    # Too few links to tell: visit a sixteenth of the cells.
-    known = np.concatenate(ranks) if ranks else np.zeros(0)
-    visits = int(np.quantile(known, TARGET_RECALL)) + 1 if len(known) >= 100 else count * count // 16 + 1
-    index.visits = min(count * count, max(4, visits))
-    return index
+    return Index(sample.shape[1], tuple(_codebook(h, count) for h in _halves(sample, sample.shape[1])))
+
+
+def _ranks(batches: Iterator[pa.RecordBatch], index: Index, queries: np.ndarray, query_ids: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
+    """Links between queries and stored vectors by the visit that finds them: `rank` (from 1) and their number."""
+    _, one, two = index.cells(queries)
+    width = len(index.words[1])
+    known: dict[tuple[int, int], int] = {}
+    many = np.zeros(len(index.words[0]) * width + 1, dtype=np.int64)
+    for whole in batches:
+        for a in range(0, whole.num_rows, BLOCK):
+            part = whole.slice(a, BLOCK)
+            x = unit(part.column("body").to_pylist(), index.size)
+            q, s = np.nonzero((queries @ x.T >= threshold) & (query_ids[:, None] != part.column("id").to_numpy()[None, :]))
+            pairs, links = np.unique(np.stack([q, index.cells(x)[0][s]], axis=1), axis=0, return_counts=True)
+            for (query, cell), n in zip(pairs.tolist(), links.tolist(), strict=True):
+                if (query, cell) not in known:
+                    own = one[query, cell // width] + two[query, cell % width]
+                    known[query, cell] = int((one[query][:, None] + two[query][None, :] < own).sum()) + 1
+                many[known[query, cell]] += n
+    used = np.flatnonzero(many)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(many[used])], ["rank", "links"])
+
+
+def visits_for(index: Index, ranks: np.ndarray, links: np.ndarray) -> int:
+    """Visits that find the target recall of known links, given as numbers of links by rank."""
+    cells = len(index.words[0]) * len(index.words[1])
+    order = np.argsort(ranks)
+    found = np.cumsum(links[order])
+    if not len(found):
+        return min(cells, max(LEAST_VISITS, cells // 16 + 1))
+    reached = int(ranks[order][np.searchsorted(found, TARGET_RECALL * found[-1])]) + 1
+    # So few links tell of themselves only: what they need is a lower bound.
+    least = LEAST_VISITS if found[-1] >= ENOUGH_LINKS else max(LEAST_VISITS, cells // 16 + 1)
+    return min(cells, max(least, reached))
+
+
+def fit_visits(index: Index, classes: DataFrame, sample: np.ndarray, ids: np.ndarray, threshold: float) -> None:
+    """Set the visits from links of sampled queries to all vectors.
+
+    Queries are added until enough links are known or the whole sample was asked. Only numbers of links by
+    rank come back, at most one for each cell.
+    """
+    same = classes.where(F.col("size") == index.size).select("id", "body")
+    for asked in QUERIES_ASKED:
+        queries, query_ids = sample[:asked], ids[:asked]
+        found = same.mapInArrow(lambda it: _ranks(it, index, queries, query_ids, threshold), "rank long, links long")  # noqa: B023
+        known = found.groupBy("rank").agg(F.sum("links").alias("links")).toArrow()
+        ranks, links = known.column("rank").to_numpy(), known.column("links").to_numpy()
+        if links.sum() >= ENOUGH_LINKS or asked >= len(sample):
+            break
+    index.visits = visits_for(index, ranks, links)
 
 
 def _dealt(batches: Iterator[pa.RecordBatch], index: Index) -> Iterator[pa.RecordBatch]:
@@ -204,8 +241,10 @@ def near_vectors(embeddings: DataFrame, threshold: float = 0.9) -> DataFrame:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     sizes = drawn.column("size").to_numpy()
     common = int(np.bincount(sizes).argmax())
-    bodies = [b for b, size in zip(drawn.column("body").to_pylist(), sizes.tolist(), strict=True) if size == common]
-    index = fit(unit(bodies, common), total, threshold)
+    drawn = drawn.filter(pa.array(sizes == common))
+    sample = unit(drawn.column("body").to_pylist(), common)
+    index = fit(sample, total)
+    fit_visits(index, classes, sample, drawn.column("id").to_numpy(), threshold)
     dealt = classes.mapInArrow(lambda it: _dealt(it, index), "id long, size int, weight long, body binary, cell int, query boolean, own_cell int, reach double")
     dealt = stored(dealt, "cells")
     # Blocks of each cell; the grid has at most MOST_WORDS ** 2 cells of each vector length.
