@@ -24,8 +24,8 @@ from vecsink.llm.words import ALNUM_LOWER, U64, find_words, mix, text_of_each
 
 #: Labelled texts that the model is fitted on, those of the smallest hashed doc_id.
 TRAINING_TEXTS = 20_000
-#: Swapped copies of a text at most; features kept at most, and deviations by which their labels differ at least.
-MOST_SWAPS, MOST_FEATURES, LEAST_APART = 4, 30_000, 3.0
+#: Deviations by which the labels of texts with a feature differ at least from those of all.
+LEAST_APART = 3.0
 SLOT_BITS = 20
 BEGINNINGS = (4, 5, 6, 7, 8, 10)
 SWAP_WEIGHT, SHRINK = 1.0, 1e-3
@@ -87,7 +87,7 @@ def _swapped(words, terms: dict) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
     owner = text_of_each(words.first)[at]
     for text, term in sorted(set(zip(owner.tolist(), words.hashes[at].tolist(), strict=True))):
         own, *others = terms[term]
-        for _, slots in others[:MOST_SWAPS]:
+        for _, slots in others:
             yield text, own[1], slots
 
 
@@ -195,7 +195,7 @@ def train(documents: DataFrame, labels: DataFrame, terms=IDENTITY_TERMS, sample:
     seen = F.col("clean") + F.col("toxic")
     apart = F.abs(F.col("toxic") - seen * share) / F.sqrt(seen * F.lit(share * (1 - share) + 1e-9))
     group_slots = sorted({int(s) for others in _term_slots(terms).values() for _, slots in others for s in slots})
-    chosen = counts.where(seen >= 2).withColumn("apart", apart).where(F.col("apart") >= LEAST_APART).orderBy(F.desc("apart"), "slot").limit(MOST_FEATURES).select("slot").toArrow()
+    chosen = counts.where(seen >= 2).withColumn("apart", apart).where(F.col("apart") >= LEAST_APART).select("slot").toArrow()
     present = counts.where(F.col("slot").isin(group_slots)).select("slot").toArrow() if group_slots else chosen
     kept = np.unique(np.concatenate([chosen.column("slot").to_numpy(), present.column("slot").to_numpy(), np.array(group_slots, dtype=np.int64)]))
     slots = _term_slots(terms)
