@@ -6,6 +6,7 @@ be compared by value; binary and nested columns are taken apart first.
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 from collections.abc import Callable
 
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from vecsink import fixtures
 from vecsink.functions import convert
 from vecsink.functions.convert import convert_column
-from vecsink.operators import batching, checks, compare_ranges, decode, delivery, envelope, numbering, objects, offsets, variant_decode
+from vecsink.operators import batching, checks, compare_ranges, decode, delivery, envelope, numbering, objects, offsets, rounds, variant_decode
 from vecsink.plans.object_plan import ObjectPlan, plan_objects
 from vecsink.plans.options import SinkOptions
 from vecsink.plans.variant_plan import plan_variant_objects
@@ -947,3 +948,26 @@ def compacted_collection(spark, sf_dir):
             snapshots.compact(spark, path, CLASS)
     read = snapshots.read_compacted(spark, path, CLASS)
     return read.select("class", "id", "properties.event_id", "properties.event_type", "properties._kafka_offset")
+
+
+# --------------------------------------------------------------------------
+# Retries in rounds. Seconds at which the rounds run; two of them have nothing that is due.
+
+ROUNDS_AT = (0, 1, 2, 4, 6)
+
+
+@query(
+    f"""{K} SELECT {SQL_ID} AS id, CASE event_id % 4 WHEN 0 THEN 0 WHEN 1 THEN 2 ELSE 4 END AS round,
+  CAST(least(event_id % 4 + 1, {RETRIES + 1}) AS INTEGER) AS attempt,
+  CASE WHEN event_id % 4 <= {RETRIES} THEN 'sent' ELSE 'failed' END AS status,
+  CASE WHEN event_id % 4 > {RETRIES} THEN 'refused at attempt {RETRIES + 1}' END AS error FROM k"""
+)
+def retry_rounds(spark, sf_dir):
+    folder = scratch_folder(spark, "rounds")
+    how = delivery.Delivery(batch_size=BATCH_SIZE, retries=RETRIES, backoff=2.0)
+    start = dt.datetime(2024, 1, 1, tzinfo=dt.UTC)
+    built = _plan(fixtures.kafka_events(spark, sf_dir)).objects()
+    for number, seconds in enumerate(ROUNDS_AT):
+        now = start + dt.timedelta(seconds=seconds)
+        rounds.run_round(spark, folder, number, flaky_transport, how, now, None if number else built)
+    return rounds.read_rounds(spark, folder, len(ROUNDS_AT) - 1).select("id", "round", "attempt", "status", "error")
