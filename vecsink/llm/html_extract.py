@@ -5,8 +5,13 @@ text length and punctuation of all its blocks are summed and set against the num
 article paragraphs share a path with much text and punctuation, menus one with little. Both ratios
 are smoothed over neighbouring blocks, multiplied, and cut at a share of their standard
 deviation. What is above votes for the content element: the innermost one that holds nearly
-all of that text. Its blocks are the main text, but for links and what elements or class names mark
-as menus, headers, footers, sidebars, notices, adverts, forms or reader comments.
+all of that text. Its blocks are the main text, but for links and what elements mark as menus,
+headers, footers, sidebars, notices, adverts, forms or reader comments.
+
+Class names and ids that sound like such parts lower the score of a block: within the content
+element it stays if it still reaches the cut. An id within an article, or a name on a heading, says nothing,
+since generators make ids from headings. Such blocks don't vote. Elements are numbered as they begin and know their parent, so
+that all that concerns an element's inside is summed in one pass, and time grows in line with the page.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +28,14 @@ from pyspark.sql import functions as F
 
 #: Share of the standard deviation that content reaches, of that text in the content element, of links in a block at most.
 CUT, INSIDE, LINKED = 0.5, 0.9, 0.6
+#: What is left of the score of a block whose class or id sounds like something else than main text.
+NAMED_SHARE = 0.25
 
 # Elements by their role in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template textarea title iframe svg math object select button option audio video canvas xmp noframes".split())
+RAW = frozenset("script style noscript textarea title iframe xmp noframes".split())
+#: What they hold is no text of the page; they stand within a block and do not end it.
+SILENT = frozenset("template svg math object select button option audio video canvas".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big center cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 DROPPED = frozenset("nav footer aside form menu dialog header fieldset".split())
 #: Elements that end where another one begins.
@@ -37,7 +47,10 @@ ENDS = {
     "td": frozenset({"td", "th"}),
     "th": frozenset({"td", "th"}),
 }
+#: Elements beyond which none is ended so.
+HOLDERS = frozenset({"ul", "ol", "dl", "table", "menu"})
 HEADINGS = frozenset({"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"})
+ARTICLES = frozenset({"article", "main"})
 MARKED = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|alert|nav|navbar|navigation|menu|breadcrumbs?|sidebar|side|"
     r"foot|footer|masthead|site-header|page-header|topbar|comments?|comment-\w+|replies|reply|respond|disqus|discussion|share|sharing|social|related|recommend\w*|"
@@ -46,132 +59,216 @@ MARKED = re.compile(
 )
 #: Class names that tell what a page has beside or in an element, not what the element is.
 STATES = re.compile(r"(?:^|(?<=[\s_-]))(?:with|without|no|has|is|not)[_-][a-z]+", re.I)
-#: Readers' comments are no main text, however long.
+#: Readers' comments are no main text, however long: by class, and by ids that are no heading's.
 REPLIES = re.compile(r"(?:^|[\s_-])(?:comments?|comment-\w+|replies|reply|respond|disqus|discussion)(?:$|[\s_-])", re.I)
+THREADS = re.compile(r"\s*(?:comments?(?:[-_]?(?:list|section|area|thread|\d+))?|replies|respond|disqus(?:[-_]thread)?)\s*", re.I)
 #: Share of a page's text from which an element is content in spite of its class or id.
 MOST = 0.5
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+# A quote counts after an equals sign only.
+_REST = re.compile(r"""((?:[^>=]++|=\s*+(?:"[^"]*"|'[^']*'|(?!["'])))*+)>""")
+_ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _STOPS = re.compile(r"[.,;:!?、。，：；！？]")
-
-
-class _Block:
-    __slots__ = ("linked", "marks", "path", "text")
-
-    def __init__(self, path, text, linked, marks):
-        self.path, self.text, self.linked, self.marks = path, text, linked, marks
-
-    def within(self, number: int) -> bool:
-        return any(n == number for _, n in self.path)
-
-    def in_article(self) -> bool:
-        return any(tag in ("article", "main") for tag, _ in self.path)
-
+_ZEROS, _BEYOND = re.compile(r"&#0+(?=[0-9])"), re.compile(r"&#[0-9]{8,};?")
 
 SURE, REPLY, NAMED = 3, 2, 1
 
 
-def _marked(tag: str, attributes: str) -> int:
-    """How an element is marked as no main text: surely by its name or role, or by class or id; 0 if not."""
-    if tag in DROPPED:
+def _mark(tag: str, attributes: str, in_article: bool) -> int:
+    """How an element is marked as no main text: surely by its name or role, as readers' comments, or by class or id; 0 if not."""
+    if tag in SILENT or tag in RAW or tag in DROPPED and not (tag == "header" and in_article):
         return SURE
-    if not attributes:
-        return 0
     mark = 0
     for name, *values in _ATTRIBUTE.findall(attributes):
-        value, name = "".join(values), name.lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value.lower() in ROLES:
+        name = name.lower()
+        if name not in ("class", "id", "role", "hidden", "aria-hidden"):
+            continue
+        value = "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
             return SURE
-        if name in ("class", "id") and tag not in ("article", "main"):
-            value = STATES.sub(" ", value)
-            if MARKED.search(value):
-                mark = max(mark, REPLY if REPLIES.search(value) else NAMED)
+        if name in ("class", "id") and tag not in ARTICLES and tag not in HEADINGS:
+            replies = REPLIES.search(STATES.sub(" ", value)) if name == "class" else THREADS.fullmatch(value)
+            if replies:
+                mark = REPLY
+            elif not (name == "id" and in_article) and MARKED.search(STATES.sub(" ", value)):
+                mark = max(mark, NAMED)
     return mark
 
 
-def blocks(page: str) -> list[_Block]:
-    """Blocks of a page that no element surely marks as something else, in page order.
+def _decoded(text: str) -> str:
+    """Text with character references replaced, white space as one space, trimmed."""
+    if "&" in text:
+        text = html.unescape(_BEYOND.sub("\ufffd", _ZEROS.sub("&#", text)))
+    return " ".join(text.split())
+
 
-    Each has the elements around it that class or id mark, and how.
+class Page:
+    """Elements of a page in the order in which they begin, and its blocks of text in page order.
+
+    Element 0 is the root. Of each element: tag, parent, number of its path of tags, mark, and whether it is or lies in
+    an article or main. Of each block: element, text, and how many characters are link text. What an element
+    surely marks as something else has no blocks.
     """
-    out: list[_Block] = []
-    stack: list[tuple[str, int, int]] = []  # tag, number of the element, its mark
-    buffer: list[str] = []
-    linked, in_link, marked, number, at, end = 0, 0, 0, 0, 0, len(page)
-
-    def say(text: str) -> None:
-        nonlocal linked
-        if marked == 0 and text:
-            buffer.append(text)
-            if in_link:
-                linked += len("".join(text.split()))
-
-    def close() -> None:
-        nonlocal linked, buffer
-        if buffer:
-            text = " ".join(html.unescape("".join(buffer)).split())
-            if text:
-                out.append(_Block(tuple((tag, n) for tag, n, _ in stack), text, linked, tuple((n, m) for _, n, m in stack if m)))
-        buffer, linked = [], 0
-
-    def pop(count: int) -> None:
-        nonlocal marked
-        close()
-        for _ in range(count):
-            marked -= stack.pop()[2] == SURE
-
-    while at < end:
-        match = _TOKEN.search(page, at)
-        if match is None:
-            say(page[at:])
-            break
-        say(page[at : match.start()])
-        at = match.end()
-        tag = match[2]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if match[1]:
-            if tag == "a":
-                in_link = max(0, in_link - 1)
-            if tag in INLINE or tag in VOID:
-                continue
-            depth = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag), None)
-            if depth is not None:
-                pop(len(stack) - depth)
-            else:
-                close()
-            continue
+
+    def __init__(self, page: str):
+        self.tags, self.parents, self.paths, self.marks, self.article = [""], [0], [0], [0], [False]
+        self.at, self.texts, self.linked = [], [], []
+        self._names: dict[tuple[int, str], int] = {}
+        self._stack = [0]
+        self._open: dict[str, int] = {}
+        self._stops: list[int] = []  # depths of open elements that end others or keep them from being ended
+        self._buffer: list[str] = []
+        self._sure, self._link, self._link_size = 0, 0, 0
+        self._read(page)
+
+    def _say(self, text: str) -> None:
+        if text and not self._sure:
+            self._buffer.append(text)
+            if self._link:
+                self._link_size += len(_decoded(text))
+
+    def _close(self) -> None:
+        if self._sure or not self._buffer:
+            return
+        text = _decoded("".join(self._buffer))
+        if text:
+            self.at.append(self._stack[-1])
+            self.texts.append(text)
+            self.linked.append(self._link_size)
+        self._buffer, self._link_size = [], 0
+
+    def _push(self, tag: str, attributes: str) -> None:
+        above = self._stack[-1]
+        in_article = self.article[above]
+        # The root of a page is never marked.
+        mark = 0 if tag in ("html", "body") else _mark(tag, attributes, in_article)
+        if tag not in SILENT and tag not in RAW:
+            self._close()
+        if tag in ENDS or tag in HOLDERS:
+            self._stops.append(len(self._stack))
+        path = (self.paths[above], tag)
+        self._stack.append(len(self.tags))
+        self.tags.append(tag)
+        self.parents.append(above)
+        self.paths.append(self._names.setdefault(path, len(self._names) + 1))
+        self.marks.append(mark)
+        self.article.append(in_article or tag in ARTICLES)
+        self._open[tag] = self._open.get(tag, 0) + 1
+        self._sure += mark == SURE
+
+    def _pop_to(self, depth: int) -> None:
+        """End the elements from this depth on. A link ends with the element that it began in."""
+        while len(self._stack) > depth:
+            self._close()
+            number = self._stack.pop()
+            self._open[self.tags[number]] -= 1
+            self._sure -= self.marks[number] == SURE
+            if self._stops and self._stops[-1] == len(self._stack):
+                self._stops.pop()
+            if self._link > len(self._stack):
+                self._link = 0
+
+    def _ended(self, tag: str) -> None:
+        if tag == "a":
+            self._link = 0
+        if tag in INLINE or tag in VOID:
+            return
+        if self._open.get(tag):
+            depth = len(self._stack) - 1
+            while self.tags[self._stack[depth]] != tag:
+                depth -= 1
+            self._pop_to(depth)
+        else:
+            self._close()
+
+    def _begun(self, tag: str, attributes: str) -> None:
         if tag in VOID:
-            if tag in ("br", "hr", "wbr"):
-                say(" " if tag != "wbr" else "")
-            continue
-        if tag in RAW:
-            closing = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = closing.end() if closing else (end if not match[3].rstrip().endswith("/") else at)
-            continue
+            if tag in ("br", "hr"):
+                self._say(" ")
+            return
         if tag in INLINE:
-            in_link += tag == "a"
-            continue
-        if stack and stack[-1][0] == "p":
-            pop(1)
+            if tag == "a" and re.search(r"\bhref\b", attributes, re.I):
+                self._link = len(self._stack)
+            return
+        if tag not in SILENT and tag not in RAW and self.tags[self._stack[-1]] == "p":
+            self._pop_to(len(self._stack) - 1)
         if tag in ENDS:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] in ENDS[tag]:
-                    pop(len(stack) - k)
+            for depth in reversed(self._stops):
+                if self.tags[self._stack[depth]] in ENDS[tag]:
+                    self._pop_to(depth)
                     break
-                if stack[k][0] in ("ul", "ol", "dl", "table", "menu"):
+                if self.tags[self._stack[depth]] in HOLDERS:
                     break
-        if not match[3].rstrip().endswith("/"):
-            close()
-            number += 1
-            # A heading's own header element within an article is part of the article.
-            mark = 0 if tag in ("html", "body") or tag == "header" and any(t in ("article", "main") for t, _, _ in stack) else _marked(tag, match[3])
-            stack.append((tag, number, mark))
-            marked += mark == SURE
-    close()
-    return out
+        if not attributes.rstrip().endswith("/"):
+            self._push(tag, attributes)
+
+    def _read(self, page: str) -> None:
+        """Read a page. Each search for an end moves on or, once it finds nothing, is not made again."""
+        at, quotes, endless = 0, True, set()
+        while True:
+            begin = page.find("<", at)
+            end = page.find(">", begin) if begin >= 0 else -1
+            if end < 0:
+                # No tag ends any more; a comment without end reaches to the end of the page.
+                comment = page.find("<!--", at)
+                self._say(page[at:] if comment < 0 else page[at:comment])
+                break
+            self._say(page[at:begin])
+            if page.startswith("<!--", begin):
+                end = page.find("-->", begin + 4)
+                if end < 0:
+                    break
+                at = end + 3
+                continue
+            if page[begin + 1] in "!?":
+                at = end + 1
+                continue
+            name = _NAME.match(page, begin + 1, end)
+            if name is None:
+                self._say("<")
+                at = begin + 1
+                continue
+            rest = _REST.match(page, name.end()) if quotes and end > name.end() else None
+            if rest is None:
+                # A quote without end: from here on tags end at the next ">", whatever is quoted.
+                quotes = quotes and end == name.end()
+                attributes, at = page[name.end() : end], end + 1
+            else:
+                attributes, at = rest[1], rest.end()
+            tag = name[2].lower()
+            if name[1]:
+                self._ended(tag)
+                continue
+            if tag in RAW and tag not in endless and not attributes.rstrip().endswith("/"):
+                closing = re.compile(rf"</{tag}\s*+>", re.I).search(page, at)
+                if closing:
+                    at = closing.end()
+                    continue
+                endless.add(tag)  # It ends with its parent.
+            self._begun(tag, attributes)
+        self._pop_to(1)
+        self._close()
+
+    def summed(self, values: list[int] | np.ndarray) -> list[int]:
+        """Of each element, the sum of values of the blocks within it."""
+        sums = [0] * len(self.tags)
+        for at, value in zip(self.at, values, strict=True):
+            sums[at] += int(value)
+        for number in range(len(sums) - 1, 0, -1):
+            sums[self.parents[number]] += sums[number]
+        return sums
+
+    def last(self) -> list[int]:
+        """Of each element, the last element within it, which may be itself."""
+        last = list(range(len(self.tags)))
+        for number in range(len(last) - 1, 0, -1):
+            last[self.parents[number]] = max(last[self.parents[number]], last[number])
+        return last
+
+    def keep(self, kept: list[bool]) -> None:
+        """Keep some of the blocks."""
+        self.at, self.texts, self.linked = ([x for x, k in zip(xs, kept, strict=True) if k] for xs in (self.at, self.texts, self.linked))
 
 
 def _smooth(values: np.ndarray) -> np.ndarray:
@@ -180,96 +277,114 @@ def _smooth(values: np.ndarray) -> np.ndarray:
     return 0.25 * padded[:-2] + 0.5 * padded[1:-1] + 0.25 * padded[2:]
 
 
-def scores(found: list[_Block]) -> np.ndarray:
-    """Fused path ratio of each block."""
-    tags = [tuple(tag for tag, _ in b.path) for b in found]
-    names = {path: k for k, path in enumerate(dict.fromkeys(tags))}
-    path = np.array([names[t] for t in tags])
-    length = np.array([max(0, len(b.text) - b.linked) for b in found], dtype=np.float64)
-    stops = np.array([len(_STOPS.findall(b.text)) for b in found], dtype=np.float64)
+def scores(paths: list[int], texts: list[str], linked: list[int], named: list[bool]) -> np.ndarray:
+    """Fused path ratio of each block, lowered where a class or id sounds like something else."""
+    path = np.unique(np.array(paths), return_inverse=True)[1]
+    length = np.array([max(0, len(t) - k) for t, k in zip(texts, linked, strict=True)], dtype=np.float64)
+    stops = np.array([len(_STOPS.findall(t)) for t in texts], dtype=np.float64)
     many = np.bincount(path)
     text_ratio, stop_ratio = (np.bincount(path, weights=x) / many for x in (length, stops))
     # Each block counts by its path and by itself.
     text, stop = np.sqrt(text_ratio[path] * length), np.sqrt(stop_ratio[path] * stops)
-    return _smooth(text) * (1 + _smooth(stop))
+    return _smooth(text) * (1 + _smooth(stop)) * np.where(named, NAMED_SHARE, 1.0)
 
 
-def _unmarked(found: list[_Block]) -> list[_Block]:
-    """Blocks outside of elements that class or id mark.
+def _named(page: Page) -> list[bool]:
+    """Drop readers' comments; of each block left, whether a class or id sounds like something else.
 
-    A mark does not count on an element that an article or main lies in, nor, but for readers' comments, on
-    one that holds most of the text. If nothing is left, no mark counts.
+    A name does not count on an element that an article or main lies in, nor on one that holds most of the
+    text. If only comments are there, or most of the text would be named, no name counts.
     """
-    held: dict[int, int] = {}
-    around: set[int] = set()
-    for block in found:
-        article = max((k for k, (tag, _) in enumerate(block.path) if tag in ("article", "main")), default=0)
-        around.update(n for _, n in block.path[:article])
-        for number, _ in block.marks:
-            held[number] = held.get(number, 0) + len(block.text) - block.linked
-    total = sum(len(b.text) - b.linked for b in found)
-    free = lambda number, mark: mark == NAMED and held[number] >= MOST * total or mark == NAMED and number in around
-    return [b for b in found if all(free(n, mark) for n, mark in b.marks)] or found
-
-
-def _climbed(found: list[_Block], good: list[bool], content: int, inside: list[_Block]) -> int:
-    """The article or main that content lies in, or its outermost parent that adds mostly content.
-
-    What a parent adds is content if it votes, is on a path of votes or is a heading.
+    own = [max(0, len(t) - k) for t, k in zip(page.texts, page.linked, strict=True)]
+    held, total = page.summed(own), sum(own)
+    blocks_in = page.summed([1] * len(own))
+    around = [False] * len(page.tags)
+    for number in range(len(page.tags) - 1, 0, -1):
+        above = page.parents[number]
+        around[above] = around[above] or around[number] or page.tags[number] in ARTICLES and blocks_in[number] > 0
+    marks = [0] * len(page.tags)
+    for number in range(1, len(marks)):
+        mark = page.marks[number]
+        if mark == NAMED and (around[number] or held[number] >= MOST * total):
+            mark = 0
+        marks[number] = max(mark, marks[page.parents[number]])
+    kept = [marks[at] < REPLY for at in page.at]
+    if not any(kept):
+        return [False] * len(kept)
+    page.keep(kept)
+    named = [marks[at] == NAMED for at in page.at]
+    own = [max(0, len(t) - k) for t, k in zip(page.texts, page.linked, strict=True)]
+    if sum(size for size, n in zip(own, named, strict=True) if n) >= MOST * sum(own):
+        named = [False] * len(named)
+    return named
+
+
+def _content(page: Page, kept: list[bool], good: list[bool]) -> int:
+    """The content element: 0 if the whole page is.
+
+    It is the innermost one with nearly all text that votes (good); if that is one block, its parent; then the article
+    or main that it lies in, or its outermost parent that adds mostly content: blocks that vote, are on a path of votes
+    or are headings.
     """
-    path = inside[0].path
-    at = next((k for k, (_, n) in enumerate(path) if n == content), len(path) - 1)
+    sizes = [len(t) for t in page.texts]
+    voted = page.summed([s if g else 0 for s, g in zip(sizes, good, strict=True)])
+    # An element with nearly all of the text has only one child that can have it too.
+    content = max(n for n, size in enumerate(voted) if size >= INSIDE * voted[0])
+    if page.summed(kept)[content] == 1 and page.parents[content]:
+        content = page.parents[content]
+    chain = [content]
+    while chain[-1]:
+        chain.append(page.parents[chain[-1]])
     for wanted in ("article", "main"):
-        for tag, number in reversed(path[: at + 1]):
-            if tag == wanted:
+        for number in chain:
+            if page.tags[number] == wanted:
                 return number
-    tags = lambda block: tuple(tag for tag, _ in block.path)
-    paths = {tags(b) for b, vote in zip(found, good, strict=True) if vote}
-    for tag, number in reversed(path[:at]):
-        if tag in ("html", "body"):
-            break
-        added = [b for b in found if b.within(number) and not b.within(content)]
-        like = sum(len(b.text) for b in added if tags(b) in paths or any(t in HEADINGS for t, _ in b.path))
-        if 2 * like < sum(len(b.text) for b in added):
-            break
-        content = number
+    heading = [False] * len(page.tags)
+    for number in range(1, len(heading)):
+        heading[number] = heading[page.parents[number]] or page.tags[number] in HEADINGS
+    paths = {page.paths[at] for at, g in zip(page.at, good, strict=True) if g}
+    every = page.summed([s if k else 0 for s, k in zip(sizes, kept, strict=True)])
+    like = page.summed([s if k and (page.paths[at] in paths or heading[at]) else 0 for s, k, at in zip(sizes, kept, page.at, strict=True)])
+    for inner, outer in pairwise(chain):
+        if page.tags[outer] in ("", "html", "body") or 2 * (like[outer] - like[inner]) < every[outer] - every[inner]:
+            return inner
     return content
 
 
-def main_text(page: str | None) -> str:
+def main_text(text: str | None) -> str:
     """The main text of one page; empty if there is none."""
-    every = _unmarked(blocks(page)) if page else []
-    if not every:
+    page = Page(text or "")
+    if not page.texts:
         return ""
-    found = [b for b in every if b.linked < LINKED * len(b.text)] or [b for b in every if b.in_article()]
-    if not found:
+    named = _named(page)
+    link = [k >= LINKED * len(t) for t, k in zip(page.texts, page.linked, strict=True)]
+    kept = [not x for x in link]
+    if not any(kept):
+        kept = [page.article[at] for at in page.at]
+    if not any(kept):
         return ""
-    score = scores(found)
-    good = score >= CUT * score.std()
-    if not good.any():
-        good[:] = True
-    voted: dict[int, int] = {}
-    for block, vote in zip(found, good.tolist(), strict=True):
-        if vote:
-            for _, number in block.path:
-                voted[number] = voted.get(number, 0) + len(block.text)
-    total = sum(len(b.text) for b, vote in zip(found, good.tolist(), strict=True) if vote)
-    # Elements are numbered as they begin, so of nested ones the innermost has the largest number.
-    content = max((n for n, size in voted.items() if size >= INSIDE * total), default=0)
-    inside = [b for b in found if not content or b.within(content)]
-    if len(inside) == 1 and len(inside[0].path) > 1:
-        # One paragraph holds nearly all: its headings stand beside it.
-        content = inside[0].path[-2][1]
-    if content:
-        content = _climbed(found, good.tolist(), content, inside)
+    paths = [page.paths[at] for at in page.at]
+    score = scores(*([x for x, k in zip(xs, kept, strict=True) if k] for xs in (paths, page.texts, page.linked, named)))
+    votes = score >= CUT * score.std()
+    if not votes.any():
+        votes[:] = True
+    told = iter(votes.tolist())
+    good = [next(told) if k else False for k in kept]
+    # What is named as something else has no say in where the content is.
+    voters = [g and not n for g, n in zip(good, named, strict=True)]
+    if not any(voters):
+        voters = [k and not n for k, n in zip(kept, named, strict=True)]
+    content = _content(page, kept, voters if any(voters) else kept)
+    last = page.last()[content]
     # Links of a menu lie on a path of links; an article's own blocks of links are part of it.
-    text, linked = {}, {}
-    for b in every:
-        tags = tuple(tag for tag, _ in b.path)
-        text[tags], linked[tags] = text.get(tags, 0) + len(b.text), linked.get(tags, 0) + b.linked
-    whole = {tags for tags in text if linked[tags] < LINKED * text[tags]}
-    kept = [b for b in every if (not content or b.within(content)) and (b.in_article() or b.linked < LINKED * len(b.text) or tuple(tag for tag, _ in b.path) in whole)]
-    return "\n\n".join(b.text for b in kept)
+    size, linked = {}, {}
+    for path, block, k in zip(paths, page.texts, page.linked, strict=True):
+        size[path], linked[path] = size.get(path, 0) + len(block), linked.get(path, 0) + k
+    out = []
+    for k, (at, path) in enumerate(zip(page.at, paths, strict=True)):
+        if content <= at <= last and (not link[k] or page.article[at] or linked[path] < LINKED * size[path]) and (good[k] or not named[k]):
+            out.append(page.texts[k])
+    return "\n\n".join(out)
 
 
 def extract(pages: DataFrame) -> DataFrame:
