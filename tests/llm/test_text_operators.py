@@ -207,11 +207,14 @@ def test_contaminated_odd_documents(spark, odd_documents, no_documents):
     assert contaminated(no_documents, bench).collect() == []
 
 
-def test_contaminated_by_shuffle(spark, odd_documents, monkeypatch):
-    monkeypatch.setattr("vecsink.llm.decontamination.BROADCAST_ROWS", 0)
+def test_contaminated_by_shuffle(spark, odd_documents):
     items = [(1, " ".join(f"w{k}" for k in range(5, 30))), (2, "jumps over")]
-    found = contaminated(odd_documents, spark.createDataFrame(items, "item_id long, text string"))
-    assert sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found.collect()), key=repr) == plain_contaminated(pairs(odd_documents), items)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = contaminated(odd_documents, spark.createDataFrame(items, "item_id long, text string")).collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found), key=repr) == plain_contaminated(pairs(odd_documents), items)
 
 
 def test_contaminated_with_capital_sigma(spark):

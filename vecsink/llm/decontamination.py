@@ -16,27 +16,13 @@ from vecsink.llm.shared import id_filter, stored, with_maybe
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Prefix words are sent to every executor if there are at most so many; beyond it they are joined by shuffle.
-BROADCAST_ROWS = 200_000
-
-
-def _parted(lowered: Column) -> Column:
-    return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), BETWEEN), "")
 
 
 def words_of(text: Column) -> Column:
     """Words of digits, letters and what is not ASCII, A-Z as a-z; none of null."""
-    return _parted(F.translate(text, UPPER, LOWER))
-
-
-def folded(text: Column) -> Column:
-    """Text with every letter in lower case. Sigma has one form, since which it gets depends on the letters around it."""
-    return F.translate(F.lower(text), "\u03c2", "\u03c3")
-
-
-def folded_words(text: Column) -> Column:
-    """The same words, every letter in lower case: no letter turns into what parts words."""
-    return _parted(folded(text))
+    # Of a text of one byte per character lower() changes A-Z only, and is faster.
+    lowered = F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
+    return F.array_remove(F.split(F.coalesce(lowered, F.lit("")), BETWEEN), "")
 
 
 def item_windows(items: DataFrame, size: int) -> DataFrame:
@@ -46,23 +32,20 @@ def item_windows(items: DataFrame, size: int) -> DataFrame:
     return worded.select("item_id", "w", F.explode(starts).alias("p")).select("item_id", F.slice("w", F.col("p"), F.lit(size)).alias("window")).distinct()
 
 
-def _candidates(lowered: DataFrame, windows: DataFrame) -> DataFrame:
+def _candidates(worded: DataFrame, windows: DataFrame) -> DataFrame:
     """row_id and the places (place, window) at which a window may lie."""
-    distinct = windows.select("window", F.transform("window", folded).alias("folded")).distinct()
-    vocabulary = distinct.select(F.explode("folded").alias("word")).distinct()
-    few = vocabulary.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    near = F.broadcast if few else (lambda frame: frame)
+    distinct = windows.select("window").distinct()
+    # Stored tables have a size that Spark knows, by which it broadcasts them or shuffles both sides.
+    vocabulary = stored(distinct.select(F.explode("window").alias("word")).distinct(), "vocabulary")
     # Rarity over all documents, of words that occur in an item.
-    counted = lowered.select(F.explode("words").alias("word")).join(near(vocabulary), "word").groupBy("word").agg(F.count("*").alias("n"))
-    ranked = distinct.select("window", F.posexplode("folded").alias("at", "word")).join(counted, "word", "left")
+    counted = worded.select(F.explode("words").alias("word")).join(vocabulary, "word").groupBy("word").agg(F.count("*").alias("n"))
+    ranked = distinct.select("window", F.posexplode("window").alias("at", "word")).join(counted, "word", "left")
     # A window with a word that no document has lies nowhere.
     prefix = ranked.groupBy("window").agg(F.min(F.struct("n", "word", "at")).alias("rare"), F.count("n").alias("known"))
     prefix = prefix.where(F.col("known") == F.size("window")).select("window", F.col("rare.word").alias("word"), F.col("rare.at").alias("at"))
     prefix = stored(prefix, "prefixes")
-    few = prefix.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    near = F.broadcast if few else (lambda frame: frame)
-    spread = lowered.select("row_id", F.size("words").alias("n_words"), F.posexplode("words").alias("p", "word"))
-    found = spread.join(near(prefix), "word").where("p >= at AND p - at + size(window) <= n_words")
+    spread = worded.select("row_id", F.size("words").alias("n_words"), F.posexplode("words").alias("p", "word"))
+    found = spread.join(prefix, "word").where("p >= at AND p - at + size(window) <= n_words")
     place = F.struct((F.col("p") - F.col("at")).alias("start"), "window")
     return found.groupBy("row_id").agg(F.collect_list(place).alias("places"))
 
@@ -79,10 +62,10 @@ def contaminated(documents: DataFrame, items: DataFrame, size: int = 10) -> Data
     # Rows with one doc_id may hold different texts.
     row_id = F.struct("doc_id", F.xxhash64(text).alias("text")).alias("row_id")
     windows = item_windows(items, size)
-    candidates = stored(_candidates(documents.select(row_id, folded_words(text).alias("words")), windows), "places")
+    candidates = stored(_candidates(documents.select(row_id, words_of(text).alias("words")), windows), "places")
     narrow = documents.select("doc_id", text.alias("text"), row_id)
     told = with_maybe(narrow, "row_id", id_filter(candidates, "row_id"))
-    clean = told.where("not maybe").select("doc_id", F.size(folded_words(F.col("text"))).alias("n_words"), F.lit(0).alias("n_hit"), F.array().cast("array<string>").alias("item_ids"))
+    clean = told.where("not maybe").select("doc_id", F.size(words_of(F.col("text"))).alias("n_words"), F.lit(0).alias("n_hit"), F.array().cast("array<string>").alias("item_ids"))
     held = told.where("maybe").join(candidates, "row_id", "left").select("doc_id", "row_id", words_of(F.col("text")).alias("words"), "places")
     lies = lambda x: F.slice("words", x["start"] + 1, F.size(x["window"])) == x["window"]
     held = stored(held.select("doc_id", "row_id", F.size("words").alias("n_words"), F.filter("places", lies).alias("places")), "hits")
