@@ -49,7 +49,7 @@ def text_column(batch: pa.RecordBatch, name: str = "text") -> pa.Array:
 
 
 def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most so many bytes of text, or one row."""
+    """Ranges of rows with at most so many bytes of text, or one row. Memory of a batch that is done goes back to the system."""
     import numpy as np
 
     count = len(texts)
@@ -62,6 +62,7 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         stop = min(count, max(stop, start + 1))
         yield start, stop
         start = stop
+    pa.default_memory_pool().release_unused()
 
 
 def crc_bucket(column: str, buckets: int):

@@ -198,6 +198,12 @@ def shared_symbols(documents: DataFrame, size: int) -> DataFrame:
 _KEPT = ["doc_id", "n_words", "n_removed", "kept_text", "rest"]
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of bounded bytes, so that its texts are not held in several forms at once."""
+    for a, b in slices(text_column(batch)):
+        yield batch.slice(a, b - a)
+
+
 def _plain(batch: pa.RecordBatch, whole: bool) -> pa.RecordBatch:
     """Documents that keep all their words."""
     counts, kept = [], []
@@ -277,7 +283,7 @@ def remove_repeats(documents: DataFrame, size: int = 13, columns: tuple[str, ...
     names = shared_symbols(narrow.select("doc_id", "text"), size).groupBy("doc_id").agg(F.collect_set("name").alias("names"))
     known = stored(copies.join(names, "doc_id", "full"), "shared-symbols")
     told = with_maybe(narrow, "doc_id", id_filter(known, "doc_id"))
-    plain = told.where("not maybe").select("doc_id", "text", "rest").mapInArrow(lambda it: (_plain(b, whole) for b in it), kept)
+    plain = told.where("not maybe").select("doc_id", "text", "rest").mapInArrow(lambda it: (_plain(p, whole) for b in it for p in _parts(b)), kept)
     # By text too: rows with one doc_id may hold different texts.
     marked = told.where("maybe").join(known, "doc_id", "left")
     marked = marked.select("doc_id", "text", "rest", "names", F.coalesce(F.array_contains("copied", digest), F.lit(False)).alias("copy"))
@@ -294,6 +300,6 @@ def remove_repeats(documents: DataFrame, size: int = 13, columns: tuple[str, ...
     # Copies lose what windows cover without being compared, so they need no join either.
     spared = told.where("not maybe or copy").withColumn("lost", F.lit(None).cast("array<int>"))
     ended = told.where("maybe and not copy").join(lost, "row_id", "left")
-    cut = lambda frame: frame.select("doc_id", "n_words", "text", "copy", "lost", "rest").mapInArrow(lambda it: (_removed(b, size, whole) for b in it), kept)
+    cut = lambda frame: frame.select("doc_id", "n_words", "text", "copy", "lost", "rest").mapInArrow(lambda it: (_removed(p, size, whole) for b in it for p in _parts(b)), kept)
     every = plain.union(cut(spared)).union(cut(ended))
     return every.select("doc_id", "n_words", "n_removed", "kept_text", *(F.col("rest")[c].alias(c) for c in columns))
