@@ -7,10 +7,11 @@ from html.parser import HTMLParser
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from vecsink.llm import embedding_dedup
 from vecsink.llm.embedding_dedup import near_vectors
 from vecsink.llm.html_extract import extract, main_text
-from vecsink.llm.language_id import ORDER, Letters, Scorer, build_model, grams, identify, train
+from vecsink.llm.language_id import ORDER, REJECTED_SHARE, TEMPERATURES, Letters, Scorer, build_model, grams, identify, learn_and_identify, train
 
 PARAGRAPH = "It was late, and the rain fell, so we stayed at home; nobody spoke. "
 
@@ -260,6 +261,29 @@ def test_no_gram_is_left_out(spark):
         assert found[k].lang_pred == lang and abs(found[k].bits - plain[k].min()) < 1e-3
 
 
+def test_limits_and_temperature_of_all_training_texts(spark):
+    """Odd texts of 1,500 that a sample of 500 may miss still move the limit; repeated rows count as often as they come."""
+    draw = random.Random(8)
+    words = {"aa": "the of and river stone house".split(), "bb": "der die und fluss stein the of house".split()}
+    texts = [(" ".join(draw.choice(words[lang]) for _ in range(draw.randrange(1, 9))), lang) for lang in ["aa", "bb", "aa"] * 700]
+    texts += [("zqx jkv", "aa"), ("die fluss", "aa"), ("zqx jkv", "aa"), ("of", "bb"), ("123", "aa"), ("house", None), (None, "bb")]
+    frame = spark.createDataFrame([(k, *row) for k, row in enumerate(texts)], "doc_id long, text string, lang string")
+    model = train(frame)
+    scored = [(t, model.langs.index(lang)) for t, lang in texts if t and lang and t != "123"]
+    bits, has = Scorer(model).entropies([t for t, _ in scored])
+    own = np.array([j for _, j in scored])
+    mine = bits[np.arange(len(own)), own]
+    assert has.all()
+    for j in range(2):
+        assert abs(model.limits[j] - np.quantile(mine[own == j], 1 - REJECTED_SHARE)) < 1e-9
+    losses = [np.minimum(-np.log(1e-12), np.log(np.exp(t * (mine[:, None] - bits)).sum(axis=1))).mean() for t in TEMPERATURES]
+    assert model.temperature == TEMPERATURES[int(np.argmin(losses))]
+    learned = "doc_id % 4 <> 2"
+    once = learn_and_identify(frame, F.expr(learned)).orderBy("doc_id").collect()
+    assert once == identify(frame, train(frame.where(learned))).orderBy("doc_id").collect()
+    assert {r.lang_pred for r in learn_and_identify(frame, F.lit(False)).collect()} == {"und"}
+
+
 # Embeddings
 
 

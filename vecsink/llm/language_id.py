@@ -12,7 +12,8 @@ its piece. Tasks build the pieces, and load one at a time while they score. Only
 single letters, whose number letters bound and not texts, are one table.
 
 Rejection: a text whose cross-entropy is above nearly all of that language's own training
-texts is marked as rejected. The temperature of the score is fitted on the same sample.
+texts is marked as rejected. The temperature of the score has the least loss over them. Both come from
+all training texts; where these are among the texts to tell, each text is scored once.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vecsink.llm.shared import slices, stored, text_column
@@ -32,9 +33,11 @@ from vecsink.llm.words import U64
 ORDER = 4
 #: Bytes of a model's piece, and of texts that are scored at once.
 PIECE_BYTES, BUFFER_BYTES = 8 << 20, 8 << 20
-#: Training texts of each language on which rejection and temperature are calibrated.
-CALIBRATION_TEXTS = 500
+#: Share of a language's training texts that lie above its limit.
 REJECTED_SHARE = 0.001
+TEMPERATURES = (0.5, 1.0, 2.0, 4.0, 8.0, 16.0)
+#: Steps of a bit in which texts are counted to find where a limit lies, and parts of a loss in a sum.
+_STEPS, _PARTS = 1 << 12, 1 << 20
 _EDGE, _SPACE = 1, 32
 _PAD = ORDER - 1
 
@@ -318,10 +321,16 @@ def _softmax(bits: np.ndarray, temperature: float) -> np.ndarray:
 def train(documents: DataFrame) -> Model | None:
     """A model of the languages that lang names; None if no text has one.
 
-    Rows with a null lang or text are not learned from. All grams are in the model. The driver holds a piece
-    at a time, pairs and single letters, and CALIBRATION_TEXTS texts of each language.
+    Rows with a null lang or text are not learned from. All grams are in the model, and all texts are scored for its
+    limits and temperature. The driver holds a piece at a time, pairs and single letters.
     """
     known = documents.where("lang is not null and text is not null").select("text", "lang")
+    model = _counted_model(known)
+    return model and _calibrated(model, stored(entropies(known, model), "entropies"))
+
+
+def _counted_model(known: DataFrame) -> Model | None:
+    """The model of all grams of the texts, without limits and temperature."""
     counts = known.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counts = stored(counts, "grams")
     levels, ones = {ORDER: counts}, []
@@ -353,38 +362,48 @@ def train(documents: DataFrame) -> Model | None:
     middle = F.shiftright("gram", 16).bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     dealt = counts.withColumn("piece", F.pmod(middle, F.lit(pieces).cast("long")))
     built = stored(dealt.groupBy("piece").applyInArrow(build, "piece long, body binary"), "pieces")
-    context = documents.sparkSession.sparkContext
+    context = known.sparkSession.sparkContext
     empty = pickle.dumps(_piece(np.zeros(0, object), np.zeros(0, U64), np.zeros(0), langs, discounts, lower_codes, lower, unknown), protocol=5)
     bodies = {row["piece"]: context.broadcast(bytes(row["body"])) for row in built.toLocalIterator()}
     rest = context.broadcast(empty)
     model.pieces = tuple(bodies.get(k, rest) for k in range(pieces))
-    return _calibrated(model, known)
-
-
-def _calibrated(model: Model, known: DataFrame) -> Model:
-    """Rejection limits and temperature from a bounded sample of training texts, those of the smallest hashes."""
-    many = {row["lang"]: row["count"] for row in known.groupBy("lang").count().collect()}
-    # About twice the texts that are needed are scored; the rest of the corpus is not.
-    below = F.create_map(*[F.lit(x) for lang, n in many.items() for x in (lang, min(1.0, 2 * CALIBRATION_TEXTS / n) * (1 << 30))])
-    few = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < below[F.col("lang")])
-    rank = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h")
-    scored = entropies(few, model).select("lang", "has_letter", "bits", "h").where("has_letter")
-    sample = scored.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= CALIBRATION_TEXTS).select("lang", "bits").toArrow().to_pylist()
-    if not sample:
-        return model
-    bits = np.array([x["bits"] for x in sample])
-    own = np.array([model.langs.index(x["lang"]) for x in sample])
-    mine = bits[np.arange(len(own)), own]
-    for j in range(len(model.langs)):
-        if (own == j).any():
-            model.limits[j] = np.quantile(mine[own == j], 1 - REJECTED_SHARE)
-    loss = lambda t: -np.log(np.maximum(1e-12, _softmax(bits, t)[np.arange(len(own)), own])).mean()
-    model.temperature = min((0.5, 1.0, 2.0, 4.0, 8.0, 16.0), key=loss)
+    return model
+
+
+def _calibrated(model: Model, scored: DataFrame) -> Model:
+    """The model with the limits and the temperature of all rows that have a lang and a letter.
+
+    A limit is the exact quantile, between the two values around its place. Counts in steps tell in
+    which steps these lie, and only texts there are sorted. Losses are added as whole numbers, in any order.
+    """
+    place = F.array_position(F.array(*map(F.lit, model.langs)), F.col("lang")).cast("int")
+    learned = scored.where("lang is not null and has_letter").select("lang", "bits", F.element_at("bits", place).alias("own"))
+    learned = learned.withColumn("step", F.floor(F.col("own") * _STEPS))
+    up = Window.partitionBy("lang").orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    steps = learned.groupBy("lang", "step").agg(F.count("*").alias("n")).withColumn("below", F.sum("n").over(up) - F.col("n"))
+    steps = steps.withColumn("at", (F.sum("n").over(Window.partitionBy("lang")) - 1) * F.lit(1 - REJECTED_SHARE))
+    low, high = F.floor("at"), F.ceil("at")
+    near = steps.where((F.col("below") <= high) & (F.col("below") + F.col("n") > low)).select("lang", "step", "below", "at")
+    values = learned.select("lang", "step", "own").join(near, ["lang", "step"]).groupBy("lang", "step", "below", "at", "own").agg(F.count("*").alias("n"))
+    up = Window.partitionBy("lang", "step").orderBy("own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    values = values.withColumn("stop", F.col("below") + F.sum("n").over(up))
+    values = values.where((F.col("stop") > low) & (F.col("stop") - F.col("n") <= high))
+    limits = values.groupBy("lang").agg(F.min("own").alias("low"), F.max("own").alias("high"), F.first(F.col("at") - low).alias("part")).collect()
+    for row in limits:
+        model.limits[model.langs.index(row["lang"])] = row["low"] + row["part"] * (row["high"] - row["low"])
+
+    def loss(t: float) -> Column:
+        others = F.aggregate("bits", F.lit(0.0), lambda total, bits: total + F.exp(F.lit(t) * (F.col("own") - bits)))
+        return F.sum(F.round(F.least(F.ln(others), F.lit(-np.log(1e-12).item())) * _PARTS).cast("decimal(20, 0)"))
+
+    losses = learned.agg(*(loss(t).alias(f"t{k}") for k, t in enumerate(TEMPERATURES))).first()
+    if limits:
+        model.temperature = min(zip(losses, TEMPERATURES, strict=True))[1]
     return model
 
 
 def entropies(documents: DataFrame, model: Model) -> DataFrame:
-    """The documents' columns, bits for each language, has_letter, and h, a hash of the text."""
+    """The documents' columns but text, bits for each language, and has_letter."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model)
@@ -396,9 +415,35 @@ def entropies(documents: DataFrame, model: Model) -> DataFrame:
                 part = rest.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(bits), pa.list_(pa.float64())), pa.array(has)], [*part.schema.names, "bits", "has_letter"])
 
-    frame = documents.withColumn("h", F.xxhash64("text"))
-    schema = ", ".join(f"`{n}` {t}" for n, t in frame.dtypes if n != "text")
-    return frame.mapInArrow(score, f"{schema}, bits array<double>, has_letter boolean")
+    schema = ", ".join(f"`{n}` {t}" for n, t in documents.dtypes if n != "text")
+    return documents.mapInArrow(score, f"{schema}, bits array<double>, has_letter boolean")
+
+
+def _told(scored: DataFrame, model: Model) -> DataFrame:
+    """What `identify` returns, from the bits of each text."""
+
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs = np.array([*model.langs, "und"], dtype=object)
+        for batch in batches:
+            has = batch.column("has_letter").to_numpy(zero_copy_only=False).astype(bool)
+            bits = batch.column("bits").flatten().to_numpy().reshape(len(has), len(model.langs))
+            best = bits.argmin(axis=1)
+            row = np.arange(len(has))
+            low = bits[row, best]
+            score = np.where(has, _softmax(bits, model.temperature)[row, best], 0.0)
+            pred = langs[np.where(has, best, len(langs) - 1)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(pred, pa.string()), pa.array(score), pa.array(low, mask=~has), pa.array(~has | (low > model.limits[best]))],
+                ["doc_id", "lang_pred", "score", "bits", "rejected"],
+            )
+
+    kind = dict(scored.dtypes)["doc_id"]
+    return scored.select("doc_id", "bits", "has_letter").mapInArrow(predict, f"doc_id {kind}, lang_pred string, score double, bits double, rejected boolean")
+
+
+def _untold(documents: DataFrame) -> DataFrame:
+    """What `identify` returns if there is no model."""
+    return documents.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits"), F.lit(True).alias("rejected"))
 
 
 def identify(documents: DataFrame, model: Model | None) -> DataFrame:
@@ -407,26 +452,20 @@ def identify(documents: DataFrame, model: Model | None) -> DataFrame:
     One row for each row of documents. A text that is null or has no letter is `und` with score
     0 and is rejected, as is every text if there is no model. The first language in sorted order wins a tie. Only text is read.
     """
-    narrow = documents.select("doc_id", F.col("text").cast("string").alias("text"))
     if model is None:
-        return narrow.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(None).cast("double").alias("bits"), F.lit(True).alias("rejected"))
+        return _untold(documents)
+    return _told(entropies(documents.select("doc_id", F.col("text").cast("string").alias("text")), model), model)
 
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model)
-        langs = np.array([*model.langs, "und"], dtype=object)
-        for batch in batches:
-            texts = text_column(batch)
-            for a, b in slices(texts, BUFFER_BYTES):
-                bits, has = scorer.entropies(texts.slice(a, b - a).to_pylist())
-                best = bits.argmin(axis=1)
-                row = np.arange(b - a)
-                low = bits[row, best]
-                score = np.where(has, _softmax(bits, model.temperature)[row, best], 0.0)
-                pred = langs[np.where(has, best, len(langs) - 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(pred, pa.string()), pa.array(score), pa.array(low, mask=~has), pa.array(~has | (low > model.limits[best]))],
-                    ["doc_id", "lang_pred", "score", "bits", "rejected"],
-                )
-
-    kind = dict(narrow.dtypes)["doc_id"]
-    return narrow.mapInArrow(predict, f"doc_id {kind}, lang_pred string, score double, bits double, rejected boolean")
+
+def learn_and_identify(documents: DataFrame, learned: Column) -> DataFrame:
+    """`identify` of all documents by `train` on the rows for which learned is true, with each text scored once.
+
+    A row's lang tells nothing of its own scores but through the model, as in `train`.
+    """
+    lang = F.when(learned & F.col("text").isNotNull(), F.col("lang")).alias("lang")
+    narrow = documents.select("doc_id", F.col("text").cast("string").alias("text"), lang)
+    model = _counted_model(narrow.where("lang is not null").select("text", "lang"))
+    if model is None:
+        return _untold(narrow)
+    scored = stored(entropies(narrow, model), "entropies")
+    return _told(scored, _calibrated(model, scored))

@@ -13,7 +13,7 @@ from vecsink.llm.conversation_repair import damaged, repair
 from vecsink.llm.decontamination import contaminated
 from vecsink.llm.embedding_dedup import near_vectors
 from vecsink.llm.html_extract import extract
-from vecsink.llm.language_id import identify, train
+from vecsink.llm.language_id import learn_and_identify
 from vecsink.llm.license_scan import scan
 from vecsink.llm.minhash_dedup import near_copies
 from vecsink.llm.packing import pack
@@ -159,8 +159,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Languages of all documents, learned from those outside the held-out fold."""
     documents = table(spark, sf_dir, "documents")
     held_out = crc_bucket("doc_id", 4) == 2
-    model = train(documents.where(~held_out))
-    return identify(documents, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits", "rejected")
+    return learn_and_identify(documents, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "bits", "rejected")
 
 
 @query(
