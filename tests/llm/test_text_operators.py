@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from conftest import LONG
 
-from vecsink.llm import chat_format, license_scan, toxicity
+from vecsink.llm import chat_format, license_scan, substring_dedup, toxicity
 from vecsink.llm.components import components
 from vecsink.llm.decontamination import contaminated
 from vecsink.llm.minhash_dedup import near_copies
@@ -89,6 +89,26 @@ def test_repeats_of_random_passages(spark):
     assert found_repeats(frame) == plain_repeats(pairs(frame))
 
 
+def test_windows_are_shuffled_once(odd_documents, monkeypatch):
+    """Owners come from the same sorted rows as the windows that lose to them, also over the edges of batches."""
+    plans = {}
+    kept = substring_dedup.stored
+
+    def stored(frame, name):
+        plans[name] = frame._jdf.queryExecution().sparkPlan().toString()
+        return kept(frame, name)
+
+    monkeypatch.setattr(substring_dedup, "stored", stored)
+    assert found_repeats(odd_documents) == plain_repeats(pairs(odd_documents))
+    assert "Join" not in plans["lost-windows"]
+    rows = [(1, 1, 4, 0, 0), (1, 1, 4, 1, 2), (1, 1, 5, 2, 0), (1, 2, 9, 3, 0), (1, 2, 9, 4, 1), (7, 2, 3, 5, 0), (7, 2, 8, 6, 0), (7, 2, 9, 7, 3)]
+    names = ["h1", "h2", "doc_id", "row_id", "starts"]
+    for cut in range(len(rows) + 1):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*part, strict=True)], names) for part in (rows[:cut], rows[cut:]) if part]
+        found = [tuple(r.values()) for out in substring_dedup._owned(iter(batches)) for r in out.to_pylist()]
+        assert found == [(2, 0), (6, 0), (7, 3)]
+
+
 def test_repeats_keep_columns_and_whole_texts(odd_documents):
     rows = {(r.doc_id, r.lang): r for r in remove_repeats(odd_documents, columns=("lang", "names"), whole=True).collect()}
     assert rows[5, "fr"].kept_text == " \t\n " and rows[5, "fr"].names == "x"

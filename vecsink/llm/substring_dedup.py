@@ -241,6 +241,23 @@ def _found(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of windows sorted by hashes and doc_id, those that a smaller doc_id has too."""
+    last = None  # hashes and owner of the window that the batch before ended with
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        one, two, doc = (batch.column(c).to_numpy() for c in ("h1", "h2", "doc_id"))
+        new = np.ones(len(doc), dtype=bool)
+        new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+        owners = doc[new]
+        if last is not None and (one[0], two[0]) == last[:2]:
+            owners[0] = last[2]
+        last = one[-1], two[-1], owners[-1]
+        keep = pa.array(owners[np.cumsum(new) - 1] < doc)
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("row_id", "starts")], ["row_id", "starts"])
+
+
 def _removed(batch: pa.RecordBatch, size: int, whole: bool) -> pa.RecordBatch:
     """What is kept of documents with lost windows, and of copies."""
     texts = text_column(batch).cast(pa.large_binary()).to_pylist()
@@ -293,8 +310,9 @@ def remove_repeats(documents: DataFrame, size: int = 13, columns: tuple[str, ...
     )
     found = stored(found.withColumn("row_id", F.monotonically_increasing_id()), "windows")
     windows = found.select("doc_id", "row_id", F.explode(F.arrays_zip("starts", "h1", "h2")).alias("w")).select("doc_id", "row_id", "w.*")
-    owned = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").drop("last")
-    lost = windows.join(owned, ["h1", "h2"]).where("owner < doc_id").groupBy("row_id").agg(F.collect_list("starts").alias("lost"))
+    # One shuffle for owners and losers; a window that all documents have passes its task as a stream.
+    dealt = windows.repartition("h1").sortWithinPartitions("h1", "h2", "doc_id")
+    lost = dealt.mapInArrow(_owned, "row_id long, starts int").groupBy("row_id").agg(F.collect_list("starts").alias("lost"))
     lost = stored(lost, "lost-windows")
     told = with_maybe(found.select("row_id", "doc_id", "n_words", "text", "copy", "rest"), "row_id", id_filter(lost, "row_id"))
     # Copies lose what windows cover without being compared, so they need no join either.
