@@ -10,12 +10,13 @@ import pyarrow as pa
 import pytest
 from conftest import LONG
 
-from vecsink.llm import chat_format, license_scan, substring_dedup, toxicity
+from vecsink.llm import chat_format, decontamination, license_scan, substring_dedup, toxicity
 from vecsink.llm.components import components
 from vecsink.llm.decontamination import contaminated
 from vecsink.llm.minhash_dedup import near_copies
 from vecsink.llm.packing import pack
 from vecsink.llm.queries import tokenizer_file
+from vecsink.llm.shared import stored
 from vecsink.llm.substring_dedup import remove_repeats
 from vecsink.llm.words import SPACED, find_words
 
@@ -244,6 +245,30 @@ def test_contaminated_with_capital_sigma(spark):
     assert [(r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in found.collect()] == plain_contaminated(pairs(frame), items) == [(1, 6, 4, ["1"])]
 
 
+def test_contaminated_by_few_words(spark):
+    pick = random.Random(3)
+    rows = [(k // 2, " ".join(pick.choices("abcd", k=pick.randrange(40)))) for k in range(60)]
+    rows += [(None, None), (99, "a"), (99, "a"), (None, "a b c d"), (98, rows[0][1])]
+    items = [(k % 9, " ".join(pick.choices("abcd", k=pick.choice([1, 2, 3, 4, 6, 12])))) for k in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    for some in (items, [x for x in items if len(x[1].split()) >= 3]):
+        bench = spark.createDataFrame(some, "item_id long, text string")
+        for size in (10, 4):
+            found = [(r.doc_id, r.n_words, r.n_hit, r.item_ids) for r in contaminated(frame, bench, size).collect()]
+            assert sorted(found, key=repr) == plain_contaminated(rows, some, size)
+
+
+def test_contaminated_moves_texts_with_rare_tokens_only(spark, monkeypatch):
+    kept = {}
+    monkeypatch.setattr(decontamination, "stored", lambda frame, name: kept.setdefault(name, stored(frame, name)))
+    words = [f"w{k}" for k in range(12)]
+    # All words of the item, but never three of them as they stand there.
+    frame = docs_of(spark, [" ".join(words[::-1] * 2)] * 50 + [" ".join(["x", *words])])
+    found = contaminated(frame, spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_hit) for r in found) == [*((k, 24, 0) for k in range(1, 51)), (51, 13, 12)]
+    assert [r.row_id.doc_id for r in kept["places"].collect()] == [51]
+
+
 # Packing
 
 
